@@ -24,7 +24,7 @@ def first_difference(ref: Column, alt: Column) -> Column:
         F.sequence(F.lit(1), F.length(ref)),
         lambda i: F.substr(ref, i, F.lit(1)) != F.substr(alt, i, F.lit(1)),
     )
-    return F.element_at(at, 1)
+    return F.try_element_at(at, F.lit(1))
 
 
 def vcf_key(pos: Column, ref: Column, alt: Column) -> Column:

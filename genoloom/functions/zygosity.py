@@ -11,7 +11,7 @@ NO_DATA = "No data"
 def genotype_class(gt: Column, allele: Column) -> Column:
     """ref / het / hom / no_call of one alternate allele; ``other`` is a call of other alleles only."""
     parts = F.split(gt, r"[/|]")
-    a, b = parts[0], F.element_at(parts, 2)
+    a, b = parts[0], F.get(parts, F.lit(1))
     idx = allele.cast("string")
     return (
         F.when((a == "0") & (b == "0"), "ref")

@@ -81,16 +81,17 @@ def run_ids(df: DataFrame, part: Sequence[str], order: Sequence[str], state: Seq
     )
 
 
-def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column],
+                     chunk_width: float = 64) -> DataFrame:
     """Exact k-th smallest values per group.
 
     ``ranks`` maps output names to 1-based rank expressions over the group size ``n``. Values
     are first counted per distinct value with map-side combine, so a group costs its number of
-    distinct values, and the cumulative counts are scanned in chunks.
+    distinct values, and the cumulative counts are scanned in chunks of ``chunk_width`` values.
     """
     keys = list(keys)
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    cum = running_sum(counted, keys, [F.col(value)], F.floor(F.col(value) / 64), "_n", "_upto")
+    cum = running_sum(counted, keys, [F.col(value)], F.floor(F.col(value) / chunk_width), "_n", "_upto")
     sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("n"))
     placed = cum.join(sizes, keys)
     picks = [

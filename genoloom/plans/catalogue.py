@@ -8,6 +8,10 @@ from genoloom.plans import registry
 
 MODULES = (
     "interval_queries",
+    "set_join_queries",
+    "filter_queries",
+    "source_queries",
+    "aggregate_queries",
 )
 
 for _name in MODULES:

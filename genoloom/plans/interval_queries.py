@@ -36,9 +36,11 @@ def ovl_1_spans(t):
     return iv.overlap_pairs(t.fx_gene.select("chrom", "start", "end", "gene"), exon_names(t), bin_width=100)
 
 
-@query("ovl_2", GENE_EXON + ' WHERE x.start <= g.start AND x."end" >= g."end"')
+@query("ovl_2", """
+SELECT x.chrom, x.start, x."end", x.exon, g.gene, g.start AS c_start, g."end" AS c_end
+FROM fx_gene g JOIN fx_exon x ON g.chrom = x.chrom WHERE g.start <= x.start AND g."end" >= x."end\"""")
 def ovl_2(t):
-    return iv.overlap_pairs(t.fx_gene.select("chrom", "start", "end", "gene"), exon_names(t), mode="full")
+    return iv.overlap_pairs(exon_names(t), t.fx_gene.select("chrom", "start", "end", "gene"), mode="full")
 
 
 @query("ovl_3", GENE_EXON + ' WHERE x.start >= g.start AND x."end" <= g."end"')
@@ -46,9 +48,15 @@ def ovl_3(t):
     return iv.overlap_pairs(t.fx_gene.select("chrom", "start", "end", "gene"), exon_names(t), mode="full_rev")
 
 
-@query("ovl_4", GENE_EXON + ' WHERE x.start = g.start AND x."end" = g."end"')
+@query("ovl_4", """
+SELECT a.chrom, a.start, a."end", a.id, b.id AS other, b.start AS c_start, b."end" AS c_end
+FROM fx_variant a JOIN fx_variant b ON a.chrom = b.chrom AND a.start = b.start AND a."end" = b."end"
+WHERE a.filter = 'PASS' AND b.filter <> 'PASS'""")
 def ovl_4(t):
-    return iv.overlap_pairs(t.fx_gene.select("chrom", "start", "end", "gene"), exon_names(t), mode="exact")
+    v = t.fx_variant
+    return iv.overlap_pairs(
+        v.where("filter = 'PASS'").select("chrom", "start", "end", "id"),
+        v.where("filter <> 'PASS'").select("chrom", "start", "end", F.col("id").alias("other")), mode="exact")
 
 
 @query("ovl_5", """

@@ -84,3 +84,162 @@ SELECT concat_ws(chr(9), CAST(1 + l_suppkey % 22 AS STRING), CAST(1000 + l_partk
  '0/1:' || CAST(CAST(l_quantity AS INT) AS STRING) || ',' || CAST(CAST(round(l_discount * 100) AS INT) AS STRING))
  AS line FROM {lineitem}
 """
+
+# Variants with caller fields, one per order: deletions, insertions and single-base changes.
+VIEWS["fx_variant"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(1 + o_custkey % 22 AS STRING) AS chrom,
+ CAST(1000 + (o_orderkey % 5000) * 40 AS BIGINT) AS start,
+ CAST(1000 + (o_orderkey % 5000) * 40 + CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey % 3 ELSE 0 END AS BIGINT) AS "end",
+ CASE o_orderpriority WHEN '1-URGENT' THEN 'DEL' WHEN '2-HIGH' THEN 'INS' ELSE 'SNV' END AS var_type,
+ CASE o_orderpriority WHEN '1-URGENT' THEN '-' || substr('ACGTACGT', CAST(1 + o_orderkey % 4 AS INT), CAST(1 + o_custkey % 3 AS INT))
+  WHEN '2-HIGH' THEN '+' || substr('ACGTACGT', CAST(1 + o_orderkey % 4 AS INT), CAST(1 + o_custkey % 2 AS INT))
+  ELSE substr('ACGT', CAST(1 + o_orderkey % 4 AS INT), 1) || '->' || substr('ACGT', CAST(1 + (o_orderkey + 1 + o_custkey % 3) % 4 AS INT), 1) END AS bases,
+ CAST(floor(o_totalprice / 1000) % 100 AS INT) AS qual, CAST(floor(o_totalprice / 10) % 60 AS INT) AS depth,
+ CASE WHEN o_orderkey % 7 = 0 THEN 'NO_CLR' ELSE 'CLR' || (o_custkey % 90) END AS clr,
+ CASE o_orderstatus WHEN 'F' THEN 'SOMATIC' WHEN 'O' THEN 'GERMLINE' ELSE 'LOH' END AS snv_class,
+ CASE WHEN o_custkey % 4 = 0 THEN 'LowQual' ELSE 'PASS' END AS filter,
+ 's' || (o_custkey % 25) AS sample, CAST(o_custkey AS BIGINT) AS run_id FROM {orders}
+"""
+
+# Filter outcomes, a few per variant and filter.
+VIEWS["fx_filter"] = """
+SELECT CAST(l_orderkey AS BIGINT) AS id, 'filter_' || substr('abcdefg', l_linenumber, 1) AS filter_name,
+ CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS filtermatch, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS filterpass,
+ 'rs=rs' || l_partkey || ';gmaf=0.' || l_suppkey || ';exon=' || l_linenumber || '/7' AS attribute FROM {lineitem}
+"""
+
+# Pipeline runs of samples, with production marks.
+VIEWS["fx_run"] = """
+SELECT CAST(c_custkey AS BIGINT) AS run_id, 's' || (c_custkey % 25) AS sample, CAST(c_custkey * 7 % 1001 AS BIGINT) AS run_stamp,
+ CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS production FROM {customer}
+"""
+
+# Gene lists keyed by name, written in mixed case and with quotes as in hand-kept files.
+VIEWS["fx_gene_info"] = """
+SELECT 'G' || p_partkey AS gene, chr(34) || lower('G' || p_partkey) || chr(34) AS raw_key, p_name AS descr, p_type AS family,
+ 'H' || (p_partkey % 500) AS homolog, CAST(p_size AS INT) AS aa_length FROM {part}
+"""
+
+# Population catalogue at call sites with allele frequencies.
+VIEWS["fx_popfreq"] = """
+SELECT DISTINCT chrom, pos, ref, substr('ACGT', CAST(1 + (pos %% 4) AS INT), 1) AS alt,
+ CAST((pos * 7) %% 1000 AS DOUBLE) / 1000 AS freq FROM {fx_call} WHERE qual >= 20
+""".replace("%%", "%")
+
+# Pileup loci built from known read counts, so every expected token count is a column.
+VIEWS["fx_pileup"] = """
+SELECT chrom, pos, ref, alt, alt2, n_ref, n_alt, n_alt2, n_ins, n_del, n_star, n_start, n_end, depth,
+ repeat('.', n_ref) || repeat(alt, n_alt) || repeat(lower(alt2), n_alt2) || repeat('.+2AG', n_ins) || repeat(',-1T', n_del)
+  || repeat('*', n_star) || repeat('^].', n_start) || repeat('.$', n_end) AS bases,
+ repeat(chr(40 + q1), depth - n_q2) || repeat(chr(40 + q2), n_q2) AS quals, q1, q2, n_q2,
+ substr(repeat('T0,T1,T2,', 25), 1, CASE WHEN depth = 0 THEN 0 ELSE depth * 3 - 1 END) AS tags
+FROM (SELECT *, CAST(n_ref + n_alt + n_alt2 + n_ins + n_del + n_star + n_start + n_end AS INT) AS depth,
+  CAST(least(k5, n_ref + n_alt + n_alt2 + n_ins + n_del + n_star + n_start + n_end) AS INT) AS n_q2
+ FROM (SELECT CAST(1 + o_custkey % 22 AS STRING) AS chrom, CAST(1000 + o_orderkey * 40 AS BIGINT) AS pos,
+   substr('ACGT', CAST(1 + o_orderkey % 4 AS INT), 1) AS ref, substr('CGTA', CAST(1 + o_orderkey % 4 AS INT), 1) AS alt,
+   substr('GTAC', CAST(1 + o_orderkey % 4 AS INT), 1) AS alt2, CAST(CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE o_orderkey % 23 END AS INT) AS n_ref,
+   CAST(CASE WHEN o_custkey % 5 = 0 THEN 0 ELSE o_custkey % 9 END AS INT) AS n_alt, CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 4 ELSE 0 END AS INT) AS n_alt2,
+   CAST(CASE WHEN o_custkey % 7 = 0 THEN o_custkey % 3 ELSE 0 END AS INT) AS n_ins, CAST(CASE WHEN o_custkey % 11 = 0 THEN 1 + o_orderkey % 2 ELSE 0 END AS INT) AS n_del,
+   CAST(CASE WHEN o_custkey % 13 = 0 THEN 1 ELSE 0 END AS INT) AS n_star, CAST(CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS INT) AS n_start,
+   CAST(CASE WHEN o_orderkey % 6 = 0 THEN 1 ELSE 0 END AS INT) AS n_end,
+   CAST(o_custkey % 30 AS INT) AS q1, CAST(o_orderkey % 40 AS INT) AS q2, CAST(o_orderkey % 5 AS INT) AS k5 FROM {orders}) a) b
+"""
+
+# Expected alleles of each locus, long: the truth the tokeniser has to reproduce.
+VIEWS["fx_pile_truth"] = """
+SELECT chrom, pos, ref, depth, allele, n FROM (
+ SELECT chrom, pos, ref, depth, 'REF' AS allele, n_ref + n_start + n_end AS n FROM {fx_pileup}
+ UNION ALL SELECT chrom, pos, ref, depth, alt, n_alt FROM {fx_pileup}
+ UNION ALL SELECT chrom, pos, ref, depth, alt2, n_alt2 FROM {fx_pileup}
+ UNION ALL SELECT chrom, pos, ref, depth, '+2AG', n_ins FROM {fx_pileup}
+ UNION ALL SELECT chrom, pos, ref, depth, '-1T', n_del FROM {fx_pileup}
+ UNION ALL SELECT chrom, pos, ref, depth, 'OTHER_DEL', n_star FROM {fx_pileup}) t WHERE n > 0
+"""
+
+# Three-sample records in the four evidence layouts, with the counts the fields were built from.
+VIEWS["fx_vcfm"] = """
+SELECT *, concat_ws(chr(9), chrom, CAST(pos AS STRING), '.', ref, alts, CAST(qual AS STRING), 'PASS', info, fmt, g1, g2, g3) AS line
+FROM (SELECT *,
+  CASE layout WHEN 'indel' THEN 'DP:TAR:TIR:TOR' WHEN 'base' THEN 'DP:AU:CU:GU:TU' WHEN 'depth' THEN 'GT:AD' END AS fmt,
+  CASE layout WHEN 'info' THEN 'AC=3,1;AN=6;AF=0.25,0.125' ELSE 'AC=' || (1 + pos % 3) || ',2;AN=6' END AS info,
+  CASE layout WHEN 'indel' THEN '9:' || r1 || ',1:' || v1 || ',2:' || w1 || ',0'
+   WHEN 'base' THEN '9:' || CASE WHEN ref = 'A' THEN r1 ELSE v1 END || ',1:' || CASE WHEN ref = 'C' THEN r1 ELSE v1 END || ',2:'
+    || CASE WHEN ref = 'G' THEN r1 ELSE v1 END || ',3:' || CASE WHEN ref = 'T' THEN r1 ELSE v1 END || ',4'
+   WHEN 'depth' THEN '0/1:' || r1 || ',' || v1 || ',' || w1 END AS g1,
+  CASE layout WHEN 'indel' THEN '9:' || r2 || ',1:' || v2 || ',2:' || w2 || ',0'
+   WHEN 'base' THEN '9:' || CASE WHEN ref = 'A' THEN r2 ELSE v2 END || ',1:' || CASE WHEN ref = 'C' THEN r2 ELSE v2 END || ',2:'
+    || CASE WHEN ref = 'G' THEN r2 ELSE v2 END || ',3:' || CASE WHEN ref = 'T' THEN r2 ELSE v2 END || ',4'
+   WHEN 'depth' THEN '1/2:' || r2 || ',' || v2 || ',' || w2 END AS g2,
+  CASE layout WHEN 'indel' THEN '.' WHEN 'base' THEN '.' WHEN 'depth' THEN './.' END AS g3
+ FROM (SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(1 + o_custkey % 22 AS STRING) AS chrom, CAST(1000 + o_orderkey * 40 AS BIGINT) AS pos,
+   CASE o_orderpriority WHEN '1-URGENT' THEN 'AC' ELSE substr('ACGT', CAST(1 + o_orderkey % 4 AS INT), 1) END AS ref,
+   CASE o_orderpriority WHEN '1-URGENT' THEN 'A' WHEN '2-HIGH' THEN substr('CGTA', CAST(1 + o_orderkey % 4 AS INT), 1)
+    ELSE substr('CGTA', CAST(1 + o_orderkey % 4 AS INT), 1) || ',' || CASE WHEN o_custkey % 5 = 0 THEN '*' ELSE substr('GTAC', CAST(1 + o_orderkey % 4 AS INT), 1) || 'G' END END AS alts,
+   CASE o_orderpriority WHEN '1-URGENT' THEN 'indel' WHEN '2-HIGH' THEN 'base' WHEN '3-MEDIUM' THEN 'info' ELSE 'depth' END AS layout,
+   CAST(o_custkey % 60 AS INT) AS qual, CAST((o_orderkey + 3) % 7 AS INT) AS v1, CAST((o_orderkey + 6) % 7 AS INT) AS v2,
+   CAST((o_custkey + 1) % 11 AS INT) AS r1, CAST((o_custkey + 2) % 11 AS INT) AS r2,
+   CAST((o_custkey + 2) % 5 AS INT) AS w1, CAST((o_custkey + 4) % 5 AS INT) AS w2 FROM {orders}) a) b
+"""
+
+# Aligned reads with flag bits.
+VIEWS["fx_read"] = """
+SELECT 'r' || l_orderkey AS read_id, 's' || (l_orderkey % 25) AS sample, CAST(1 + l_suppkey % 22 AS STRING) AS chrom,
+ CAST(1000 + l_partkey * 50 + l_linenumber * 7 AS BIGINT) AS pos, CAST(1 + (l_suppkey + CASE WHEN l_linenumber = 3 THEN 1 ELSE 0 END) % 22 AS STRING) AS mate_chrom,
+ CAST(20 AS INT) AS read_length, 'bc' || l_suppkey AS barcode,
+ CAST(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 1 + 2 END + CASE WHEN l_quantity > 45 THEN 4 ELSE 0 END
+  + CASE WHEN l_quantity < 5 THEN 8 ELSE 0 END + CASE WHEN l_discount > 0.095 THEN 256 ELSE 0 END AS INT) AS flag,
+ repeat(chr(CAST(CASE WHEN l_orderkey % 25 < 12 THEN 64 + l_linenumber ELSE 58 + l_linenumber END AS INT)), 8) AS quals FROM {lineitem}
+"""
+
+# dbSNP-style records; plus_* columns hold the plus-strand truth.
+VIEWS["fx_dbsnp"] = """
+SELECT chrom, start, "end", rs, strand, ref, CASE WHEN strand = '-' THEN reverse(translate(ref, 'ACGT', 'TGCA')) || '/' || reverse(translate(plus_alt, 'ACGT', 'TGCA'))
+  ELSE ref || '/' || plus_alt END AS observed,
+ CASE WHEN has_counts THEN CASE WHEN strand = '-' THEN reverse(translate(ref, 'ACGT', 'TGCA')) || ',' || reverse(translate(plus_alt, 'ACGT', 'TGCA')) || ','
+  ELSE ref || ',' || plus_alt || ',' END ELSE '' END AS alleles,
+ CASE WHEN has_counts THEN n1 || ',' || n2 || ',' ELSE '' END AS counts, plus_alt, kind, has_counts, n1, n2
+FROM (SELECT *, CAST(start + CASE kind WHEN 'snv' THEN 1 WHEN 'ins' THEN 0 WHEN 'grow' THEN 1 ELSE 2 END AS BIGINT) AS "end",
+  CASE kind WHEN 'ins' THEN '-' WHEN 'snv' THEN base WHEN 'grow' THEN base ELSE base || 'C' END AS ref,
+  CASE kind WHEN 'snv' THEN nextbase WHEN 'ins' THEN nextbase || 'AC' WHEN 'grow' THEN base || nextbase || 'G' WHEN 'del' THEN '-' WHEN 'trim' THEN base ELSE nextbase || 'T' END AS plus_alt
+ FROM (SELECT CAST(1 + o_custkey % 22 AS STRING) AS chrom, CAST(1000 + (o_custkey % 300) * 10 AS BIGINT) AS start, 'rs' || o_orderkey AS rs,
+   CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '+' END AS strand, substr('ACGT', CAST(1 + o_custkey % 4 AS INT), 1) AS base,
+   substr('CGTA', CAST(1 + o_custkey % 4 AS INT), 1) AS nextbase,
+   CASE o_orderpriority WHEN '1-URGENT' THEN 'del' WHEN '2-HIGH' THEN 'ins' WHEN '3-MEDIUM' THEN 'grow' WHEN '5-LOW' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'trim' ELSE 'mnv' END ELSE 'snv' END AS kind,
+   o_orderkey % 4 <> 0 AS has_counts, CAST(o_custkey % 50 AS INT) AS n1, CAST(o_orderkey % 30 AS INT) AS n2 FROM {orders}) a) b
+"""
+
+# Population catalogue lines with one or two alternates.
+VIEWS["fx_exac"] = """
+SELECT chrom, pos, ref, alt1, alt2, ac1, ac2, an, qual,
+ concat_ws(chr(9), chrom, CAST(pos AS STRING), '.', ref, alt1 || ',' || alt2, CAST(qual AS STRING), 'PASS',
+  'AC=9,9;AC_Adj=' || ac1 || ',' || ac2 || ';AN=99;AN_Adj=' || an || ';DP=7') AS line
+FROM (SELECT CAST(1 + o_custkey % 22 AS STRING) AS chrom, CAST(1000 + (o_orderkey % 3000) * 10 AS BIGINT) AS pos,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'ACG' WHEN o_orderpriority = '2-HIGH' THEN 'AC' ELSE 'A' END AS ref,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'A' WHEN o_orderpriority = '2-HIGH' THEN 'GC' ELSE 'T' END AS alt1,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'ATT' WHEN o_orderpriority = '2-HIGH' THEN 'ACT' ELSE 'AGG' END AS alt2,
+  CAST(o_custkey % 90 AS INT) AS ac1, CAST(o_orderkey % 40 AS INT) AS ac2, CAST((o_custkey % 8) * 1000 AS INT) AS an,
+  CAST(o_orderkey % 60 AS INT) AS qual FROM {orders}) a
+"""
+
+# Cancer-catalogue mutations; want_* columns hold the expected base and residue change.
+VIEWS["fx_cosmic"] = """
+SELECT 'G' || (o_custkey % 200) || CASE WHEN o_orderkey % 5 = 0 THEN '_ENST0001' ELSE '' END AS gene, 'G' || (o_custkey % 200) AS want_gene,
+ CASE WHEN o_orderkey % 2 = 0 THEN 'skin' ELSE 'lung' END AS site, 'hist' || (o_custkey % 3) AS histology,
+ CASE o_orderpriority WHEN '1-URGENT' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'c.12_14delACG' ELSE 'c.5_9del5' END
+  WHEN '2-HIGH' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'c.12_13insTT' ELSE 'c.5_6ins12' END ELSE 'c.35G>T' END AS base_text,
+ CASE o_orderpriority WHEN '1-URGENT' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'p.K5delK' ELSE 'p.?' END
+  WHEN '2-HIGH' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'p.Q3_R4insW' ELSE 'p.(ins4)' END
+  ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'p.G12V' ELSE 'p.L7L' END END AS aa_text,
+ CASE o_orderpriority WHEN '1-URGENT' THEN 'Deletion - In frame' WHEN '2-HIGH' THEN CASE WHEN o_custkey % 3 = 0 THEN 'Insertion - Frameshift' ELSE 'Insertion - In frame' END
+  WHEN '5-LOW' THEN 'Unknown' ELSE 'Substitution - Missense' END AS mut_type,
+ CASE WHEN o_custkey % 24 = 22 THEN '23' WHEN o_custkey % 24 = 23 THEN '24' ELSE CAST(1 + o_custkey % 24 AS STRING) END || ':' || (1000 + o_custkey % 400) || '-' || (1000 + o_custkey % 400 + o_orderkey % 2) AS coord,
+ CASE WHEN o_custkey % 2 = 0 THEN '+' ELSE '-' END AS strand, 'somatic' AS status, 'carcinoma' AS tumour,
+ CASE o_orderpriority WHEN '1-URGENT' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'ACG' ELSE 'del5' END WHEN '2-HIGH' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'TT' ELSE 'ins12' END ELSE 'G->T' END AS want_base,
+ CASE o_orderpriority WHEN '1-URGENT' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'K' ELSE 'p.?' END
+  WHEN '2-HIGH' THEN CASE WHEN o_custkey % 3 = 0 THEN 'frameshift' WHEN o_orderkey % 2 = 0 THEN 'W' ELSE 'ins4' END
+  ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'G->V' ELSE 'SYN' END END AS want_aa,
+ CASE o_orderpriority WHEN '1-URGENT' THEN 'DEL' WHEN '2-HIGH' THEN 'INS' WHEN '5-LOW' THEN NULL ELSE 'SNV' END AS want_type,
+ CASE WHEN o_custkey % 24 = 22 THEN 'X' WHEN o_custkey % 24 = 23 THEN 'Y' ELSE CAST(1 + o_custkey % 24 AS STRING) END AS want_chrom,
+ CAST(1000 + o_custkey % 400 AS BIGINT) AS want_start,
+ CAST(1000 + o_custkey % 400 + CASE WHEN o_orderpriority = '2-HIGH' THEN 0 ELSE o_orderkey % 2 END AS BIGINT) AS want_end FROM {orders}
+"""
