@@ -19,22 +19,24 @@ def _key(start: Column, end: Column, bases: Column, kind: Column, ref_base: Colu
 
 
 def first_difference(ref: Column, alt: Column) -> Column:
-    """1-based index of the first unequal base of two equally long strings."""
+    """1-based index of the first unequal base of two equally long strings; 1 for other pairs."""
     at = F.filter(
         F.sequence(F.lit(1), F.length(ref)),
         lambda i: F.substr(ref, i, F.lit(1)) != F.substr(alt, i, F.lit(1)),
     )
-    return F.try_element_at(at, F.lit(1))
+    search = (F.length(ref) == F.length(alt)) & (F.substr(ref, F.lit(1), F.lit(1)) == F.substr(alt, F.lit(1), F.lit(1)))
+    return F.when(search, F.try_element_at(at, F.lit(1))).otherwise(1)
 
 
-def vcf_key(pos: Column, ref: Column, alt: Column) -> Column:
+def vcf_key(pos: Column, ref: Column, alt: Column, diff: Column | None = None) -> Column:
     """Key struct for anchored VCF alleles.
 
     A deletion starts after the anchor base, an insertion sits on it, and a substitution of
-    several bases becomes a single-base change at its first unequal base.
+    several bases becomes a single-base change at its first unequal base (``diff``, if the
+    caller has it as a column already).
     """
     shrink = F.length(ref) - F.length(alt)
-    diff = first_difference(ref, alt)
+    diff = first_difference(ref, alt) if diff is None else diff
     return (
         F.when(
             shrink > 0,
@@ -92,7 +94,7 @@ def catalogue_key(pos: Column, ref: Column, alt: Column) -> Column:
     complex_change = (F.length(ref) == F.length(alt)) & (
         F.substr(ref, F.lit(2), F.length(ref)) != F.substr(alt, F.lit(2), F.length(alt))
     )
-    return F.when(~complex_change, vcf_key(pos, ref, alt))
+    return F.when(~complex_change, vcf_key(pos, ref, alt, F.lit(1)))
 
 
 def key_text(chrom: Column, start: Column, end: Column, bases: Column) -> Column:

@@ -3,6 +3,8 @@
 An indel token ``+2AG`` carries its own length, which a regular expression cannot express, so
 the string is cut in front of each sign and digit, and the token length is read from the digits
 of its piece. The read character before a token belongs to the indel and is not counted again.
+Arrays that are counted should be columns (see ``chunks.once``): an expression used inside a
+lambda is worked out for every element.
 """
 
 from __future__ import annotations
@@ -12,7 +14,12 @@ from pyspark.sql import functions as F
 
 
 def _pieces(cleaned: Column) -> Column:
-    """Array of (indel, rest): the token opening the piece, if any, and the read characters after it."""
+    """Array of (indel, rest): the token opening the piece, if any, and the read characters after it.
+
+    A read that carries an indel is shown as ``I``.
+    """
+    marked = F.regexp_replace(cleaned, "[^0-9](?=[+-][0-9])", "I")
+
     def cut(piece: Column) -> Column:
         digits = F.regexp_extract(piece, "^[+-]([0-9]+)", 1)
         token = F.when(digits != "", F.length(digits) + 1 + digits.cast("int")).otherwise(0)
@@ -21,7 +28,7 @@ def _pieces(cleaned: Column) -> Column:
             F.substr(piece, token + 1, F.length(piece)).alias("rest"),
         )
 
-    return F.transform(F.split(cleaned, "(?=[+-][0-9])"), cut)
+    return F.transform(F.split(marked, "(?=[+-][0-9])"), cut)
 
 
 def _clean(bases: Column) -> Column:
@@ -30,14 +37,9 @@ def _clean(bases: Column) -> Column:
 
 def tokens(bases: Column, indels: bool = True) -> Column:
     """Alleles seen by each read: bases, ``REF``, ``OTHER_DEL``, ``REFSKIP`` and, if asked, indel tokens."""
-    pieces = _pieces(_clean(bases))
-    last = F.size(pieces) - 1
-
-    def reads(p: Column, i: Column) -> Column:
-        text = F.when(i < last, F.substr(p["rest"], F.lit(1), F.greatest(F.length(p["rest"]) - 1, F.lit(0)))
-                      ).otherwise(p["rest"])
+    def reads(p: Column) -> Column:
         marks = F.transform(
-            F.regexp_extract_all(text, F.lit(r"([ACGTN.,*<>])"), F.lit(1)),
+            F.regexp_extract_all(p["rest"], F.lit(r"([ACGTN.,*<>])"), F.lit(1)),
             lambda c: F.when(c.isin(".", ","), "REF").when(c == "*", "OTHER_DEL")
             .when(c.isin("<", ">"), "REFSKIP").otherwise(c))
         if not indels:
@@ -45,7 +47,7 @@ def tokens(bases: Column, indels: bool = True) -> Column:
         return F.concat(F.when(p["indel"].isNotNull(), F.array(p["indel"]))
                         .otherwise(F.array().cast("array<string>")), marks)
 
-    return F.flatten(F.transform(pieces, reads))
+    return F.flatten(F.transform(_pieces(_clean(bases)), reads))
 
 
 def base_tokens(bases: Column, ref: Column) -> Column:
@@ -74,23 +76,14 @@ def tag_reads(bases: Column, tags: Column) -> Column:
     ``Indel_tag`` where there is none.
     """
     cleaned = F.upper(F.regexp_replace(bases, r"[\[\]$^]", ""))
-    pieces = _pieces(cleaned)
-    last = F.size(pieces) - 1
-
-    def reads(p: Column, i: Column) -> Column:
-        n = F.length(p["rest"])
-        return F.when(n > 0, F.transform(
-            F.sequence(F.lit(1), n),
-            lambda k: F.struct(F.substr(p["rest"], k, F.lit(1)).alias("c"), ((k == n) & (i < last)).alias("indel")),
-        )).otherwise(F.array().cast("array<struct<c:string,indel:boolean>>"))
-
-    per_read = F.flatten(F.transform(pieces, reads))
-    tag_list = F.split(tags, ",")
-    picked = F.transform(
-        per_read,
-        lambda r, j: F.when(r["indel"], F.coalesce(F.get(tag_list, j + 1), F.lit("Indel_tag")))
-        .when(r["c"].rlike("[ACGTN]"), F.coalesce(F.get(tag_list, j), F.lit("Indel_tag"))))
-    return F.filter(picked, lambda x: x.isNotNull())
+    per_read = F.split(F.array_join(F.transform(_pieces(cleaned), lambda p: p["rest"]), ""), "")
+    return F.filter(
+        F.transform(
+            F.arrays_zip(F.filter(per_read, lambda c: c != "").alias("c"), F.split(tags, ",").alias("own"),
+                         F.slice(F.concat(F.split(tags, ","), F.array(F.lit(None).cast("string"))), 2, 1 << 30).alias("next")),
+            lambda r: F.when(r["c"] == "I", F.coalesce(r["next"], F.lit("Indel_tag")))
+            .when(r["c"].rlike("[ACGTN]"), F.coalesce(r["own"], F.lit("Indel_tag")))),
+        lambda x: x.isNotNull())
 
 
 def phred(quals: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from genoloom.functions.stats import count_if, middle, ratio, sorted_text
 from genoloom.functions.zygosity import NO_DATA, carries, genotype_class
-from genoloom.operators.chunks import order_statistics, with_totals
+from genoloom.operators.chunks import once, order_statistics, with_totals
 
 
 def _field(sample: Column, fmt: Column, name: str) -> Column:
@@ -66,7 +66,7 @@ def sample_allele_fractions(calls: DataFrame) -> DataFrame:
     fallback = F.coalesce("info_af", F.raise_error(F.concat(F.lit("no allele frequency at "), "chrom", F.lit(":"), "pos"))
                           .cast("double"))
     return (
-        calls.withColumn("_ev", evidence).withColumn("_af", fractions)
+        once(once(calls, _ev=evidence), _af=fractions)
         .withColumn("mean_af", F.when(has_samples, mean).otherwise(fallback))
         .withColumn("median_af", F.when(has_samples, F.coalesce(middle(F.col("_af")), F.lit(0.0))).otherwise(fallback))
         .withColumn("var_read_counts", F.when(has_samples, F.array_join(

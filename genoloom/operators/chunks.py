@@ -18,6 +18,15 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 18
 
 
+def once(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns through a generator, which the optimizer does not inline.
+
+    Filters and later projections are otherwise rewritten in terms of the input text, so a
+    parsed or tokenised value would be worked out again for every use.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
 def with_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
     """Add group aggregates to every row.
 

@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 from genoloom.functions import pileup as pl
 from genoloom.functions import zygosity as zg
 from genoloom.functions.stats import middle
+from genoloom.operators.chunks import once
 
 
 def tokenise(df: DataFrame, indels: bool = True) -> DataFrame:
     """PIL-1: ``tokens`` array of the alleles seen by each read."""
     expr = pl.tokens(F.col("bases")) if indels else pl.base_tokens(F.col("bases"), F.col("ref"))
-    return df.withColumn("tokens", expr)
+    return once(df, tokens=expr)
 
 
 def base_frequencies(df: DataFrame, indels: bool = False) -> DataFrame:
     """PIL-2: one row per locus and allele with count and frequency; a locus without bases is N, 0."""
     cols = [c for c in df.columns if c not in ("bases", "quals", "tags")]
-    counted = tokenise(df, indels).withColumn("_t", pl.tally(F.col("tokens"))).withColumn("_n", F.size("tokens"))
+    counted = once(tokenise(df, indels), _t=pl.tally(F.col("tokens")), _n=F.size("tokens"))
     none = F.array(F.struct(F.lit("N").alias("allele"), F.lit(0).alias("n")))
     return counted.select(*cols, "_n", F.explode(F.when(F.size("_t") > 0, F.col("_t")).otherwise(none)).alias("_a")).select(
         *cols, F.col("_a.allele").alias("allele"), F.col("_a.n").alias("n"),
@@ -48,24 +49,26 @@ def allele_table(df: DataFrame) -> DataFrame:
     alt_f = F.transform(alts, lambda s: freq_row(s["allele"], s["n"] / n_base))
     ref_f = F.array(freq_row(F.concat(ref, F.lit("(ref)")), F.when(n_base > 0, ref_n / n_base).otherwise(0.0)))
     best = F.array_max(F.transform(
-        F.filter(F.concat(alt_f, indel_f), lambda s: s["name"] != "REFSKIP"), lambda s: -s["neg"]))
-    text = F.array_join(F.transform(F.array_sort(F.concat(ref_f, alt_f, indel_f)),
+        F.filter(F.concat("_alt", "_ind"), lambda s: s["name"] != "REFSKIP"), lambda s: -s["neg"]))
+    text = F.array_join(F.transform(F.array_sort(F.concat("_ref", "_alt", "_ind")),
                                     lambda s: F.concat(s["name"], F.lit(":"), F.format_string("%.5f", -s["neg"]))), ";")
-    return (
-        df.where(depth > 0)
-        .withColumn("_bt", pl.base_tokens(F.col("bases"), F.col("ref"))).withColumn("_b", pl.tally(F.col("_bt")))
-        .withColumn("_i", pl.tally(pl.tokens(F.col("bases"))))
-        .withColumn("zyg", F.when(ref_n == 0, "hom").when((F.size(alts) > 0) | (F.size(indels) > 0), "het").otherwise("ref"))
-        .withColumn("max_alt_freq", F.coalesce(best, F.lit(0.0)))
-        .withColumn("max_alt_reads", F.when(best > 0, F.floor(depth * best + 1e-9)).otherwise(1).cast("bigint"))
-        .withColumn("frequencies", text)
-        .drop("_bt", "_b", "_i")
-    )
+    read = once(df.where(depth > 0), _bt=pl.base_tokens(F.col("bases"), F.col("ref")), _it=pl.tokens(F.col("bases")))
+    counted = once(read, _b=pl.tally(F.col("_bt")), _i=pl.tally(F.col("_it")))
+    shares = once(counted, _alt=alt_f, _ind=indel_f, _ref=ref_f)
+    return once(
+        shares,
+        zyg=F.when(F.get("_ref", F.lit(0))["neg"] == 0, "hom").when(
+            (F.size("_alt") > 0) | (F.size("_ind") > 0), "het").otherwise("ref"),
+        max_alt_freq=F.coalesce(best, F.lit(0.0)),
+        frequencies=text,
+    ).withColumn(
+        "max_alt_reads", F.when(F.col("max_alt_freq") > 0, F.floor(depth * F.col("max_alt_freq") + 1e-9))
+        .otherwise(1).cast("bigint")).drop("_bt", "_it", "_b", "_i", "_alt", "_ind", "_ref")
 
 
 def tag_counts(df: DataFrame) -> DataFrame:
     """PIL-4: variant reads with a molecular tag, distinct tags, and ``tag(variant/all)`` text."""
-    picked, all_tags = F.col("_p"), F.split("tags", ",")
+    picked, all_tags = F.col("_p"), F.col("_all")
 
     def n(items: Column, t: Column) -> Column:
         return F.size(F.filter(items, lambda x: x == t))
@@ -74,11 +77,9 @@ def tag_counts(df: DataFrame) -> DataFrame:
         F.array_sort(F.array_distinct(picked)),
         lambda t: F.concat(t, F.lit("("), n(picked, t).cast("string"), F.lit("/"),
                            F.when(t == "Indel_tag", F.lit("1")).otherwise(n(all_tags, t).cast("string")), F.lit(")"))), ":")
-    return (
-        df.withColumn("_p", pl.tag_reads(F.col("bases"), F.col("tags")))
-        .withColumn("variant_tags", F.size("_p")).withColumn("distinct_tags", F.size(F.array_distinct("_p")))
-        .withColumn("tag_text", text).drop("_p")
-    )
+    tagged = once(df, _p=pl.tag_reads(F.col("bases"), F.col("tags")), _all=F.split("tags", ","))
+    return tagged.withColumn("variant_tags", F.size("_p")).withColumn(
+        "distinct_tags", F.size(F.array_distinct("_p"))).withColumn("tag_text", text).drop("_p", "_all")
 
 
 def pileup_zygosity(df: DataFrame) -> DataFrame:
@@ -89,9 +90,9 @@ def pileup_zygosity(df: DataFrame) -> DataFrame:
     share = F.size("_n") * 0.9
     top = F.exists("_t", lambda s: (s["allele"] != "ref") & (s["n"] >= share))
     is_ref = pl.count_of(F.col("_t"), F.lit("ref")) >= share
+    read = once(once(df, _n=named), _t=pl.tally(F.col("_n")))
     return (
-        df.withColumn("_n", named).withColumn("_t", pl.tally(F.col("_n")))
-        .withColumn("zyg", F.when(F.size("_n") == 0, "het").otherwise(zg.from_top_allele(top, is_ref)))
+        read.withColumn("zyg", F.when(F.size("_n") == 0, "het").otherwise(zg.from_top_allele(top, is_ref)))
         .withColumn("alleles", F.array_join(F.transform(
             "_t", lambda s: F.concat_ws(":", s["allele"], s["n"].cast("string"))), "_"))
         .drop("_n", "_t")
@@ -111,14 +112,14 @@ def call_zygosity(df: DataFrame) -> DataFrame:
 
     first, second = F.get("_alts", F.lit(0)), F.get("_alts", F.lit(1))
     real = F.filter(pl.base_tokens(F.col("bases"), F.col("ref")), lambda t: ~t.isin("OTHER_DEL", "REFSKIP"))
+    read = once(df.where((ref != "N") & (ref != "*") & (F.col("depth") > 0)), _r=real)
+    alleles = once(once(read, _t=pl.tally(F.col("_r"))), _alts=alts).where(F.size("_alts") > 0)
     return (
-        df.where((ref != "N") & (ref != "*") & (F.col("depth") > 0))
-        .withColumn("_t", pl.tally(real)).withColumn("_alts", alts).where(F.size("_alts") > 0)
-        .withColumn("ref_freq", frac(pl.count_of(F.col("_t"), ref)))
+        alleles.withColumn("ref_freq", frac(pl.count_of(F.col("_t"), ref)))
         .withColumn("var_base", first["allele"]).withColumn("var_freq", frac(first["n"]))
         .withColumn("next_base", second["allele"]).withColumn("next_freq", frac(second["n"]))
         .withColumn("zyg", zg.from_call_fractions(F.col("ref_freq"), F.col("var_freq"), F.col("next_freq")))
-        .drop("_t", "_alts")
+        .drop("_r", "_t", "_alts")
     )
 
 
@@ -147,9 +148,8 @@ def fraction_zygosity(df: DataFrame, var_reads: str = "alt_reads", total: str =
 
 def base_quality(df: DataFrame) -> DataFrame:
     """PIL-9: median base quality and the decoded list."""
-    q = pl.phred(F.col("quals"))
-    return df.withColumn("median_quality", middle(F.array_sort(q))).withColumn(
-        "quality_list", F.array_join(F.transform(q, lambda x: x.cast("string")), ":"))
+    return once(df, _q=pl.phred(F.col("quals"))).withColumn("median_quality", middle(F.array_sort("_q"))).withColumn(
+        "quality_list", F.array_join(F.transform("_q", lambda x: x.cast("string")), ":")).drop("_q")
 
 
 def quality_encoding(reads: DataFrame, by: Sequence[str] = (), quals: str = "quals") -> DataFrame:
@@ -172,10 +172,12 @@ def tumour_normal(tumour: DataFrame, normal: DataFrame) -> DataFrame:
     def text(items: Column) -> Column:
         return F.array_join(F.transform(items, lambda s: F.concat_ws(":", s["allele"], s["n"].cast("string"))), "_")
 
-    t = pl.tally(pl.base_tokens(F.col("bases"), F.col("ref")))
-    left = tumour.withColumn("_t", t).select(
+    def counted(df: DataFrame) -> DataFrame:
+        return once(once(df, _r=pl.base_tokens(F.col("bases"), F.col("ref"))), _t=pl.tally(F.col("_r")))
+
+    left = counted(tumour).select(
         "chrom", "pos", "ref", "alt", pl.count_of(F.col("_t"), F.upper("ref")).alias("ref_count"),
         pl.count_of(F.col("_t"), F.upper("alt")).alias("var_count"),
         text(F.filter("_t", lambda s: ~s["allele"].isin(F.upper("ref"), F.upper("alt")))).alias("tumour_other_alleles"))
-    right = normal.select("chrom", "pos", text(t).alias("normal_alleles"))
+    right = counted(normal).select("chrom", "pos", text(F.col("_t")).alias("normal_alleles"))
     return left.join(right, ["chrom", "pos"], "left")

@@ -460,7 +460,7 @@ def pil_8(t):
 
 
 @query("pil_9", """
-WITH q AS (SELECT chrom, pos, list_concat(list_resize([], depth - n_q2, q1 + 7), list_resize([], n_q2, q2 + 7)) AS l FROM fx_pileup)
+WITH q AS (SELECT chrom, pos, list_concat([q1 + 7 for x in range(depth - n_q2)], [q2 + 7 for x in range(n_q2)]) AS l FROM fx_pileup)
 SELECT chrom, pos, list_median(l) AS median_quality, coalesce(array_to_string(l, ':'), '') AS quality_list FROM q""")
 def pil_9(t):
     return pp.base_quality(loci(t)).select("chrom", "pos", "median_quality", "quality_list")

@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 
 from genoloom.functions import alleles
 from genoloom.functions.text import norm_chrom
+from genoloom.operators.chunks import once
+
+
+def _cells(rows: DataFrame, sep: str = "\t") -> DataFrame:
+    """Fields of each data line as ``f``, split once; header and blank lines are dropped."""
+    return once(rows.select("line"), f=F.split("line", sep)).where(
+        (F.size("f") > 1) & ~F.startswith(F.get("f", F.lit(0)), F.lit("#"))).drop("line")
 
 
 def lines(spark: SparkSession, path) -> DataFrame:
@@ -25,8 +32,8 @@ def parse_vcf(rows: DataFrame) -> DataFrame:
     Header and blank lines, records with N or a ``.`` alternate, ``*`` alleles and alleles equal
     to REF are dropped. Allele counts are taken by allele number.
     """
-    f = F.split("line", "\t")
-    body = rows.where(~F.col("line").startswith("#") & (F.trim("line") != "")).select(
+    f = F.col("f")
+    body = _cells(rows).select(
         norm_chrom(f[0]).alias("chrom"), f[1].cast("bigint").alias("pos"), f[3].alias("ref"), f[4].alias("alts"),
         F.when(f[5] != ".", f[5].try_cast("double")).alias("qual"), F.get(f, F.lit(6)).alias("filter"),
         F.get(f, F.lit(7)).alias("info"), F.get(f, F.lit(8)).alias("format"),
@@ -38,9 +45,10 @@ def parse_vcf(rows: DataFrame) -> DataFrame:
     ac_text = F.regexp_extract("info", r"(?:^|;)AC=([0-9,]+)", 1)
     ac = F.transform(F.filter(F.split(ac_text, ","), lambda x: x != ""), lambda x: x.cast("bigint"))
     af = F.split(F.regexp_extract("info", r"(?:^|;)AF=([^;]+)", 1), ",")
+    usable = one.where((F.col("alt") != "*") & (F.col("alt") != F.col("ref")))
+    placed = once(usable, _d=alleles.first_difference(F.col("ref"), F.col("alt")))
     return (
-        one.where((F.col("alt") != "*") & (F.col("alt") != F.col("ref")))
-        .withColumn("_k", alleles.vcf_key(F.col("pos"), F.col("ref"), F.col("alt")))
+        once(placed, _k=alleles.vcf_key(F.col("pos"), F.col("ref"), F.col("alt"), F.col("_d")))
         .withColumn("ac", F.get(ac, F.col("allele_no") - 1))
         .withColumn("total_ac", F.aggregate(ac, F.lit(0).cast("bigint"), lambda a, x: a + x))
         .withColumn("an", F.coalesce(F.regexp_extract("info", r"AN=(\d+)", 1).try_cast("bigint"), F.lit(0)))
@@ -101,8 +109,8 @@ def read_ped(spark: SparkSession, path) -> DataFrame:
 
 def parse_pileup(rows: DataFrame) -> DataFrame:
     """SRC-4: chromosome, position, reference, depth, bases, qualities and an optional tag list."""
-    f = F.split("line", "\t")
-    return rows.where(F.trim("line") != "").select(
+    f = F.col("f")
+    return _cells(rows).select(
         norm_chrom(f[0]).alias("chrom"), f[1].cast("bigint").alias("pos"), F.upper(f[2]).alias("ref"),
         f[3].cast("int").alias("depth"), F.get(f, F.lit(4)).alias("bases"), F.get(f, F.lit(5)).alias("quals"),
         F.get(f, F.lit(6)).alias("tags"))
@@ -119,11 +127,10 @@ CONSEQUENCE_COLUMNS = ("uploaded", "location", "allele", "gene", "feature", "fea
 
 def parse_consequences(rows: DataFrame) -> DataFrame:
     """SRC-5: predictor output; the location becomes chrom / start / end, the rest stays text."""
-    f = F.split("line", "\t")
-    cols = [F.get(f, F.lit(i)).alias(c) for i, c in enumerate(CONSEQUENCE_COLUMNS)]
+    cols = [F.get("f", F.lit(i)).alias(c) for i, c in enumerate(CONSEQUENCE_COLUMNS)]
     loc = F.split("location", "[:-]")
     return (
-        rows.where(~F.col("line").startswith("#") & (F.trim("line") != "")).select(*cols)
+        _cells(rows).select(*cols)
         .withColumn("chrom", norm_chrom(loc[0])).withColumn("start", loc[1].cast("bigint"))
         .withColumn("end", F.coalesce(F.get(loc, F.lit(2)).cast("bigint"), F.col("start")))
     )
@@ -147,8 +154,8 @@ def merge_headers(reports: Sequence[DataFrame], missing: str = "No Data") -> Dat
 
 def parse_dbsnp(rows: DataFrame) -> DataFrame:
     """SRC-8, dbSNP table dump: unusable allele texts and unplaced contigs are dropped."""
-    f = F.split("line", "\t")
-    return rows.select(
+    f = F.col("f")
+    return _cells(rows).select(
         norm_chrom(f[1]).alias("chrom"), f[2].cast("bigint").alias("start"), f[3].cast("bigint").alias("end"),
         f[4].alias("rs"), f[6].alias("strand"), f[8].alias("ref"), f[9].alias("observed"),
         F.get(f, F.lit(22)).alias("alleles"), F.get(f, F.lit(23)).alias("counts"),
@@ -161,9 +168,9 @@ def parse_population(rows: DataFrame, ac_field: str = "AC_Adj", an_field: str =
 
     An AC list that does not match the alternates is an error.
     """
-    f = F.split("line", "\t")
+    f = F.col("f")
     acs = F.split(F.regexp_extract("info", rf"(?:^|;){ac_field}=([0-9,]+)", 1), ",")
-    body = rows.where(~F.col("line").startswith("#") & (F.trim("line") != "")).select(
+    body = _cells(rows).select(
         norm_chrom(f[0]).alias("chrom"), f[1].cast("bigint").alias("pos"), f[3].alias("ref"), f[4].alias("alts"),
         f[5].alias("qual"), f[7].alias("info"),
     ).where(~F.col("ref").contains("N") & ~F.col("alts").contains("N") & (F.col("alts") != "."))
@@ -184,9 +191,8 @@ COSMIC_FIELDS = {"gene": 0, "site": 7, "histology": 11, "base_text": 17, "aa_tex
 
 def parse_cosmic_export(rows: DataFrame) -> DataFrame:
     """SRC-8, cancer catalogue export: the used columns; rows without a coordinate are dropped."""
-    f = F.split("line", "\t")
-    cols = [F.get(f, F.lit(i)).alias(c) for c, i in COSMIC_FIELDS.items()]
-    return rows.where(~F.col("line").startswith("Gene name")).select(*cols).where(F.col("coord").contains(":"))
+    cols = [F.get("f", F.lit(i)).alias(c) for c, i in COSMIC_FIELDS.items()]
+    return _cells(rows).where(~F.startswith(F.get("f", F.lit(0)), F.lit("Gene name"))).select(*cols).where(F.col("coord").contains(":"))
 
 
 def read_catalogue(spark: SparkSession, path, kind: str) -> DataFrame:
