@@ -12,6 +12,7 @@ MODULES = (
     "filter_queries",
     "source_queries",
     "aggregate_queries",
+    "pedigree_queries",
 )
 
 for _name in MODULES:

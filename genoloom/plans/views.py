@@ -243,3 +243,24 @@ SELECT 'G' || (o_custkey % 200) || CASE WHEN o_orderkey % 5 = 0 THEN '_ENST0001'
  CAST(1000 + o_custkey % 400 AS BIGINT) AS want_start,
  CAST(1000 + o_custkey % 400 + CASE WHEN o_orderpriority = '2-HIGH' THEN 0 ELSE o_orderkey % 2 END AS BIGINT) AS want_end FROM {orders}
 """
+
+# Family members; families f1, f2 and f3 lack the father, the mother and both.
+VIEWS["fx_member"] = """
+SELECT * FROM {fx_sample} WHERE NOT (family = 'f1' AND relation = 'father') AND NOT (family = 'f2' AND relation = 'mother')
+ AND NOT (family = 'f3' AND relation IN ('mother', 'father'))
+"""
+
+# Family genotypes; every third locus follows the affection status, the others are mixed.
+VIEWS["fx_fam"] = """
+SELECT m.family, m.sample, m.relation, m.affected, chrom, pos, gene, var_type, rare,
+ CASE WHEN p % 3 = 0 THEN CASE WHEN m.affected = 1 THEN CASE (q + p_size) % 3 WHEN 0 THEN 'ref' WHEN 1 THEN 'het' ELSE 'hom' END
+   WHEN m.relation = 'mother' THEN CASE WHEN q % 2 = 0 THEN 'ref' ELSE 'het' END
+   WHEN m.relation = 'father' THEN CASE WHEN (q + p_size) % 2 = 0 THEN 'het' ELSE 'ref' END
+   ELSE CASE WHEN p_size % 4 = 0 THEN 'het' ELSE 'ref' END END
+  ELSE CASE WHEN code < 4 THEN 'ref' WHEN code < 7 THEN 'het' WHEN code < 9 THEN 'hom' ELSE 'No data' END END AS zyg
+FROM (SELECT CAST(CASE WHEN p_partkey % 23 = 22 THEN 'X' ELSE CAST(1 + p_partkey % 23 AS STRING) END AS STRING) AS chrom,
+  CAST(1000 + p_partkey * 150 AS BIGINT) AS pos, 'G' || CAST(floor(p_partkey / 12) AS BIGINT) AS gene, p_partkey AS p, p_size,
+  CAST(floor(p_partkey / 3) AS BIGINT) AS q, CASE WHEN p_size % 5 = 0 THEN 'indel' ELSE 'snv' END AS var_type,
+  p_size % 2 AS rare, k AS n, (p_partkey * (k + 3) + p_size * 7 + k * k) % 10 AS code
+ FROM (SELECT p_partkey, p_size, EACH(0,24) AS k FROM {part}) a) g JOIN {fx_member} m ON m.sample_no = g.n
+"""
