@@ -13,6 +13,7 @@ MODULES = (
     "source_queries",
     "aggregate_queries",
     "pedigree_queries",
+    "sv_queries",
 )
 
 for _name in MODULES:

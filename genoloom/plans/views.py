@@ -264,3 +264,53 @@ FROM (SELECT CAST(CASE WHEN p_partkey % 23 = 22 THEN 'X' ELSE CAST(1 + p_partkey
   p_size % 2 AS rare, k AS n, (p_partkey * (k + 3) + p_size * 7 + k * k) % 10 AS code
  FROM (SELECT p_partkey, p_size, EACH(0,24) AS k FROM {part}) a) g JOIN {fx_member} m ON m.sample_no = g.n
 """
+
+# SV records as four callers write them. Translocations and inversions are breakends; every
+# translocation also has its mate record.
+_SV_BASE = """
+SELECT *, CASE sv_type WHEN 'del' THEN 'DEL' WHEN 'dup' THEN 'DUP' WHEN 'ins' THEN 'INS' ELSE 'BND' END AS code,
+ CAST(substr(sv_id, 3) AS BIGINT) AS n FROM {fx_sv}
+"""
+
+VIEWS["fx_lumpy"] = """
+SELECT concat_ws(chr(9), 'chr' || chr1, CAST(coord1 AS STRING), CAST(n AS STRING) || '_1', 'N', CASE WHEN code = 'BND' THEN 'N]chr' || chr2 || ':' || coord2 || ']' ELSE '<' || code || '>' END, '.', '.',
+ 'SVTYPE=' || code || ';' || CASE WHEN sv_type = 'inv' THEN 'STRANDS=++:5;' ELSE 'STRANDS=+-:5;' END || CASE WHEN code <> 'BND' THEN 'SVLEN=-' || (coord2 - coord1) || ';END=' || coord2 || ';' ELSE '' END || 'SU=9;PE=' || (n % 7) || ';SR=' || (n % 5)) AS line
+FROM (""" + _SV_BASE + """) b
+UNION ALL SELECT concat_ws(chr(9), 'chr' || chr2, CAST(coord2 AS STRING), CAST(n AS STRING) || '_2', 'N', 'N]chr' || chr1 || ':' || coord1 || ']', '.', '.',
+ 'SVTYPE=BND;STRANDS=+-:5;' || CASE WHEN n % 2 = 0 THEN 'SECONDARY;' ELSE '' END || 'SU=9;PE=' || (n % 7) || ';SR=' || (n % 5)) FROM (""" + _SV_BASE + """) b WHERE sv_type = 'tra'
+"""
+
+VIEWS["fx_delly"] = """
+SELECT concat_ws(chr(9), 'chr' || chr1, CAST(coord1 AS STRING), 'D' || n, 'N', CASE WHEN code = 'BND' THEN 'N]chr' || chr2 || ':' || coord2 || ']' ELSE '<' || code || '>' END, '.', CASE WHEN n % 10 = 0 THEN 'LowQual' ELSE 'PASS' END,
+ 'PRECISE;SVTYPE=' || code || ';CHR2=chr' || chr2 || ';END=' || coord2 || ';PE=' || (n % 7) || ';MAPQ=' || (n % 60) || CASE WHEN n % 3 = 0 THEN ';SR=' || (n % 5) ELSE '' END
+  || CASE WHEN code = 'INS' THEN ';CONSENSUS=' || repeat('ACGT', CAST(1 + n % 300 AS INT)) ELSE '' END) AS line FROM (""" + _SV_BASE + """) b
+"""
+
+VIEWS["fx_manta"] = """
+SELECT concat_ws(chr(9), CASE WHEN n % 50 = 7 THEN 'GL000' ELSE 'chr' || chr1 END, CAST(coord1 AS STRING), 'M' || n, 'A', CASE WHEN code = 'BND' THEN 'A]chr' || chr2 || ':' || coord2 || ']' WHEN code = 'INS' THEN 'AGG' ELSE '<' || code || '>' END,
+ CAST(n % 999 AS STRING), CASE WHEN n % 6 = 0 THEN 'MinQUAL' ELSE 'PASS' END, 'X=1;SVTYPE=' || code || CASE WHEN code <> 'BND' THEN ';END=' || coord2 ELSE '' END || CASE WHEN code IN ('DEL', 'DUP') THEN ';SVLEN=-' || (coord2 - coord1) ELSE '' END
+  || CASE WHEN code = 'INS' AND n % 2 = 0 THEN ';SEQ=' || repeat('AC', CAST(1 + n % 600 AS INT)) ELSE '' END, CASE WHEN n % 4 = 0 THEN 'GT:PR' ELSE 'GT:PR:SR' END,
+ '0/1:9,' || (n % 8) || CASE WHEN n % 4 = 0 THEN '' ELSE ':7,' || (n % 9) END, '0/0:9,0' || CASE WHEN n % 4 = 0 THEN '' ELSE ':7,1' END, '1/1:0,' || (n % 6) || CASE WHEN n % 4 = 0 THEN '' ELSE ':0,' || (n % 3) END) AS line
+FROM (""" + _SV_BASE + """) b
+"""
+
+VIEWS["fx_longread"] = """
+SELECT concat_ws(chr(9), 'chr' || chr1, CAST(coord1 AS STRING), 'L' || n, 'A', CASE WHEN sv_type = 'tra' THEN 'A]chr' || chr2 || ':' || coord2 || ']' WHEN sv_type = 'ins' THEN repeat('ACGT', CAST(1 + n % 300 AS INT)) ELSE '<' || sv_type || '>' END,
+ '60', CASE WHEN n % 6 = 0 THEN 'NEAR' ELSE 'PASS' END, 'PRECISE;SVTYPE=' || upper(CASE WHEN sv_type = 'tra' THEN 'bnd' ELSE sv_type END) || CASE WHEN sv_type = 'tra' THEN '' ELSE ';END=' || coord2 || ';SVLEN=-' || (coord2 - coord1) END,
+ 'GT:DR:DV', '0/1:' || (n % 11) || ':' || (n % 13)) AS line FROM (""" + _SV_BASE + """) b
+UNION ALL SELECT concat_ws(chr(9), 'chr' || chr2, CAST(coord2 AS STRING), 'L' || n || 'm', 'A', 'A]chr' || chr1 || ':' || coord1 || ']', '60', CASE WHEN n % 6 = 0 THEN 'NEAR' ELSE 'PASS' END, 'PRECISE;SVTYPE=BND', 'GT:DR:DV', '0/1:' || (n % 11) || ':' || (n % 13))
+FROM (""" + _SV_BASE + """) b WHERE sv_type = 'tra'
+"""
+
+# Known population events near the called ones.
+VIEWS["fx_svpop"] = """
+SELECT chr1 AS chrom, coord1 + (coord2 % 300) AS start, coord2 + (coord1 % 400) AS "end", sv_type, 'dgv' || sv_id || ' ' || (coord1 % 90) || '%' AS entry
+FROM {fx_sv} WHERE sv_type <> 'tra' AND coord1 % 3 = 0
+"""
+
+# Family SVs: each proband event recurs, shifted, in one relative.
+VIEWS["fx_famsv"] = """
+SELECT 'p' || n AS sv_id, chr1, coord1, chr2, coord2, sv_type, 's' || (5 * (n % 5) + 2) AS sample FROM (""" + _SV_BASE + """) b
+UNION ALL SELECT 'o' || n, CASE WHEN sv_type = 'tra' AND n % 2 = 0 THEN chr2 ELSE chr1 END, CASE WHEN sv_type = 'tra' AND n % 2 = 0 THEN coord2 ELSE coord1 END + (n % 700),
+ CASE WHEN sv_type = 'tra' AND n % 2 = 0 THEN chr1 ELSE chr2 END, CASE WHEN sv_type = 'tra' AND n % 2 = 0 THEN coord1 ELSE coord2 END + (n % 300), sv_type, 's' || (5 * (n % 5) + CASE n % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 4 END) FROM (""" + _SV_BASE + """) b
+"""
