@@ -14,6 +14,7 @@ MODULES = (
     "aggregate_queries",
     "pedigree_queries",
     "sv_queries",
+    "annotation_queries",
 )
 
 for _name in MODULES:

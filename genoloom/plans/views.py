@@ -314,3 +314,47 @@ SELECT 'p' || n AS sv_id, chr1, coord1, chr2, coord2, sv_type, 's' || (5 * (n %
 UNION ALL SELECT 'o' || n, CASE WHEN sv_type = 'tra' AND n % 2 = 0 THEN chr2 ELSE chr1 END, CASE WHEN sv_type = 'tra' AND n % 2 = 0 THEN coord2 ELSE coord1 END + (n % 700),
  CASE WHEN sv_type = 'tra' AND n % 2 = 0 THEN chr1 ELSE chr2 END, CASE WHEN sv_type = 'tra' AND n % 2 = 0 THEN coord1 ELSE coord2 END + (n % 300), sv_type, 's' || (5 * (n % 5) + CASE n % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 4 END) FROM (""" + _SV_BASE + """) b
 """
+
+# Reference bases under the exons, and coding SNVs on them.
+VIEWS["fx_base"] = """
+SELECT DISTINCT chrom, start + j AS pos, substr('ACGTTGCA', CAST(1 + ((start + j) * 7 + CAST(floor((start + j) / 8) AS BIGINT)) % 8 AS INT), 1) AS base
+FROM (SELECT chrom, start, "end", EACH(0,26) AS j FROM {fx_exon}) e WHERE start + j <= "end"
+"""
+
+VIEWS["fx_csnv"] = """
+SELECT chrom, pos, base AS ref, translate(base, 'ACGT', 'CTAG') AS alt FROM {fx_base} WHERE (pos * 13) % 7 < 3
+"""
+
+# Predictor rows: a canonical and a second transcript per variant.
+VIEWS["fx_vep"] = """
+SELECT *, concat_ws(chr(9), uploaded, location, allele, gene, transcript, 'Transcript', csq, '1', '2', '77', aa, 'cgA/cTa', existing, extra) AS line
+FROM (SELECT *, CASE kind WHEN 'SNV' THEN chrom || '_' || pos || '_A/' || alt WHEN 'DEL' THEN chrom || '_' || pos || '_ACG/-' ELSE chrom || '_' || pos || '_A/A' || alt || 'T' END AS uploaded,
+  CASE kind WHEN 'DEL' THEN chrom || ':' || pos || '-' || (pos + 2) ELSE chrom || ':' || pos END AS location,
+  CASE kind WHEN 'SNV' THEN alt WHEN 'DEL' THEN '-' ELSE 'A' || alt || 'T' END AS allele,
+  CASE kind WHEN 'SNV' THEN alt WHEN 'DEL' THEN '-ACG' ELSE '+' || alt || 'T' END AS want_base,
+  CASE n % 3 WHEN 0 THEN 'R/Q' WHEN 1 THEN 'W/*' ELSE 'L' END AS aa, CASE WHEN n % 4 = 0 THEN '-' ELSE 'rs' || n END AS existing,
+  'IMPACT=LOW;' || CASE WHEN k = 0 THEN 'CANONICAL=YES;SYMBOL=S' || (n % 90) || ';' || CASE WHEN n % 5 < 2 THEN 'EXON=' || (1 + n % 7) || '/9;' WHEN n % 5 = 2 THEN 'INTRON=2/8;' ELSE '' END ELSE 'EXON=9/9;' END
+   || CASE WHEN n % 2 = 0 THEN 'PolyPhen=benign(0.' || (n % 10) || ');SIFT=tolerated_low(0.0' || (n % 7) || ');' ELSE '' END || 'AF=0.0' || (n % 30) || CASE WHEN n % 7 = 0 THEN ';CADD_PHRED=2' || (n % 9) ELSE '' END
+   || CASE WHEN n % 6 = 0 THEN ';gnomAD_AF=0.00' || (n % 10) || ';CLIN_SIG=benign' ELSE '' END AS extra
+ FROM (SELECT o_orderkey AS n, k, CAST(1 + o_custkey % 22 AS STRING) AS chrom, CAST(1000 + o_orderkey * 40 AS BIGINT) AS pos, substr('CGT', CAST(1 + o_custkey % 3 AS INT), 1) AS alt,
+   CASE o_orderpriority WHEN '1-URGENT' THEN 'DEL' WHEN '2-HIGH' THEN 'INS' ELSE 'SNV' END AS kind, 'ENSG' || (o_custkey % 300) AS gene, 'ENST' || o_orderkey || k AS transcript,
+   CASE WHEN o_custkey % 2 = 0 THEN 'missense_variant' ELSE 'stop_gained' END AS csq FROM (SELECT o_orderkey, o_custkey, o_orderpriority, EACH(0,1) AS k FROM {orders}) a) b) c
+"""
+
+# Report rows of one run, one per order.
+VIEWS["fx_report"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(1 + o_custkey % 22 AS STRING) AS chrom, CAST(1000 + o_orderkey * 40 AS BIGINT) AS start, CAST(1000 + o_orderkey * 40 AS BIGINT) AS "end",
+ CASE o_orderpriority WHEN '1-URGENT' THEN 'DEL' WHEN '2-HIGH' THEN 'INS' ELSE 'SNV' END AS var_type, substr('ACGT', CAST(1 + o_orderkey % 4 AS INT), 1) AS ref, substr('CGTA', CAST(1 + o_orderkey % 4 AS INT), 1) AS alt,
+ CASE o_orderkey % 5 WHEN 0 THEN 'PASS' WHEN 1 THEN 'N/A' ELSE 'FAIL' END AS filter_dbsnp,
+ CASE WHEN o_orderkey % 5 < 2 OR o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_custkey % 100 AS DOUBLE) / 100 END AS var_freq,
+ CASE WHEN o_orderkey % 5 < 2 OR o_orderkey % 11 = 0 THEN NULL ELSE CAST(99 - o_custkey % 100 AS DOUBLE) / 100 END AS ref_freq,
+ CAST(o_custkey % 40 AS INT) AS depth, CAST(o_orderkey % 45 AS INT) AS quality, 'G' || (o_custkey % 700) AS gene,
+ CASE o_custkey % 6 WHEN 0 THEN 'SYN' WHEN 1 THEN 'NONSENSE' WHEN 2 THEN 'SPLICE (2)' WHEN 3 THEN 'SPLICE (7)' ELSE 'MISSENSE' END AS exon_type,
+ CASE WHEN o_custkey % 8 = 0 THEN 'PREVIOUSLY_SEEN' ELSE 'NOT_SEEN' END AS filter_common, CASE WHEN o_custkey % 9 = 0 THEN 'FAIL' WHEN o_custkey % 9 = 1 THEN 'N/A' ELSE 'PASS' END AS filter_exac,
+ CASE o_orderkey % 4 WHEN 0 THEN 'N/A' WHEN 1 THEN 'No_freq' WHEN 2 THEN '0.00' || (1 + o_custkey % 9) ELSE '0.0' || (1 + o_custkey % 9) END AS freq_text,
+ CASE WHEN o_custkey % 3 = 0 THEN 'N/A' ELSE 'A->G:0.0' || (o_custkey % 5) || ':99' END AS exac, CASE WHEN o_orderkey % 7 = 0 THEN 'N/A' ELSE '0.0' || (o_orderkey % 9) END AS sift_score,
+ CASE WHEN o_orderkey % 13 = 0 THEN 'N/A' ELSE '0.' || (o_orderkey % 10) END AS polyphen_score, CASE WHEN o_orderkey % 6 = 0 THEN 'N/A' ELSE CAST(o_custkey % 30 AS STRING) END AS cadd_phred,
+ CASE o_custkey % 4 WHEN 0 THEN 'NO_GO' WHEN 1 THEN 'immune response' ELSE 'cell cycle' END AS go, CASE o_custkey % 5 WHEN 0 THEN 'NO_PHENOTYPE' WHEN 1 THEN 'colitis in adults' ELSE 'short stature' END AS phenotype,
+ 's' || (o_custkey % 25) || ',s' || (o_orderkey % 25) AS samples, 's2' AS proband, CASE WHEN o_orderkey % 4 = 3 THEN 'FAIL REASONS: x' ELSE 'OVERALL_PASS' END AS given_status,
+ CAST(o_custkey % 5 AS BIGINT) AS affected_carriers, CAST(o_orderkey % 3 AS BIGINT) AS unaffected_carriers FROM {orders}
+"""
