@@ -224,14 +224,15 @@ def cell_matrix(geno: DataFrame, pools: Sequence[str], known: DataFrame, keys: S
     without a call. ``known`` carries ``rs`` and ``gnomad`` per variant.
     """
     code = F.when(F.col("zyg") == "ref", 0).when(F.col("zyg") == "No data", 3).otherwise(1)
-    pool_ref = geno.where(F.col("sample").isin(*pools)).groupBy(*keys).agg(
-        count_if(F.col("zyg") == "ref").alias("_r")).where(F.col("_r") == len(pools)).select(*keys)
+    in_pool, in_cells = F.col("sample").isin(*pools), F.col("sample").isin(*cells)
+    # The choice of variants is made on the long form, so only kept variants are pivoted.
+    per = geno.groupBy(*keys).agg(
+        count_if(in_pool & (F.col("zyg") == "ref")).alias("_r"), count_if(in_cells & (code != 3)).alias("_called"))
+    keep = per.where((F.col("_r") == len(pools)) & (F.lit(len(cells)) - F.col("_called") < max_no_call)).select(*keys)
     listed = known.where(F.col("rs").isNotNull() | (F.col("gnomad") > max_gnomad)).select(*keys)
-    body = geno.where(F.col("sample").isin(*cells)).withColumn("_c", code)
-    wide = body.groupBy(*keys).pivot("sample", list(cells)).agg(F.max("_c")).fillna(3, subset=list(cells))
-    missing = sum((F.when(F.col(c) == 3, 1).otherwise(0) for c in cells), F.lit(0))
-    return (
-        wide.where(missing < max_no_call).join(pool_ref, list(keys), "left_semi").join(listed, list(keys), "left_anti"))
+    clean = keep.join(listed, list(keys), "left_anti")
+    body = geno.where(in_cells).withColumn("_c", code).join(clean, list(keys), "left_semi")
+    return body.groupBy(*keys).pivot("sample", list(cells)).agg(F.max("_c")).fillna(3, subset=list(cells))
 
 
 def sort_by_column(df: DataFrame, column: str) -> DataFrame:

@@ -15,6 +15,8 @@ MODULES = (
     "pedigree_queries",
     "sv_queries",
     "annotation_queries",
+    "report_queries",
+    "sequence_queries",
 )
 
 for _name in MODULES:
