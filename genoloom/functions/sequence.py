@@ -21,7 +21,8 @@ def amino(codon: Column) -> Column:
         return F.instr(F.lit(CODON_ORDER), F.substr(codon, F.lit(i), F.lit(1))) - 1
 
     at = place(1) * 16 + place(2) * 4 + place(3) + 1
-    return F.when(codon.rlike("^[ACGT][ACGT][ACGT]$"), F.substr(F.lit(CODON_AMINO), at, F.lit(1))).otherwise("")
+    known = (F.length(codon) == 3) & (F.least(place(1), place(2), place(3)) >= 0)
+    return F.when(known, F.substr(F.lit(CODON_AMINO), at, F.lit(1))).otherwise("")
 
 
 def translate_codons(c: Column) -> Column:

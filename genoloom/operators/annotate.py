@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoloom.functions.sequence import revcomp, translate_codons
+from genoloom.functions.sequence import amino, revcomp
 from genoloom.functions.stats import sorted_text
 from genoloom.functions.text import attr_map, matched
 from genoloom.operators.chunks import once
@@ -144,7 +144,7 @@ def residue_position(calls: DataFrame, exons: DataFrame, bin_width: int = 1000)
     from genoloom.operators.intervals import locus_pairs
 
     sites = calls.select("chrom", F.col("pos").alias("start"), F.col("pos").alias("end")).distinct()
-    hits = locus_pairs(sites, coding_offsets(exons), bin_width=bin_width)
+    hits = locus_pairs(sites, coding_offsets(exons), bin_width=bin_width, longest=0)
     at = hits.select(
         "chrom", F.col("start").alias("pos"), "gene", "strand", "offset", "cds_length",
         F.col("c_start").alias("start"), F.col("c_end").alias("end"))
@@ -337,7 +337,7 @@ def recompute_residue(calls: DataFrame, table: DataFrame) -> DataFrame:
     changed = F.overlay("codon", "alt", F.col("place") + 1)
 
     def residue(codon: Column) -> Column:
-        return translate_codons(F.when(F.col("strand") == "-", revcomp(codon)).otherwise(codon))
+        return amino(F.when(F.col("strand") == "-", revcomp(codon)).otherwise(codon))
 
     out = once(j, aa_ref=residue(F.col("codon")), aa_new=residue(changed))
     return out.where((F.col("aa_new") != "_") & (F.col("aa_new") != F.col("aa_ref"))).select(

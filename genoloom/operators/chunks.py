@@ -40,7 +40,7 @@ def with_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame
 def running_sum(df: DataFrame, part: Sequence[str], order: Sequence[Column], chunk: Column, value: str,
                 out: str) -> DataFrame:
     """Inclusive running sum of ``value``; ``chunk`` must not decrease along ``order``."""
-    cut = df.withColumn("_chunk", chunk)
+    cut = df.withColumn("_chunk", chunk).repartition(*part, "_chunk")
     within = Window.partitionBy(*part, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -63,7 +63,9 @@ def run_ids(df: DataFrame, part: Sequence[str], order: Sequence[str], state: Seq
     and says whether a new run begins; the first row of a partition always begins one.
     """
     part, order = list(part), list(order)
-    cut = df.withColumn("_chunk", chunk).withColumn("_state", F.struct(*state))
+    # One explicit exchange below the three uses of the frame, so that its input is worked out
+    # once; pass a frame with only the needed columns, else the uses are pruned differently.
+    cut = df.withColumn("_chunk", chunk).withColumn("_state", F.struct(*state)).repartition(*part, "_chunk")
     within = Window.partitionBy(*part, "_chunk").orderBy(*order)
     over_chunks = Window.partitionBy(*part).orderBy("_chunk")
     edges = (

@@ -24,7 +24,7 @@ def exon_ranges(exons: DataFrame, name: str = "exon") -> DataFrame:
 def _covered(exons: DataFrame, depth: DataFrame) -> DataFrame:
     """(range, pos, depth) rows: every measured position inside an exon range."""
     points = depth.select("chrom", F.col("pos").alias("start"), F.col("pos").alias("end"), "depth")
-    hits = locus_pairs(points, exon_ranges(exons).select("chrom", "start", "end"))
+    hits = locus_pairs(points, exon_ranges(exons).select("chrom", "start", "end"), longest=0)
     return hits.select("chrom", F.col("c_start").alias("start"), F.col("c_end").alias("end"),
                        F.col("start").alias("pos"), "depth")
 
@@ -95,7 +95,7 @@ def gene_depth(genes: DataFrame, depth: DataFrame, margin: int = 100_000, gene:
     points = depth.groupBy("chrom", "pos").agg(F.sum("depth").alias("depth")).select(
         "chrom", F.col("pos").alias("start"), F.col("pos").alias("end"), "depth")
     wide = widen(genes.select("chrom", "start", "end", gene), margin)
-    return locus_pairs(points, wide, bin_width=10_000).groupBy(gene).agg(
+    return locus_pairs(points, wide, bin_width=10_000, longest=0).groupBy(gene).agg(
         F.count("*").alias("positions"), F.sum("depth").alias("total_depth"), F.avg("depth").alias("mean_depth"))
 
 

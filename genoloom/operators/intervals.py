@@ -81,14 +81,16 @@ def _residual(mode: str, max_distance: int | None) -> Column:
 
 
 def locus_pairs(loci: DataFrame, coord: DataFrame, mode: str = "any", max_distance: int | None = None,
-                keys: Sequence[str] = ("chrom",), bin_width: int = BIN) -> DataFrame:
+                keys: Sequence[str] = ("chrom",), bin_width: int = BIN, longest: int | None = None) -> DataFrame:
     """Pairs of a locus (``keys, start, end``) and an annotation interval (``c_start, c_end`` + rest).
 
     Both sides should be distinct. Without a distance, each interval is listed in the bins of
     its own level and of the coarser levels the other side uses, two bins per level at most,
     so neither long nor short intervals multiply. Codes 0.. pair a locus with annotation of its
     own or a coarser level, codes 10.. pair it with finer annotation. A pair meets in several
-    bins only when both cross a border; it is emitted in the bin of the larger start. With a distance, cells of
+    bins only when both cross a border; it is emitted in the bin of the larger start. The levels
+    in use are found by one-row aggregates; ``longest``, an upper bound of ``end - start`` over
+    the loci (0 for points, checked at run time), spares that pass over the larger side. With a distance, cells of
     (start, end) are joined with their neighbours, which keeps a hot start position apart by
     end position.
     """
@@ -114,7 +116,13 @@ def locus_pairs(loci: DataFrame, coord: DataFrame, mode: str = "any", max_distan
     # Levels in use on each side: one-row aggregates read as scalar subqueries.
     level = _level(bin_width)
     used = F.expr(f"collect_set({level})")
-    theirs_l, theirs_r = coord.agg(used).scalar(), loci.agg(used).scalar()
+    theirs_l = coord.agg(used).scalar()
+    if longest is None:
+        theirs_r = loci.agg(used).scalar()
+    else:
+        theirs_r = F.array(*[F.lit(lv) for lv in range(LEVELS) if lv == 0 or longest > bin_width * FANOUT ** (lv - 1)])
+        loci = loci.withColumn("end", F.when(F.col("end") - F.col("start") <= longest, F.col("end")).otherwise(
+            F.raise_error(F.lit(f"locus longer than the declared {longest}"))))
     left = _spread(
         loci.withColumns({"_own": F.expr(level), "_theirs": theirs_l}),
         "concat(filter(_theirs, v -> v >= _own), if(exists(_theirs, v -> v < _own), array(_own + 10), array()))",
@@ -134,11 +142,11 @@ def locus_pairs(loci: DataFrame, coord: DataFrame, mode: str = "any", max_distan
 
 
 def overlap_pairs(ref: DataFrame, coord: DataFrame, mode: str = "any", max_distance: int | None = None,
-                  keys: Sequence[str] = ("chrom",), bin_width: int = BIN) -> DataFrame:
+                  keys: Sequence[str] = ("chrom",), bin_width: int = BIN, longest: int | None = None) -> DataFrame:
     """OVL-1..6, OVL-10: one row per ref row and matching annotation interval."""
     keys = list(keys)
     loci = ref.select(*keys, "start", "end").distinct()
-    pairs = locus_pairs(loci, coord, mode, max_distance, keys, bin_width)
+    pairs = locus_pairs(loci, coord, mode, max_distance, keys, bin_width, longest)
     return ref.join(pairs, [*keys, "start", "end"])
 
 
@@ -181,7 +189,7 @@ def overlap_matches(ref: DataFrame, coord: DataFrame, name: str = "name", mode:
                     max_distance: int | None = None, keep_unmatched: str | None = None,
                     ignore: Sequence[str] = (), underscore: bool = False, flag_dups: bool = False,
                     group_by_name: bool = True, keys: Sequence[str] = ("chrom",), bin_width: int = BIN,
-                    sep: str = "^^^") -> DataFrame:
+                    sep: str = "^^^", longest: int | None = None) -> DataFrame:
     """OVL-7, OVL-9, OVL-11..15: ``matches`` text and ``n_matches`` per ref row.
 
     Matching works on distinct loci, so any number of calls at one place costs one lookup; the
@@ -201,7 +209,7 @@ def overlap_matches(ref: DataFrame, coord: DataFrame, name: str = "name", mode:
                                  .otherwise(F.col(name)))
     intervals = coord.select(*keys, "start", "end", F.col(name).cast("string").alias("_name")).distinct()
     loci = ref.select(*keys, "start", "end").distinct()
-    pairs = locus_pairs(loci, intervals, mode, max_distance, keys, bin_width)
+    pairs = locus_pairs(loci, intervals, mode, max_distance, keys, bin_width, longest)
     per_locus = pairs.groupBy(*keys, "start", "end").agg(
         sorted_text(F.col("_name"), sep).alias("matches"),
         F.count_distinct("_name").alias("n_matches"),
@@ -216,12 +224,13 @@ def overlap_matches(ref: DataFrame, coord: DataFrame, name: str = "name", mode:
 
 
 def overlap_any(ref: DataFrame, coord: DataFrame, mode: str = "any", max_distance: int | None = None,
-                keys: Sequence[str] = ("chrom",), bin_width: int = BIN, how: str = "left_semi") -> DataFrame:
+                keys: Sequence[str] = ("chrom",), bin_width: int = BIN, how: str = "left_semi",
+                longest: int | None = None) -> DataFrame:
     """Ref rows with (``left_semi``) or without (``left_anti``, OVL-8) any match."""
     keys = list(keys)
     loci = ref.select(*keys, "start", "end").distinct()
     spans = coord.select(*keys, "start", "end").distinct()
-    hit = locus_pairs(loci, spans, mode, max_distance, keys, bin_width).select(*keys, "start", "end").distinct()
+    hit = locus_pairs(loci, spans, mode, max_distance, keys, bin_width, longest).select(*keys, "start", "end").distinct()
     return ref.join(hit, [*keys, "start", "end"], how)
 
 
@@ -254,7 +263,7 @@ def genes_at_points(points: DataFrame, exons: DataFrame, splice: int = 10, colum
     if extra:
         extents = extents.join(exons.select(gene, *extra).distinct(), gene)
     loci = points.select("chrom", "start", "end").distinct()
-    pairs = locus_pairs(loci, extents)
+    pairs = locus_pairs(loci, extents, longest=0)
     per_locus = pairs.groupBy("chrom", "start", "end").agg(*[sorted_text(F.col(c)).alias(c) for c in columns])
     return points.join(per_locus, ["chrom", "start", "end"], "left")
 
@@ -279,7 +288,7 @@ def merge_intervals(df: DataFrame, part: Sequence[str] = ("chrom",), gap: int =
     """
     part = list(part)
     lone = df.groupBy(*part, "start").agg(F.max("end").alias("end"))
-    cut = lone.withColumn("_chunk", F.floor(F.col("start") / CHUNK))
+    cut = lone.withColumn("_chunk", F.floor(F.col("start") / CHUNK)).repartition(*part, "_chunk")
     within = Window.partitionBy(*part, "_chunk").orderBy("start")
     chunks = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     reach = (

@@ -101,16 +101,26 @@ def disease_inheritance(geno: DataFrame, roles: DataFrame, keys: Sequence[str] =
 
 
 def with_parents(geno: DataFrame, roles: DataFrame, keys: Sequence[str] = LOCUS) -> DataFrame:
-    """Children's rows with the parents' zygosities (``mz``, ``fz``, null when not sequenced)."""
-    parents = geno.where(F.col("relation").isin("mother", "father")).groupBy("family", *keys).agg(
-        _zyg_of("mother").alias("_m"), _zyg_of("father").alias("_f"))
-    children = geno.where(~F.col("relation").isin("mother", "father"))
-    return (
-        children.join(parents, ["family", *keys], "left")
-        .join(roles.select("family", "has_mother", "has_father"), "family")
-        .withColumn("mz", F.when(F.col("has_mother") == 1, F.coalesce("_m", F.lit("ref"))))
-        .withColumn("fz", F.when(F.col("has_father") == 1, F.coalesce("_f", F.lit("ref"))))
-        .drop("_m", "_f", "has_mother", "has_father"))
+    """Children's rows with the parents' zygosities (``mz``, ``fz``, null when not sequenced).
+
+    One grouping per family and locus gathers the parents and the children together; such a
+    group is no larger than the family. ``contradicted`` says that an unaffected child is hom or
+    an affected child is not het there (PED-11).
+    """
+    at = ["family", *keys]
+    is_child = ~F.col("relation").isin("mother", "father")
+    rest = [c for c in geno.columns if c not in at]
+    against = F.when(F.col("affected") == 1, F.col("zyg") != "het").otherwise(F.col("zyg") == "hom")
+    per = geno.groupBy(*at).agg(
+        _zyg_of("mother").alias("_m"), _zyg_of("father").alias("_f"),
+        F.max((is_child & against).cast("int")).alias("contradicted"),
+        F.collect_set(F.when(is_child, F.struct(*rest))).alias("_children"))
+    parents = roles.select("family", "has_mother", "has_father")
+    return per.join(parents, "family").select(
+        *at, "contradicted",
+        F.when(F.col("has_mother") == 1, F.coalesce("_m", F.lit("ref"))).alias("mz"),
+        F.when(F.col("has_father") == 1, F.coalesce("_f", F.lit("ref"))).alias("fz"),
+        F.inline("_children"))
 
 
 def _state_two(own: str, other: str) -> Column:
@@ -190,7 +200,7 @@ def phase_blocks(giving: DataFrame, min_variants: int = 2, min_span: int = 10_00
     part = ["family", "var_type", "chrom"]
     side = F.when(F.col("parent_allele").startswith("Mother"), "Mother").when(
         F.col("parent_allele").startswith("Father"), "Father").otherwise("No")
-    known = giving.where(F.col("parent_allele") != "?").withColumn("side", side)
+    known = giving.where(F.col("parent_allele") != "?").select(*part, "pos", side.alias("side"))
     runs = run_ids(known, part, ["pos"], ["side"], F.floor(F.col("pos") / CHUNK),
                    lambda prev, cur: prev["side"] != cur["side"])
     blocks = runs.where("side <> 'No'").groupBy(*part, "run", "side").agg(
@@ -211,78 +221,75 @@ def het_buckets(geno: DataFrame, roles: DataFrame, keys: Sequence[str] = LOCUS)
     """
     c = with_parents(geno, roles, keys).withColumn("origin", _het_origin())
     return c.where(F.col("origin").isNotNull() & F.col("gene").isNotNull()).select(
-        "family", "gene", "sample", "affected", *keys, "origin", "rare")
+        "family", "gene", "sample", "affected", *keys, "origin", "rare", "contradicted")
 
 
-def drop_contradicted(buckets: DataFrame, geno: DataFrame, keys: Sequence[str] = LOCUS) -> DataFrame:
+def drop_contradicted(buckets: DataFrame) -> DataFrame:
     """PED-11: remove a variant where an unaffected child is hom or an affected child is not het."""
-    child = ~F.col("relation").isin("mother", "father")
-    bad = geno.where(child & F.when(F.col("affected") == 1, F.col("zyg") != "het").otherwise(F.col("zyg") == "hom"))
-    return buckets.join(bad.select("family", *keys).distinct(), ["family", *keys], "left_anti")
-
-
-def _bucket_sizes(buckets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per family, gene and child: bucket sizes and an order-free signature of each bucket."""
-    h = F.xxhash64(*keys)
-
-    def of(origin: str, mark: str) -> list[Column]:
-        on = F.col("origin") == origin
-        return [count_if(on).alias(f"n_{mark}"), F.coalesce(F.bit_xor(F.when(on, h)), F.lit(0)).alias(f"h_{mark}")]
-
-    return buckets.groupBy("family", "gene", "sample").agg(*of("mother", "m"), *of("father", "f"), *of("either", "e"))
+    return buckets.where("contradicted = 0").drop("contradicted")
 
 
 def compound_hets(buckets: DataFrame, keys: Sequence[str] = LOCUS) -> DataFrame:
-    """PED-12, PED-13, PED-14: definite and possible compound hets per variant.
+    """PED-12, PED-13, PED-14: definite and possible compound hets per variant, over all and over rare variants.
 
     Definite: the child has variants from the mother and from the father in the gene. Possible:
     mother and either, else father and either, else two or more of either. The variant itself
-    must be in one of the buckets involved. ``def_com_het`` and ``pos_com_het`` list the
-    children, or say ``No`` when none or when the only form occurs in an unaffected child.
-    The bucket contents stay in the ``het_buckets`` frame rather than in each row's text.
+    must be in one of the buckets involved. The columns list the children, or say ``No`` when
+    none or when the only form occurs in an unaffected child. The bucket contents stay in the
+    ``het_buckets`` frame rather than in each row's text; forms are told apart by bucket size and
+    an order-free hash of the content. All and rare variants are judged in the same pass.
     """
-    sizes = _bucket_sizes(buckets, keys)
-    m, f, e = F.col("n_m") > 0, F.col("n_f") > 0, F.col("n_e") > 0
-    origin = F.col("origin")
-    pos_form = F.when(m & e, "me").when(f & e, "fe").when(F.col("n_e") > 1, "ee")
-    j = buckets.join(sizes, ["family", "gene", "sample"])
-    in_def = m & f & origin.isin("mother", "father")
-    in_pos = (
-        ((pos_form == "me") & origin.isin("mother", "either")) | ((pos_form == "fe") & origin.isin("father", "either"))
-        | ((pos_form == "ee") & (origin == "either")))
-    def_sig = F.struct("h_m", "h_f", "n_m", "n_f")
-    pos_sig = F.struct(pos_form.alias("k"), F.when(pos_form == "me", F.col("h_m")).when(pos_form == "fe", F.col("h_f")).alias("h"),
-                       F.col("h_e"))
-
-    def shown(cond: Column, sig: Column, mark: str) -> list[Column]:
-        hit = F.coalesce(cond, F.lit(False))
-        return [sorted_text(F.when(hit, F.col("sample"))).alias(f"_{mark}s"),
-                F.count_distinct(F.when(hit, sig)).alias(f"_{mark}n"),
-                F.coalesce(F.max(F.when(hit, 1 - F.col("affected"))), F.lit(0)).alias(f"_{mark}u")]
-
-    per = j.groupBy("family", "gene", *keys).agg(*shown(in_def, def_sig, "d"), *shown(in_pos, pos_sig, "p"))
-
-    def text(mark: str) -> Column:
-        return F.when((F.col(f"_{mark}n") == 0) | ((F.col(f"_{mark}n") == 1) & (F.col(f"_{mark}u") == 1)), "No").otherwise(
-            F.col(f"_{mark}s"))
-
-    return per.select("family", "gene", *keys, text("d").alias("def_com_het"), text("p").alias("pos_com_het"))
-
+    h = F.xxhash64(*keys)
+    scopes = {"": F.lit(True), "r": F.col("rare") == 1}
+    origins = {"m": "mother", "f": "father", "e": "either"}
+    sums = []
+    for tag, scope in scopes.items():
+        for mark, name in origins.items():
+            on = scope & (F.col("origin") == name)
+            sums += [count_if(on).alias(f"n{tag}_{mark}"), F.coalesce(F.bit_xor(F.when(on, h)), F.lit(0)).alias(f"h{tag}_{mark}")]
+    j = buckets.join(buckets.groupBy("family", "gene", "sample").agg(*sums), ["family", "gene", "sample"])
 
-def append_inheritance(inheritance: DataFrame, hets: DataFrame, rare_hets: DataFrame | None = None,
-                       keys: Sequence[str] = LOCUS) -> DataFrame:
+    origin = F.col("origin")
+    shown, names = [], []
+    for tag, scope in scopes.items():
+        n = {k: F.col(f"n{tag}_{k}") for k in origins}
+        x = {k: F.col(f"h{tag}_{k}") for k in origins}
+        form = F.when((n["m"] > 0) & (n["e"] > 0), "m").when((n["f"] > 0) & (n["e"] > 0), "f").when(n["e"] > 1, "e")
+        in_def = scope & (n["m"] > 0) & (n["f"] > 0) & origin.isin("mother", "father")
+        in_pos = scope & (
+            ((form == "m") & origin.isin("mother", "either")) | ((form == "f") & origin.isin("father", "either"))
+            | ((form == "e") & (origin == "either")))
+        def_sig = F.struct(x["m"], x["f"], n["m"], n["f"])
+        pos_sig = F.struct(form.alias("k"), F.when(form == "m", x["m"]).when(form == "f", x["f"]).alias("h"), x["e"].alias("e"))
+        for mark, cond, sig in (("def", in_def, def_sig), ("pos", in_pos, pos_sig)):
+            hit = F.coalesce(cond, F.lit(False))
+            col = f"{mark}_com_rare_het" if tag else f"{mark}_com_het"
+            names.append(col)
+            shown += [sorted_text(F.when(hit, F.col("sample"))).alias(f"_s_{col}"),
+                      F.size(F.collect_set(F.when(hit, F.struct(sig)))).alias(f"_n_{col}"),
+                      F.coalesce(F.max(F.when(hit, 1 - F.col("affected"))), F.lit(0)).alias(f"_u_{col}")]
+    per = j.groupBy("family", "gene", *keys).agg(*shown)
+
+    def text(col: str) -> Column:
+        forms = F.col(f"_n_{col}")
+        hidden = (forms == 0) | ((forms == 1) & (F.col(f"_u_{col}") == 1))
+        return F.when(hidden, "No").otherwise(F.col(f"_s_{col}")).alias(col)
+
+    return per.select("family", "gene", *keys, *[text(c) for c in names])
+
+
+# Column of the compound-het forms and the label appended to the inheritance text.
+COMPOUND_LABELS = {"def_com_het": "def_compound_het", "pos_com_het": "pos_compound_het",
+                   "def_com_rare_het": "def_compound_rare_het", "pos_com_rare_het": "pos_compound_rare_het"}
+
+
+def append_inheritance(inheritance: DataFrame, hets: DataFrame, keys: Sequence[str] = LOCUS) -> DataFrame:
     """PED-14: append the compound-het forms to the inheritance text; ``none`` is replaced."""
     at = ["family", *keys]
-    out = inheritance.join(hets.select(*at, "def_com_het", "pos_com_het"), at, "left")
-    marks = [("def_com_het", "def_compound_het"), ("pos_com_het", "pos_compound_het")]
-    if rare_hets is not None:
-        out = out.join(rare_hets.select(*at, F.col("def_com_het").alias("def_com_rare_het"),
-                                        F.col("pos_com_het").alias("pos_com_rare_het")), at, "left")
-        marks += [("def_com_rare_het", "def_compound_rare_het"), ("pos_com_rare_het", "pos_compound_rare_het")]
-    cols = [c for c, _ in marks]
-    out = out.fillna("No", subset=cols)
+    cols = list(COMPOUND_LABELS)
+    out = inheritance.join(hets.select(*at, *cols), at, "left").fillna("No", subset=cols)
     base = F.when(F.col("disease_inheritance") != "none", F.col("disease_inheritance"))
-    text = F.concat_ws(",", base, *[F.when(F.col(c) != "No", F.lit(label)) for c, label in marks])
+    text = F.concat_ws(",", base, *[F.when(F.col(c) != "No", F.lit(label)) for c, label in COMPOUND_LABELS.items()])
     return out.withColumn("disease_inheritance", F.when(text == "", "none").otherwise(text))
 
 

@@ -321,7 +321,7 @@ def gene_overlap(sv: DataFrame, genes: DataFrame, exons: DataFrame) -> DataFrame
 
     def names(side: DataFrame, ann: DataFrame, col: str, out: str, n: str | None = None) -> DataFrame:
         loci = side.select("chrom", "start", "end").distinct()
-        hits = locus_pairs(loci, ann.select("chrom", "start", "end", col).distinct(), bin_width=10_000)
+        hits = locus_pairs(loci, ann.select("chrom", "start", "end", col).distinct(), bin_width=10_000, longest=0 if out.startswith("breakpoint") else None)
         at = side.join(hits.select("chrom", "start", "end", col), ["chrom", "start", "end"])
         aggs = [sorted_text(F.col(col)).alias(out)] + ([F.count_distinct(col).alias(n)] if n else [])
         return at.groupBy("sv_id").agg(*aggs)

@@ -28,7 +28,7 @@ def exon_names(t):
 
 @query("ovl_1", SITE_GENE)
 def ovl_1(t):
-    return iv.overlap_pairs(sites(t), t.fx_gene.select("chrom", "start", "end", "gene"))
+    return iv.overlap_pairs(sites(t), t.fx_gene.select("chrom", "start", "end", "gene"), longest=0)
 
 
 @query("ovl_1_spans", GENE_EXON)
@@ -103,7 +103,7 @@ def gene_names(t):
 @query("ovl_7", f"""
 WITH m AS ({MATCHED}) SELECT chrom, start, "end", coalesce(m, 'NO_MATCH') AS matches, n AS n_matches FROM m""")
 def ovl_7(t):
-    return iv.overlap_matches(sites(t), gene_names(t), keep_unmatched="NO_MATCH")
+    return iv.overlap_matches(sites(t), gene_names(t), keep_unmatched="NO_MATCH", longest=0)
 
 
 @query("ovl_8", f'WITH m AS ({MATCHED}) SELECT chrom, start, "end" FROM m WHERE n = 0')

@@ -159,11 +159,11 @@ KEPT = f"""SELECT * FROM ({BUCKETS}) b WHERE NOT EXISTS (SELECT 1 FROM fx_fam x
 
 @query("ped_10", BUCKETS)
 def ped_10(t):
-    return pd.het_buckets(t.fx_fam, roles(t))
+    return pd.het_buckets(t.fx_fam, roles(t)).drop("contradicted")
 
 
 def kept(t):
-    return pd.drop_contradicted(pd.het_buckets(t.fx_fam, roles(t)), t.fx_fam)
+    return pd.drop_contradicted(pd.het_buckets(t.fx_fam, roles(t)))
 
 
 @query("ped_11", KEPT)
@@ -188,12 +188,12 @@ SELECT family, gene, chrom, pos, CASE WHEN nd = 0 OR (nd = 1 AND ud) THEN 'No' E
 
 @query("ped_12", f"WITH ch AS (SELECT * FROM ({compound('')}) c) SELECT family, gene, chrom, pos, def_com_het FROM ch WHERE def_com_het <> 'No'")
 def ped_12(t):
-    return pd.compound_hets(kept(t)).where("def_com_het <> 'No'").drop("pos_com_het")
+    return pd.compound_hets(kept(t)).where("def_com_het <> 'No'").select("family", "gene", "chrom", "pos", "def_com_het")
 
 
 @query("ped_13", f"WITH ch AS (SELECT * FROM ({compound('')}) c) SELECT family, gene, chrom, pos, pos_com_het FROM ch WHERE pos_com_het <> 'No'")
 def ped_13(t):
-    return pd.compound_hets(kept(t)).where("pos_com_het <> 'No'").drop("def_com_het")
+    return pd.compound_hets(kept(t)).where("pos_com_het <> 'No'").select("family", "gene", "chrom", "pos", "pos_com_het")
 
 
 APPENDED = f"""
@@ -206,9 +206,7 @@ FROM i LEFT JOIN c ON i.family = c.family AND i.chrom = c.chrom AND i.pos = c.po
 
 
 def appended(t):
-    buckets = kept(t)
-    return pd.append_inheritance(pd.disease_inheritance(t.fx_fam, roles(t)), pd.compound_hets(buckets),
-                                 pd.compound_hets(buckets.where("rare = 1")))
+    return pd.append_inheritance(pd.disease_inheritance(t.fx_fam, roles(t)), pd.compound_hets(kept(t)))
 
 
 @query("ped_14", APPENDED)

@@ -286,7 +286,7 @@ def flagship(t):
         ag.cohort_counts(geno, ["chrom", "pos", "ref", "alt"]).withColumn("mean_af", F.lit(None).cast("double")), min_samples=1)
     sites = counts.withColumn("start", F.col("pos")).withColumn("end", F.col("pos"))
     genes = t.fx_gene.select("chrom", "start", "end", F.col("gene").alias("name"))
-    named = iv.overlap_matches(sites, genes).withColumnRenamed("matches", "genes")
+    named = iv.overlap_matches(sites, genes, longest=0).withColumnRenamed("matches", "genes")
     rare = jn.annotate_position(named, t.fx_popfreq, ["freq"]).where("coalesce(freq, 0) <= 0.5")
     ordered = rare.orderBy(F.desc("var_count"), F.coalesce("freq", F.lit(0.0)), "chrom", "pos", "alt")
     return ordered.select("chrom", "pos", "ref", "alt", "genes", "het_count", "hom_count", "var_count", "carriers", "freq")

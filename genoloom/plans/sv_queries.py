@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from genoloom.operators import structural as sv
 from genoloom.plans.registry import query
+from genoloom.session import settle
 
 BASE = "SELECT *, CAST(substr(sv_id, 3) AS BIGINT) AS n FROM fx_sv"
 # One end of a translocation survives: the one that sorts first as text, then by position.
@@ -118,7 +119,7 @@ SELECT c.sv_id, c.sv_type, c.caller, c.coord1, c.final_status, c.event_id, CASE
 
 def passed(t):
     calls = t.fx_sv.withColumn("final_status", F.expr(STATUS))
-    return sv.propagate_status(calls, events(t))
+    return sv.propagate_status(calls, settle(events(t)))
 
 
 @query("sv_9", PASSED)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution re-plans joins from measured sizes and splits skewed partitions; the
 # forced variant keeps splitting even when the next grouping could have reused the exchange.
@@ -42,3 +42,14 @@ def shared_folder(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="genoloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and go on from the written table.
+
+    For a frame that feeds several branches and is dear to work out: it is computed once, later
+    stages do not depend on its lineage, and a lost executor costs a re-read only.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
