@@ -226,10 +226,17 @@ def overlap_matches(ref: DataFrame, coord: DataFrame, name: str = "name", mode:
 def overlap_any(ref: DataFrame, coord: DataFrame, mode: str = "any", max_distance: int | None = None,
                 keys: Sequence[str] = ("chrom",), bin_width: int = BIN, how: str = "left_semi",
                 longest: int | None = None) -> DataFrame:
-    """Ref rows with (``left_semi``) or without (``left_anti``, OVL-8) any match."""
+    """Ref rows with (``left_semi``) or without (``left_anti``, OVL-8) any match.
+
+    For plain overlap the annotation is merged into disjoint intervals first: whether a locus is
+    hit does not change, and a stack of annotation at one place cannot multiply the pairs.
+    """
     keys = list(keys)
     loci = ref.select(*keys, "start", "end").distinct()
-    spans = coord.select(*keys, "start", "end").distinct()
+    if mode == "any" and max_distance is None:
+        spans = merge_intervals(coord.select(*keys, "start", "end"), keys)
+    else:
+        spans = coord.select(*keys, "start", "end").distinct()
     hit = locus_pairs(loci, spans, mode, max_distance, keys, bin_width, longest).select(*keys, "start", "end").distinct()
     return ref.join(hit, [*keys, "start", "end"], how)
 

@@ -108,7 +108,7 @@ def ovl_7(t):
 
 @query("ovl_8", f'WITH m AS ({MATCHED}) SELECT chrom, start, "end" FROM m WHERE n = 0')
 def ovl_8(t):
-    return iv.overlap_unmatched(sites(t), t.fx_gene)
+    return iv.overlap_unmatched(sites(t), t.fx_gene, longest=0)
 
 
 @query("ovl_9", f'WITH m AS ({MATCHED}) SELECT chrom, start, "end", m AS matches, n AS n_matches FROM m WHERE n > 0')
@@ -231,9 +231,8 @@ SELECT count(*) AS covered_bases, CAST(sum(depth) AS BIGINT) AS total_depth, chr
 WHERE EXISTS (SELECT 1 FROM fx_gene g WHERE g.chrom = d.chrom AND g.start <= d.pos AND g."end" >= d.pos)
 GROUP BY chrom""")
 def ovl_19(t):
-    regions = iv.merge_intervals(t.fx_gene)
     points = t.fx_depth.select("chrom", F.col("pos").alias("start"), F.col("pos").alias("end"), "depth")
-    return iv.overlap_any(points, regions).groupBy("chrom").agg(
+    return iv.overlap_any(points, t.fx_gene, longest=0).groupBy("chrom").agg(
         F.count("*").alias("covered_bases"), F.sum("depth").alias("total_depth"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from genoloom.operators import filters as fl
 from genoloom.operators import pedigree as pd
 from genoloom.plans.registry import query
+from genoloom.session import settle
 
 ROLES = """
 SELECT family, CAST(sum(affected) AS BIGINT) AS aff_total, CAST(sum(1 - affected) AS BIGINT) AS unaff_total,
@@ -147,9 +148,9 @@ WITH g AS ({GIVES}), v AS (SELECT DISTINCT family, chrom, pos, var_type FROM fx_
 SELECT j.family, j.var_type, j.chrom, j.pos, j.parent_allele, coalesce(m.t, 'No') AS phase_info FROM j
 LEFT JOIN m ON m.family = j.family AND m.var_type = j.var_type AND m.chrom = j.chrom AND m.pos = j.pos""")
 def ped_9(t):
-    kinds = t.fx_fam.select("family", "chrom", "pos", "var_type").distinct()
-    giving = pd.affected_allele_parent(t.fx_fam, roles(t)).join(kinds, ["family", "chrom", "pos"])
-    return pd.phase_blocks(giving)
+    # One row per family and locus, read several times by the scan: written once.
+    giving = pd.affected_allele_parent(t.fx_fam, roles(t), ["chrom", "pos", "var_type"])
+    return pd.phase_blocks(settle(giving))
 
 
 BUCKETS = f"SELECT family, gene, sample, affected, chrom, pos, origin, rare FROM ({HET}) h WHERE origin IS NOT NULL"

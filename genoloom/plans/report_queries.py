@@ -12,6 +12,7 @@ from genoloom.operators import joins as jn
 from genoloom.operators import reports as rp
 from genoloom.plans.registry import query
 from genoloom.plans.sv_queries import BASE
+from genoloom.session import settle
 
 CLASSED = """
 SELECT *, CASE WHEN filter_dbsnp = 'N/A' THEN 'N/A' WHEN filter_dbsnp = 'PASS' THEN 'NOVEL' WHEN var_freq IS NULL THEN 'NO_FREQ' WHEN var_freq < 0.02 THEN 'RARE_ALLELE' WHEN ref_freq < 0.02 THEN 'RARE_REF' ELSE 'COMMON' END AS population_class,
@@ -71,8 +72,9 @@ UNION ALL SELECT 'passed', CASE WHEN sp THEN 'splice' ELSE 'exonic' END, count(*
 UNION ALL SELECT 'passed', 'distinct_genes', count(*), NULL FROM g UNION ALL SELECT 'passed', 'median_depth', median(depth), NULL FROM s WHERE ok UNION ALL SELECT 'passed', 'median_quality', median(quality), NULL FROM s WHERE ok
 UNION ALL SELECT 'genes_hit_again', gene, n, NULL FROM g WHERE n > 1""")
 def rpt_5(t):
-    return rp.run_summary(rp.fail_synonymous(ruled(t)).withColumnRenamed("var_type", "var_class").withColumn(
-        "var_type", F.col("var_class")))
+    rows = rp.fail_synonymous(ruled(t)).select(
+        F.col("var_type").alias("var_class"), "exon_type", "final_status", "gene", "depth", "quality")
+    return rp.run_summary(settle(rows))
 
 
 @query("rpt_6", "SELECT id, var_type, exon_type, depth, chrom, start FROM fx_report")

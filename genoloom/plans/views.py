@@ -358,3 +358,6 @@ SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(1 + o_custkey % 22 AS STRING) AS c
  's' || (o_custkey % 25) || ',s' || (o_orderkey % 25) AS samples, 's2' AS proband, CASE WHEN o_orderkey % 4 = 3 THEN 'FAIL REASONS: x' ELSE 'OVERALL_PASS' END AS given_status,
  CAST(o_custkey % 5 AS BIGINT) AS affected_carriers, CAST(o_orderkey % 3 AS BIGINT) AS unaffected_carriers FROM {orders}
 """
+
+# Views whose rows are text lines or base strings, costly to parse.
+TEXT_VIEWS = ("fx_vcf", "fx_vcfm", "fx_pileup", "fx_vep", "fx_lumpy", "fx_delly", "fx_manta", "fx_longread", "fx_exac")
