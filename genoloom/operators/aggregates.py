@@ -293,8 +293,8 @@ def significance_counts(df: DataFrame, keys: Sequence[str], p: str, effect: str,
 
 def cohort_variants(calls: DataFrame, coord: Sequence[str] = ("chrom", "start", "end", "bases")) -> DataFrame:
     """AGG-21: each distinct variant with the samples that have it."""
-    return calls.groupBy(*coord).agg(sorted_text(F.col("sample")).alias("samples"),
-                                     F.count_distinct("sample").alias("n_samples"))
+    return calls.groupBy(*coord).agg(F.collect_set("sample").alias("_s")).select(
+        *coord, F.array_join(F.array_sort("_s"), ",").alias("samples"), F.size("_s").cast("bigint").alias("n_samples"))
 
 
 def samples_by_type(samples: DataFrame, kind: str) -> DataFrame:

@@ -322,13 +322,12 @@ def residue_table(exons: DataFrame, bases: DataFrame) -> DataFrame:
         F.col("aa_number") < F.ceil(F.col("cds_length") / 3))
     named = placed.join(bases.select("chrom", "pos", "base"), ["chrom", "pos"]).select(
         "chrom", "pos", "gene", "strand", "aa_number", "base")
-    codons = named.groupBy("chrom", "gene", "aa_number").agg(
+    codons = named.groupBy("chrom", "gene", "aa_number", "strand").agg(
         F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("c")).where(F.size("c") == 3)
-    out = codons.select("chrom", "gene", "aa_number", F.array_join(F.transform("c", lambda x: x["base"]), "").alias("codon"),
-                        F.posexplode("c").alias("place", "x"))
-    strands = exons.groupBy("gene").agg(F.min("strand").alias("strand"))
-    return out.select("chrom", F.col("x.pos").alias("pos"), "gene", "aa_number", "codon",
-                      F.col("x.base").alias("ref_base"), "place").join(strands, "gene")
+    text = F.concat(*[F.col("c")[i]["base"] for i in range(3)])
+    out = codons.select("chrom", "gene", "aa_number", "strand", text.alias("codon"), F.posexplode("c").alias("place", "x"))
+    return out.select("chrom", F.col("x.pos").alias("pos"), "gene", "strand", "aa_number", "codon",
+                      F.col("x.base").alias("ref_base"), "place")
 
 
 def recompute_residue(calls: DataFrame, table: DataFrame) -> DataFrame:

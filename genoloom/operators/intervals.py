@@ -121,8 +121,9 @@ def locus_pairs(loci: DataFrame, coord: DataFrame, mode: str = "any", max_distan
         theirs_r = loci.agg(used).scalar()
     else:
         theirs_r = F.array(*[F.lit(lv) for lv in range(LEVELS) if lv == 0 or longest > bin_width * FANOUT ** (lv - 1)])
-        loci = loci.withColumn("end", F.when(F.col("end") - F.col("start") <= longest, F.col("end")).otherwise(
-            F.raise_error(F.lit(f"locus longer than the declared {longest}"))))
+        # A filter, not a new column, so that the loci keep the partitioning of their distinct.
+        too_long = F.raise_error(F.lit(f"locus longer than the declared {longest}")).cast("boolean")
+        loci = loci.where(F.when(F.col("end") - F.col("start") <= longest, F.lit(True)).otherwise(too_long))
     left = _spread(
         loci.withColumns({"_own": F.expr(level), "_theirs": theirs_l}),
         "concat(filter(_theirs, v -> v >= _own), if(exists(_theirs, v -> v < _own), array(_own + 10), array()))",
@@ -210,10 +211,9 @@ def overlap_matches(ref: DataFrame, coord: DataFrame, name: str = "name", mode:
     intervals = coord.select(*keys, "start", "end", F.col(name).cast("string").alias("_name")).distinct()
     loci = ref.select(*keys, "start", "end").distinct()
     pairs = locus_pairs(loci, intervals, mode, max_distance, keys, bin_width, longest)
-    per_locus = pairs.groupBy(*keys, "start", "end").agg(
-        sorted_text(F.col("_name"), sep).alias("matches"),
-        F.count_distinct("_name").alias("n_matches"),
-    )
+    per_locus = pairs.groupBy(*keys, "start", "end").agg(F.collect_set("_name").alias("_names")).select(
+        *keys, "start", "end", F.array_join(F.array_sort("_names"), sep).alias("matches"),
+        F.size("_names").cast("bigint").alias("n_matches"))
     if keep_unmatched is None:
         return ref.join(per_locus, [*keys, "start", "end"])
     return (

@@ -105,7 +105,8 @@ def gene_variants(genes: DataFrame, exons: DataFrame, variants: DataFrame, runs:
     return (
         production.join(hits, ["chrom", "start", "end"])
         .groupBy("var_type", "gene", "chrom", "start", "bases")
-        .agg(F.count_distinct("sample").alias("n"), sorted_text(F.col("sample")).alias("samples"))
+        .agg(F.collect_set("sample").alias("_s"))
+        .withColumn("n", F.size("_s").cast("bigint")).withColumn("samples", F.array_join(F.array_sort("_s"), ",")).drop("_s")
     )
 
 

@@ -323,8 +323,9 @@ def gene_overlap(sv: DataFrame, genes: DataFrame, exons: DataFrame) -> DataFrame
         loci = side.select("chrom", "start", "end").distinct()
         hits = locus_pairs(loci, ann.select("chrom", "start", "end", col).distinct(), bin_width=10_000, longest=0 if out.startswith("breakpoint") else None)
         at = side.join(hits.select("chrom", "start", "end", col), ["chrom", "start", "end"])
-        aggs = [sorted_text(F.col(col)).alias(out)] + ([F.count_distinct(col).alias(n)] if n else [])
-        return at.groupBy("sv_id").agg(*aggs)
+        got = at.groupBy("sv_id").agg(F.collect_set(col).alias("_s"))
+        sized = [F.size("_s").cast("bigint").alias(n)] if n else []
+        return got.select("sv_id", F.array_join(F.array_sort("_s"), ",").alias(out), *sized)
 
     return (
         sv.join(names(spans, genes, "gene", "genes", "gene_count"), "sv_id", "left")
