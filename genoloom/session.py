@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,17 +29,12 @@ def build_session(master: str | None = None, app: str = "genoloom", **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, where every executor can read and write.
+    """A fresh folder that every executor can read and write, below ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster a missing setting is
-    an error, because executors do not share their own disks.
+    Where that is unset, as in a plain local session, the warehouse folder is used, which a cluster
+    shares as well. The session's settings are not changed.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="genoloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_settled"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

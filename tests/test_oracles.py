@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from genoloom.plans import catalogue
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalogue.queries(), catalogue.oracles()
 
 
 @pytest.fixture(scope="module")
