@@ -15,7 +15,7 @@ WHITE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-__all__ = ["LOWER", "UPPER", "WHITE", "WORD", "ascii_lower", "distinct_name", "settle", "ship", "whole"]
+__all__ = ["LOWER", "UPPER", "WHITE", "WORD", "ascii_lower", "distinct_name", "may_hold", "settle", "ship", "whole"]
 
 
 def ship(spark: SparkSession) -> None:
@@ -42,3 +42,28 @@ def whole(text: str | Column) -> Column:
 def distinct_name(df: DataFrame, stem: str) -> str:
     """A helper column name that no column of the frame has."""
     return f"_{stem}_{uuid.uuid4().hex[:8]}" if f"_{stem}" in df.columns else f"_{stem}"
+
+
+CELLS = 1 << 27  # of a membership filter: 16 MB of bitmaps at most, whatever the number of keys
+
+
+def is_set(bits: Column, place: Column) -> Column:
+    """Whether a bitmap built by ``bitmap_construct_agg`` has the place; false where there is none."""
+    byte = F.conv(F.hex(F.substring(bits, F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+
+
+def may_hold(rows: DataFrame, keys: DataFrame, name: str, key: str = "tkey") -> DataFrame:
+    """Add boolean ``name``: false only where the row's ``key`` (a 64-bit hash) is not among ``keys``.
+
+    The keys become a filter of ``CELLS`` cells at most, which is broadcast, so that rows that cannot
+    match are told apart without a shuffle. A full filter only lets more rows through.
+    """
+    def cell(c: Column) -> Column:
+        return F.pmod(c, F.lit(CELLS))
+
+    bitmaps = settle(keys.select(cell(F.col(key)).alias("c")).groupBy(F.shiftright("c", 15).alias("_bitmap")).agg(
+        F.bitmap_construct_agg(F.col("c").bitwiseAND(F.lit((1 << 15) - 1))).alias("_bits")))
+    joined = rows.join(F.broadcast(bitmaps), F.shiftright(cell(F.col(key)), 15) == F.col("_bitmap"), "left")
+    place = cell(F.col(key)).bitwiseAND(F.lit((1 << 15) - 1))
+    return joined.select(*rows.columns, is_set(F.col("_bits"), place).alias(name))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoloom.llm.common import ascii_lower, distinct_name, settle, whole
+from genoloom.llm.common import ascii_lower, distinct_name, is_set, settle, whole
 
 CELLS_PER_ROW = 16
 MAX_CELLS = 1 << 30
@@ -39,11 +39,6 @@ def repeated_cells(rows: DataFrame, digest: Column, n_cells: int) -> DataFrame:
             .groupBy("bitmap").agg(F.bitmap_construct_agg("place").alias("bits")))
 
 
-def _is_set(bits: Column, place: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
-
-
 def mark_possible(rows: DataFrame, digest: Column, name: str) -> DataFrame:
     """Pass 2: add boolean ``name``, true where the digest may be repeated; no row is shuffled.
 
@@ -57,7 +52,7 @@ def mark_possible(rows: DataFrame, digest: Column, name: str) -> DataFrame:
     for k, cell in enumerate(cells):
         side = bitmaps.select(F.col("bitmap").alias(f"_bitmap_{k}"), F.col("bits").alias(f"_bits_{k}"))
         out = out.join(F.broadcast(side), F.col(f"{cell}.bitmap") == F.col(f"_bitmap_{k}"), "left")
-    both = _is_set(F.col("_bits_0"), F.col(f"{cells[0]}.place")) & _is_set(F.col("_bits_1"), F.col(f"{cells[1]}.place"))
+    both = is_set(F.col("_bits_0"), F.col(f"{cells[0]}.place")) & is_set(F.col("_bits_1"), F.col(f"{cells[1]}.place"))
     return out.withColumn(name, both).select(*rows.columns, name)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoloom.llm import exact_dedup, licenses, line_dedup, mixing, packing, pii, quality, token_store, toxicity
+from genoloom.llm import exact_dedup, jaccard_join, licenses, line_dedup, mixing, packing, pii, quality, token_store, toxicity
 from genoloom.llm.common import ship
 from genoloom.session import shared_folder
 
@@ -40,6 +40,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(_table(spark, sf_dir, "documents")).members.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(_table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_licenses": op9_licenses,
@@ -88,6 +93,17 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
         FROM o GROUP BY doc_id""",
+    "op6_jaccard_join": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex({_LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n + nb.n - k)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(r.b) FROM r WHERE r.a = d.doc_id) AS component_id
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op7_mixing": """
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
         s AS (SELECT source, sum(size) AS source_size, count(*) AS docs FROM d GROUP BY source),
