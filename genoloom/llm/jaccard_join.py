@@ -9,9 +9,10 @@ the difference of the two before that. What passes all filters is compared set a
 
 Groups are found without all pairs of a large one: documents with equal sets are one class. First
 every class meets, per shared token, only the token's pivot. Links join classes into components, and
-only classes of different components that share a token are then compared, so a group of near copies
-that has already grown together costs nothing more. No pair of linked classes in different
-components is left out, hence the components are those of all links.
+only classes of different components that share a token are compared further: first as many pairs
+per token as could tie its components together, at last every pair that is still in different
+components. A group of near copies that has grown together costs nothing more, and no link between
+different components is left out, hence the components are those of all links.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoloom.llm.common import may_hold, settle, whole
@@ -35,7 +36,7 @@ SHINGLE = 5
 PERCENT = 75
 CELL_BITS = 20  # the sketch has 2^20 cells, 4 MB; more cells find rarer frequent tokens
 BLOCKS = 64  # the sketch travels in so many parts
-BITMAP_WORDS = 32  # 2,048 parity bits a set
+BITMAP_WORDS = 16  # 1,024 parity bits a set
 GROUP = 4096  # classes of one token that one comparison holds; larger groups are cut into blocks
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -152,9 +153,35 @@ def _shared_prefix_tokens(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners))], names=["token", "class"])
 
-    rows = docs.select(whole("text").alias("text")).mapInArrow(prefixes, "token long, class long").repartition("token")
-    several = rows.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a < b").select("token")
-    return settle(rows.join(several.hint("shuffle_hash"), "token", "left_semi").distinct())
+    rows = docs.select(whole("text").alias("text")).mapInArrow(prefixes, "token long, class long")
+    rows = rows.repartition("token").sortWithinPartitions("token", "class")
+    return settle(rows.mapInArrow(_several, "token long, class long"))
+
+
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (token, class), each distinct row whose token has two or more classes.
+
+    Between batches only the last row is carried, and whether it was passed on.
+    """
+    last, passed = None, False
+    for batch in batches:
+        token, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if last is not None:
+            token, own = np.r_[last[0], token], np.r_[last[1], own]
+        new = np.r_[True, (token[1:] != token[:-1]) | (own[1:] != own[:-1])]
+        token, own = token[new], own[new]
+        if not len(token):
+            continue
+        same = token[1:] == token[:-1]
+        keep = np.r_[False, same] | np.r_[same, False]
+        if passed and len(token):
+            keep[0] = True
+        end = bool(keep[-1])
+        if passed:
+            keep[0] = False
+        last, passed = (token[-1], own[-1]), end
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(own[keep])], names=["token", "class"])
 
 
 def _difference_fits(bits: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -168,11 +195,14 @@ def _difference_fits(bits: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarr
     return ok
 
 
-def _pivot_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b) of every class with the pivot of each token it shares, as far as size and bitmap allow."""
-    order = F.xxhash64("class")
-    pivots = shared.groupBy("token").agg(F.min(F.struct(order.alias("o"), F.col("class").alias("c"))).alias("p"))
-    pairs = shared.join(pivots, "token").select(F.least("class", "p.c").alias("a"), F.greatest("class", "p.c").alias("b")).where("a < b").distinct()
+def _with_pivots(shared: DataFrame) -> DataFrame:
+    """(token, class, pivot): a token's pivot is its class of least hash; settled without the pivots' own rows."""
+    pivots = shared.groupBy("token").agg(F.min(F.struct(F.xxhash64("class").alias("o"), F.col("class").alias("pivot"))).alias("p"))
+    return settle(shared.join(pivots.select("token", "p.pivot"), "token").where("class != pivot"))
+
+
+def _fitting(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) as far as sizes and bitmaps allow; settled."""
     side = classes.select("class", "n", "bits")
     for end in "ab":
         pairs = pairs.join(side.select(F.col("class").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}")), end)
@@ -188,8 +218,25 @@ def _pivot_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
     return settle(pairs.select("a", "b", "bits_a", "bits_b", "n_a", "n_b").mapInArrow(fitting, "a long, b long"))
 
 
-def _group_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (token, i, j): the pairs of each group that different components and bitmaps leave.
+def _forest(group: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Positions of pairs that tie together components (x, y) not yet tied in their group."""
+    keep, tied, now = [], {}, None
+    for k, (g, a, b) in enumerate(zip(group.tolist(), x.tolist(), y.tolist(), strict=True)):
+        if g != now:
+            tied, now = {}, g
+        while (up := tied.get(a, a)) != a:
+            a = up
+        while (up := tied.get(b, b)) != b:
+            b = up
+        if a != b:
+            tied[max(a, b)] = min(a, b)
+            keep.append(k)
+    return np.array(keep, np.int64)
+
+
+def _group_pairs(batches: Iterator[pa.RecordBatch], forest: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (token, i, j): the pairs of each group that different components and bitmaps leave,
+    or with ``forest`` only as many as tie the group's components together.
 
     A group holds the classes of a token in its block i (side 0) and block j (side 1) or, if i = j,
     in one block; two blocks at most are held at a time.
@@ -199,7 +246,7 @@ def _group_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, comp, n = (table[c].to_numpy() for c in ("class", "comp", "n"))
         bits = np.frombuffer(b"".join(table["bits"].to_pylist()), "<u8").reshape(-1, BITMAP_WORDS)
         new = np.r_[True, (token[1:] != token[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])]
-        starts = np.r_[np.flatnonzero(new), len(token)]
+        group, starts = np.cumsum(new), np.r_[np.flatnonzero(new), len(token)]
         out, some, held = [], [], 0
 
         def flush() -> None:
@@ -208,7 +255,9 @@ def _group_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 i, j = (np.concatenate(x) for x in zip(*some, strict=True))
                 ok = (comp[i] != comp[j]) & ((side[i] != side[j]) | (bi[i] == bj[i]))
                 i, j = i[ok], j[ok]
-                fit = _difference_fits(bits, n, i, j)
+                fit = np.flatnonzero(_difference_fits(bits, n, i, j))
+                if forest:
+                    fit = fit[_forest(group[i[fit]], comp[i[fit]], comp[j[fit]])]
                 a, b = own[i[fit]], own[j[fit]]
                 if len(a):
                     out.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1))
@@ -246,15 +295,15 @@ def _group_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs(pa.concat_tables(waiting))
 
 
-def _cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b) of classes of different components that share a token, as far as size and bitmap allow.
+def _cross_pairs(members: DataFrame, classes: DataFrame, links: DataFrame, forest: bool) -> DataFrame:
+    """(a, b) of classes in different components of ``links`` that share a token, as far as size and
+    bitmap allow; with ``forest`` only some, enough to tie each token's components.
 
     A token's classes are dealt over blocks of about ``GROUP`` by a hash; each two blocks meet in a
     group of their own, so no task holds more than two blocks of a frequent token.
     """
-    named = shared.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
-        "token", "class", F.coalesce("label", "class").alias("comp"))
-    named = settle(named)
+    labels = settle(components(links)).withColumnRenamed("node", "class")
+    named = settle(members.select("token", "class").join(labels, "class", "left").select("token", "class", F.coalesce("label", "class").alias("comp")))
     mixed = settle(named.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("k")).where("x < y").select(
         "token", F.ceil(F.col("k") / GROUP).cast("int").alias("m")))
     rows = named.join(mixed, "token").join(classes.select("class", "n", "bits"), "class")
@@ -263,7 +312,7 @@ def _cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> Da
     rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                        (F.col("own") > F.col("other")).cast("int").alias("side"), "class", "comp", "n", "bits")
     grouped = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return settle(grouped.mapInArrow(_group_pairs, "a long, b long").distinct())
+    return settle(grouped.mapInArrow(lambda batches: _group_pairs(batches, forest), "a long, b long").distinct())
 
 
 def _same_enough(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -276,20 +325,24 @@ def _same_enough(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """64-bit hash of a row's doc_id and text, by which rows are found again."""
+    return F.xxhash64(F.col(doc_id).cast("long"), whole(text))
+
+
 def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs that link, settled. Only texts of the pairs' classes are fetched and shuffled."""
     ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = settle(ends.join(classes.select("class", "tkey"), "class").select("tkey").distinct())
-    texts = docs.select(F.xxhash64(whole("text")).alias("tkey"), whole("text").alias("text"))
-    texts = may_hold(texts, wanted, "may").where("may").select("tkey", "text").join(wanted, "tkey", "left_semi")
+    wanted = settle(ends.join(classes.select("class", "tkey"), "class"))
+    texts = may_hold(docs.select(_row_key().alias("tkey"), whole("text").alias("text")), wanted, "may").where("may").select("tkey", "text")
+    texts = texts.join(wanted, "tkey").groupBy("tkey", "class").agg(F.first("text").alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [s for part in slices(batch.column(0).to_pylist()) for s in map(shingles, part) if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_class(s) for s in held], pa.int64()), pa.array([s.tobytes() for s in held], pa.binary())],
-                                             names=["class", "tokens"])
+            held = [s.tobytes() for part in slices(batch.column(1).to_pylist()) for s in map(shingles, part)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary())], names=["class", "tokens"])
 
-    held = settle(texts.select("text").mapInArrow(sets, "class long, tokens binary").groupBy("class").agg(F.first("tokens").alias("tokens")))
+    held = settle(texts.select("class", "text").mapInArrow(sets, "class long, tokens binary"))
     for end in "ab":
         pairs = pairs.join(held.select(F.col("class").alias(end), F.col("tokens").alias(f"tokens_{end}")), end)
 
@@ -319,15 +372,16 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     own; a null doc_id is never the smallest, and a group of null doc_ids has a null component.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    scan = settle(docs.select("doc_id", F.xxhash64(whole("text")).alias("tkey"), whole("text").alias("text")).mapInArrow(
+    scan = settle(docs.select("doc_id", _row_key().alias("tkey"), whole("text").alias("text")).mapInArrow(
         _scan, "doc_id long, tkey long, class long, n int, bits binary, block int, part int, counts binary"))
     rows = scan.where("counts IS NULL")
     classes = settle(rows.where("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("least"), F.min("tkey").alias("tkey"), F.first("n").alias("n"), F.first("bits").alias("bits")))
-    shared = _shared_prefix_tokens(docs, _sketch(scan))
-    links = _linked(docs, classes, _pivot_pairs(shared, classes))
-    more = _linked(docs, classes, _cross_pairs(shared, classes, settle(components(links))))
-    links = settle(links.unionByName(more))
+    members = _with_pivots(_shared_prefix_tokens(docs, _sketch(scan)))
+    pairs = members.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
+    links = _linked(docs, classes, _fitting(pairs, classes))
+    for forest in (True, False):
+        links = settle(links.unionByName(_linked(docs, classes, _cross_pairs(members, classes, links, forest))))
     labels = settle(components(links))
     groups = settle(classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
         "class", F.coalesce("label", "class").alias("label"), "least"))
@@ -347,7 +401,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     members = settle(link_documents(docs, doc_id, text).members.where("class IS NOT NULL").select("tkey", "label"))
     several = members.groupBy("label").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("label")
     keyed = settle(members.join(several, "label", "left_semi").distinct())
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(whole(text)).alias("tkey"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _row_key(doc_id, text).alias("tkey"))
     marked = may_hold(rows, keyed, "may")
     suspects = marked.where("may").join(keyed, "tkey", "left")
     order = [F.col(f"row.`{doc_id}`").isNull().alias("o"), F.col(f"row.`{doc_id}`").alias("i"),

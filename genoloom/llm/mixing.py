@@ -46,7 +46,8 @@ def source_targets(sized: DataFrame) -> DataFrame:
 
     Sources in code point order, null last, weigh 1, 2, 3, 1, ... What a source cannot take is
     shared among the others by weight; that ends at one level l with target = min(weight * l, cap).
-    The level is found with running sums over sources by cap / weight. One row per source.
+    The level is found with running sums over sources by cap / weight: at the first source that the
+    level leaves below its cap, which is the largest such level. One row per source.
     """
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -59,7 +60,7 @@ def source_targets(sized: DataFrame) -> DataFrame:
     level = (total - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(rest)
     sources = sources.select("*", F.when(level * F.col("weight") <= F.col("cap"), level).alias("level"))
     everywhere = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    found = F.min("level").over(everywhere)
+    found = F.max("level").over(everywhere)
     target = F.least(F.col("weight") * found, F.col("cap").cast("double"))
     return sources.select("source", "source_size", F.ceil(F.col("docs") / BLOCK_DOCS).cast("long").alias("n_blocks"), target.alias("target"))
 

@@ -110,7 +110,7 @@ ORACLES: dict[str, str] = {
         r AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight, 3 * source_size AS cap FROM s),
         v AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
                 / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
-        t AS (SELECT *, least(weight * min(CASE WHEN level * weight <= cap THEN level END) OVER (), cap::DOUBLE) AS target,
+        t AS (SELECT *, least(weight * max(CASE WHEN level * weight <= cap THEN level END) OVER (), cap::DOUBLE) AS target,
                 CAST(ceil(docs / 2000.0) AS BIGINT) AS n_blocks FROM v),
         u AS (SELECT source, source_size, target, n_blocks, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS times FROM t),
         p AS (SELECT d.*, source_size, target, times, target - times * source_size AS remains, md5('mix-1|doc|' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS key,
