@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -51,10 +52,9 @@ class WordFertility:
 
     def learn(self, words: set[bytes]) -> dict[bytes, tuple[int, bytes]]:
         """word -> (byte-level tokens, ids of the pieces), complete for ``words``."""
-        fresh = words - self._known.keys()
+        fresh = list(filterfalse(self._known.__contains__, words))
         if len(self._known) + len(fresh) > REMEMBERED:
-            self._known, fresh = {}, words
-        fresh = list(fresh)
+            self._known, fresh = {}, list(words)
         for at in range(0, len(fresh), 20_000):
             part = fresh[at : at + 20_000]
             plain = [w.decode() for w in part]

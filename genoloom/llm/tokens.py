@@ -15,6 +15,7 @@ import os
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 
@@ -55,7 +56,7 @@ class PieceEncoder:
         return array(self._code, [t.id for t in self._model.tokenize(shown)]).tobytes()
 
     def _learn(self, pieces: set[bytes]) -> None:
-        fresh = pieces - self._known.keys()
+        fresh = list(filterfalse(self._known.__contains__, pieces))
         if len(self._known) + len(fresh) > self._remembered:
             self._known, fresh = {}, pieces
         known, marks, rest = self._known, self._marks, []
