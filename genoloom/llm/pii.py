@@ -27,7 +27,7 @@ KINDS = (*BASE_KINDS, "secret")
 LABELERS = ("regex", "gazetteer", "context")
 CONTEXT = 32  # characters before a span in which cue words count
 ACCEPT = 0.5
-EM_ROUNDS = 50
+EM_ROUNDS = 500
 
 # Small gazetteers and cue words.
 TOP_DOMAINS = frozenset("com org net edu gov io co uk de fr es it nl ch at eu us ca au jp info biz".split())

@@ -86,7 +86,8 @@ def write_store(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id
 
         def flush() -> pa.RecordBatch:
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in frames])]).astype("<u8")
-            row = [shard, chunk, len(frames), sum(counts), ids_of[0], ids_of[-1], digest, encode.width.itemsize,
+            named = [i for i in ids_of if i is not None] or [None]
+            row = [shard, chunk, len(frames), sum(counts), named[0], named[-1], digest, encode.width.itemsize,
                    list(ids_of), offsets.tobytes(), np.array(counts, "<u8").tobytes(), b"".join(frames)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], t) for v, t in zip(row, ARROW.types, strict=True)], schema=ARROW)
