@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from genoloom.llm.common import may_hold, settle, whole
 from genoloom.llm.components import components
-from genoloom.llm.tokens import slices
+from genoloom.llm.tokens import held, slices, values
 
 SHINGLE = 5
 PERCENT = 75
@@ -83,21 +83,22 @@ _SCAN = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("class", pa.in
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Class, size and bitmap of every text, then the task's token counts by cell of the sketch."""
+    held()
     cells = 1 << CELL_BITS
     counts = np.zeros(cells, np.int64)
     for batch in batches:
-        named, sizes, bits, waiting, held = [], [], [], [], 0
-        for part in slices(batch.column(2).to_pylist()):
+        named, sizes, bits, waiting, size = [], [], [], [], 0
+        for part in slices(values(batch.column(2))):
             for text in part:
                 s = shingles(text)
                 named.append(set_class(s) if len(s) else None)
                 sizes.append(len(s))
                 bits.append(parity(s).tobytes() if len(s) else None)
                 waiting.append(s >> np.uint64(64 - CELL_BITS))
-                held += len(s)
-            if held > cells:
+                size += len(s)
+            if size > cells:
                 counts += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=cells)
-                waiting, held = [], 0
+                waiting, size = [], 0
         if waiting:
             counts += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=cells)
         none = [None] * batch.num_rows
@@ -135,10 +136,11 @@ def _shared_prefix_tokens(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held()
         count = shared.value
         for batch in batches:
             done: set[int] = set()  # copies in the batch are taken once
-            for part in slices(batch.column(0).to_pylist()):
+            for part in slices(values(batch.column(0))):
                 tokens, owners = [], []
                 for text in part:
                     s = shingles(text)
@@ -339,7 +341,7 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [s.tobytes() for part in slices(batch.column(1).to_pylist()) for s in map(shingles, part)]
+            held = [s.tobytes() for part in slices(values(batch.column(1))) for s in map(shingles, part)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary())], names=["class", "tokens"])
 
     held = settle(texts.select("class", "text").mapInArrow(sets, "class long, tokens binary"))

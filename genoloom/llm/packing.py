@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoloom.llm.common import settle, whole
-from genoloom.llm.tokens import encoder
+from genoloom.llm.tokens import encoder, values
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
         encode = encoder(vocabulary)
         for batch in batches:
             doc, piece, start, length, crc, held = [], [], [], [], [], []
-            for i, ids in zip(batch.column(0).to_pylist(), encode.encode(batch.column(1).to_pylist()), strict=True):
+            for i, ids in zip(batch.column(0).to_pylist(), encode.encode(values(batch.column(1))), strict=True):
                 ids = np.append(ids, ids.dtype.type(end_id)).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]

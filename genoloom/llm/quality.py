@@ -9,7 +9,6 @@ its language's band is rejected, as is one that fails the fixed base rules.
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 from itertools import filterfalse
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoloom.llm.common import WHITE, settle
-from genoloom.llm.tokens import slices
+from genoloom.llm.tokens import held, slices
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -67,11 +66,6 @@ class WordFertility:
         return self._fallback[ids]
 
 
-@lru_cache(maxsize=2)
-def _fertility(byte_path: str, piece_path: str) -> WordFertility:
-    return WordFertility(byte_path, piece_path)
-
-
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """Words that stand in a window of ``window`` words found twice or more, the first included.
 
@@ -124,7 +118,7 @@ def measures(text: Column, byte_path: str = BYTE_VOCABULARY, piece_path: str = P
 
     @F.pandas_udf(MEASURES)
     def of(texts: pd.Series) -> pd.DataFrame:
-        fertility = _fertility(byte_path, piece_path)
+        fertility = held(WordFertility, byte_path, piece_path)
         rows = []
         for part in slices(texts):
             words = [t.encode().split() for t in part]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genoloom.llm.common import distinct_name, whole
-from genoloom.llm.tokens import encoder
+from genoloom.llm.tokens import encoder, values
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -94,7 +94,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id
 
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for i, found in zip(ids, encode.encode(batch.column(1).to_pylist()), strict=True):
+            for i, found in zip(ids, encode.encode(values(batch.column(1))), strict=True):
                 frame = compressor.compress(serialise(found, end_id))
                 ids_of.append(i)
                 frames.append(frame)

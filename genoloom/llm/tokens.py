@@ -13,8 +13,7 @@ from __future__ import annotations
 import codecs
 import os
 from array import array
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
 from itertools import filterfalse
 
 import numpy as np
@@ -82,7 +81,7 @@ class PieceEncoder:
             found = self._tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
             known.update((p, array(self._code, e.ids).tobytes()) for p, e in zip(part, found, strict=True))
 
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text, a null as the empty text; texts are taken in slices to bound memory.
 
         A-Z are lower-cased first, as the vocabulary does anyway, unless the text may hold the name of
@@ -96,7 +95,12 @@ class PieceEncoder:
                 yield np.frombuffer(b"".join(map(known, p)), self.width)
 
 
-def slices(texts: list[str | None], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
+def values(column) -> Iterator:
+    """Values of an Arrow column one by one, so that a batch of texts is not held twice."""
+    return (v.as_py() for v in column)
+
+
+def slices(texts: Iterable[str | None], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
     """Consecutive texts of about ``chars`` characters together; a longer text comes alone."""
     part, size = [], 0
     for t in texts:
@@ -110,7 +114,21 @@ def slices(texts: list[str | None], chars: int = SLICE_CHARS) -> Iterator[list[s
         yield part
 
 
-@lru_cache(maxsize=4)
+_HELD: dict[tuple, object] = {}
+
+
+def held(make: Callable | None = None, *args):
+    """What a worker remembers between tasks: ``make(*args)``, or nothing.
+
+    One thing at a time, so the tables of an earlier stage do not add to a later one's memory.
+    """
+    key = (make, *args)
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make(*args) if make else None
+    return _HELD[key]
+
+
 def encoder(path: str) -> PieceEncoder:
-    """One encoder per worker and vocabulary, kept between tasks."""
-    return PieceEncoder(path)
+    """The worker's encoder of a vocabulary."""
+    return held(PieceEncoder, path)
