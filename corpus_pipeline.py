@@ -14,6 +14,7 @@ from genoloom.llm.common import settle, ship
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and their language's fertility bands."""
+    ship(spark)
     return quality.keep_good(docs)
 
 
@@ -24,6 +25,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shingles the row with the smallest doc_id."""
+    ship(spark)
     return jaccard_join.keep_one(docs)
 
 
@@ -34,6 +36,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their place in sequences of at most 4096 tokens."""
+    ship(spark)
     return packing.pack_documents(docs)
 
 
@@ -52,7 +55,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
-    ship(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))

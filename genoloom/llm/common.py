@@ -18,11 +18,17 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 __all__ = ["LOWER", "UPPER", "WHITE", "WORD", "ascii_lower", "distinct_name", "may_hold", "settle", "ship", "whole"]
 
 
+TEXT_BATCH = "1000"  # rows of a batch of texts that a Python worker gets, unless the session says otherwise
+
+
 def ship(spark: SparkSession) -> None:
-    """Let the Python workers of a local session import this package wherever they start.
+    """Let the Python workers of a local session import this package wherever they start, and give
+    them texts in smaller batches than Spark's 10,000 rows, which bounds their memory.
 
     On a cluster the package is installed or sent with ``--py-files``, as for any other library.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_BATCH)
     sc = spark.sparkContext
     package = str(Path(__file__).resolve().parent.parent)
     if sc.master.startswith("local[") and not any(f.endswith("/genoloom") for f in sc.listFiles):

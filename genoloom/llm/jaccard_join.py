@@ -36,7 +36,7 @@ SHINGLE = 5
 PERCENT = 75
 CELL_BITS = 20  # the sketch has 2^20 cells, 4 MB; more cells find rarer frequent tokens
 BLOCKS = 64  # the sketch travels in so many parts
-BITMAP_WORDS = 16  # 1,024 parity bits a set
+LEAST_BITS, MOST_BITS = 10, 16  # a set has 2^10 to 2^16 parity bits, two or more a token up to 32,768 tokens
 GROUP = 4096  # classes of one token that one comparison holds; larger groups are cut into blocks
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -65,11 +65,17 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def bitmap_level(n: np.ndarray) -> np.ndarray:
+    """Log2 of the number of parity bits of sets of ``n`` tokens."""
+    return np.clip(np.ceil(np.log2(np.maximum(2 * n, 1))), LEAST_BITS, MOST_BITS).astype(np.int64)
+
+
 def parity(tokens: np.ndarray) -> np.ndarray:
-    """Bitmap with a bit for each place that an odd number of tokens falls on."""
-    places = (tokens & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64)
-    bits = np.bincount(places, minlength=64 * BITMAP_WORDS).astype(np.uint8) & 1
-    return np.packbits(bits).view("<u8")
+    """Bitmap with a bit for each place that an odd number of tokens falls on. The exclusive or of its
+    halves is the bitmap of half as many places."""
+    places = 1 << int(bitmap_level(np.array(len(tokens))))
+    at = (tokens & np.uint64(places - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=places).astype(np.uint8) & 1).view("<u8")
 
 
 def set_class(tokens: np.ndarray) -> int:
@@ -186,14 +192,30 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(own[keep])], names=["token", "class"])
 
 
-def _difference_fits(bits: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Pairs whose sizes and bitmaps allow the similarity: |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|)."""
+def _difference_fits(bits: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Pairs whose sizes and bitmaps allow the similarity: |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|).
+
+    Bitmaps of different sizes are compared at the smaller one.
+    """
     ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-    at = np.flatnonzero(ok)
-    for start in range(0, len(at), 65_536):
-        k = at[start : start + 65_536]
-        apart = np.bitwise_count(bits[i[k]] ^ bits[j[k]]).sum(1, dtype=np.int64)
-        ok[k] = (100 + percent) * apart <= (100 - percent) * (n[i[k]].astype(np.int64) + n[j[k]])
+    level = bitmap_level(n)
+    common = np.minimum(level[i], level[j])
+    for size in np.unique(common[ok]).tolist():
+        at = np.flatnonzero(ok & (common == size))
+        rows, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        words = (1 << size) // 64
+        maps = np.empty((len(rows), words), np.uint64)
+        for k, r in enumerate(rows.tolist()):
+            whole_map = np.frombuffer(bits[r], "<u8")
+            while len(whole_map) > words:
+                whole_map = whole_map[: len(whole_map) // 2] ^ whole_map[len(whole_map) // 2 :]
+            maps[k] = whole_map
+        x, y = place[: len(at)], place[len(at) :]
+        step = max(1, (1 << 19) // words)
+        for start in range(0, len(at), step):
+            k = at[start : start + step]
+            apart = np.bitwise_count(maps[x[start : start + step]] ^ maps[y[start : start + step]]).sum(1, dtype=np.int64)
+            ok[k] = (100 + percent) * apart <= (100 - percent) * (n[i[k]].astype(np.int64) + n[j[k]])
     return ok
 
 
@@ -212,7 +234,7 @@ def _fitting(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = batch.num_rows
-            bits = np.frombuffer(b"".join([*batch.column(2).to_pylist(), *batch.column(3).to_pylist()]), "<u8").reshape(2 * m, BITMAP_WORDS)
+            bits = [*batch.column(2).to_pylist(), *batch.column(3).to_pylist()]
             n = np.concatenate([batch.column(4).to_numpy(), batch.column(5).to_numpy()]).astype(np.int64)
             ok = _difference_fits(bits, n, np.arange(m), np.arange(m) + m)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
@@ -246,7 +268,7 @@ def _group_pairs(batches: Iterator[pa.RecordBatch], forest: bool) -> Iterator[pa
     def pairs(table: pa.Table) -> pa.RecordBatch:
         token, bi, bj, side = (table[c].to_numpy() for c in ("token", "i", "j", "side"))
         own, comp, n = (table[c].to_numpy() for c in ("class", "comp", "n"))
-        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), "<u8").reshape(-1, BITMAP_WORDS)
+        bits = table["bits"].to_pylist()
         new = np.r_[True, (token[1:] != token[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])]
         group, starts = np.cumsum(new), np.r_[np.flatnonzero(new), len(token)]
         out, some, held = [], [], 0

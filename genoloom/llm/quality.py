@@ -24,7 +24,7 @@ BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-REMEMBERED = 300_000  # words a worker remembers; bounds its memory, not the result
+REMEMBERED = 200_000  # words a worker remembers; bounds its memory, not the result
 LEAST_PIECES = 64  # shorter texts are too noisy for bands and pass them
 REACH = 4.0  # a band reaches this many quartile distances beyond the quartiles,
 LEAST_REACH = 0.2  # and at least this share of the median
