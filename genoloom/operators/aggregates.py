@@ -89,12 +89,12 @@ def genotypes(calls: DataFrame, sample_names: Sequence[str] | None = None) -> Da
     return long.withColumn("sample", sample).withColumn("gt", F.substring_index("_text", ":", 1)).drop("_i", "_text")
 
 
-def cohort_counts(geno: DataFrame, keys: Sequence[str], list_cap: int = 100) -> DataFrame:
+def cohort_counts(geno: DataFrame, keys: Sequence[str]) -> DataFrame:
     """AGG-6: het, hom, ref, no-call and carrier counts per variant, with the carriers.
 
     ``geno`` holds ``gt`` and ``allele_no`` per sample, or a ready ``zyg``. A genotype of other
-    alleles only is treated as reference without being counted. The carrier list shows a
-    marker beyond ``list_cap`` samples; it is distinct per sample, hence bounded by the cohort.
+    alleles only is treated as reference without being counted. The carrier list is whole; it is
+    distinct per sample, hence bounded by the cohort.
     """
     zyg = F.col("zyg") if "zyg" in geno.columns else genotype_class(F.col("gt"), F.col("allele_no"))
     g = geno.withColumn("_z", F.when(zyg == NO_DATA, "no_call").otherwise(zyg))
@@ -106,7 +106,7 @@ def cohort_counts(geno: DataFrame, keys: Sequence[str], list_cap: int = 100) ->
         F.array_sort(F.collect_set(F.when(var, F.col("sample")))).alias("_c"))
     return out.withColumn(
         "carriers", F.when(F.col("var_count") == 0, "N/A(NO_VAR_SAMPLES)")
-        .when(F.col("var_count") > list_cap, F.lit(f">{list_cap} samples")).otherwise(F.array_join("_c", ","))).drop("_c")
+        .otherwise(F.array_join("_c", ","))).drop("_c")
 
 
 def group_counts(geno: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:

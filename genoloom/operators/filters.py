@@ -111,8 +111,8 @@ def seen_in_samples(df: DataFrame, carriers: DataFrame, samples: Sequence[str],
 
 
 def somatic_only(df: DataFrame, carriers: DataFrame, samples: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """FLT-9: variants no sample outside the list carries."""
-    return df.join(carriers.where(~F.col("sample").isin(*samples)).select(*keys), list(keys), "left_anti")
+    """FLT-9: variants that a sample of the list carries and none outside it."""
+    return seen_in_samples(df, carriers, samples, keys).join(carriers.where(~F.col("sample").isin(*samples)).select(*keys), list(keys), "left_anti")
 
 
 def subtract_controls(df: DataFrame, carriers: DataFrame, controls: Sequence[str], keys: Sequence[str]) -> DataFrame:

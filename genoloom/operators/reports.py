@@ -278,8 +278,12 @@ def assemble_lines(calls: DataFrame, genes: DataFrame, filters: DataFrame, gene_
 
 
 def pass_counts(geno: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """RPT-20: samples that pass (a genotype with allele 1), samples without a pass, and the carriers."""
-    carrier = F.col("gt") != "."
+    """RPT-20: samples that pass (a genotype with allele 1), samples without a pass (``.``), and the carriers.
+
+    Any other genotype is an error.
+    """
+    carrier = F.when(F.col("gt").rlike("(^|[/|])1($|[/|])"), True).when(F.col("gt") == ".", False).otherwise(
+        F.raise_error(F.concat(F.lit("genotype without allele 1: "), F.coalesce("gt", F.lit("null")))).cast("boolean"))
     per = geno.groupBy(*keys).agg(
         count_if(carrier).alias("pass_count"), count_if(~carrier).alias("nopass_count"),
         sorted_text(F.when(carrier, F.col("sample"))).alias("carriers"))

@@ -72,10 +72,8 @@ def exclude(result: DataFrame, sets: DataFrame, keys: Sequence[str], drop: Seque
     return result.join(union(sets, keys, drop), list(keys), "left_anti")
 
 
-def region_counts(sets: DataFrame, keys: Sequence[str], only: Sequence[str]) -> DataFrame:
-    """SET-7: number of keys per exact combination of two to four sets."""
-    if not 2 <= len(only) <= 4:
-        raise ValueError("regions are defined for two to four sets")
+def region_counts(sets: DataFrame, keys: Sequence[str], only: Sequence[str] | None = None) -> DataFrame:
+    """SET-7: number of keys per exact combination of the chosen sets, or of all."""
     per_key = _chosen(sets, only).groupBy(*keys).agg(
         F.array_join(F.array_sort(F.collect_set("set_id")), "&").alias("region"))
     return per_key.groupBy("region").agg(F.count("*").alias("n"))

@@ -16,7 +16,6 @@ from genoloom.operators.chunks import once, with_totals
 from genoloom.operators.intervals import locus_pairs
 
 SV_COLUMNS = ("sv_id", "chr1", "coord1", "chr2", "coord2", "sv_type", "length", "caller", "qual", "pe", "sr")
-LONG_INSERT = 1000
 
 
 def _records(rows: DataFrame) -> DataFrame:
@@ -82,8 +81,7 @@ def normalise_delly(rows: DataFrame) -> DataFrame:
              seq=_info("CONSENSUS", "([A-Z]+)"))
     length = F.when(F.col("kind") == "BND", F.lit(0)).when(F.col("kind") == "INS", F.length("seq")).otherwise(
         F.abs(F.col("_end") - F.col("coord1")))
-    bases = F.when(F.col("kind") == "INS", F.concat(F.lit("+"), F.when(F.length("seq") > LONG_INSERT, "TOO_LONG")
-                                                    .otherwise(F.col("seq"))))
+    bases = F.when(F.col("kind") == "INS", F.concat(F.lit("+"), F.col("seq")))
     return r.select(
         F.col("id").alias("sv_id"), "chr1", "coord1", "chr2", F.col("_end").alias("coord2"),
         F.when(F.col("kind") == "BND", "tra").otherwise(F.lower("kind")).alias("sv_type"), length.cast("bigint").alias("length"),
@@ -139,8 +137,7 @@ def normalise_manta(rows: DataFrame, somatic: bool = False, require_pass: bool =
         counts = F.concat(F.lit("Ref="), n(lambda g: g == "0/0"), F.lit(":Hom="), n(lambda g: g == "1/1"), F.lit(":Het="),
                           n(lambda g: ~g.isin("0/0", "1/1")))
         qual = F.col("score").try_cast("double")
-    bases = F.when(F.col("kind0") == "ins", F.concat(F.lit("+"), F.when(F.length(seq) > LONG_INSERT, "TOO_LONG")
-                                                     .otherwise(F.coalesce(seq, F.col("alt")))))
+    bases = F.when(F.col("kind0") == "ins", F.concat(F.lit("+"), F.coalesce(seq, F.col("alt"))))
     out = r.select(
         F.col("id").alias("sv_id"), "chr1", "coord1", "chr2", F.col("_end").alias("coord2"),
         F.when(inv, "inv").when(F.col("kind0") == "bnd", "tra").otherwise(F.col("kind0")).alias("sv_type"),
@@ -171,7 +168,7 @@ def normalise_long_read(rows: DataFrame, caller: str) -> DataFrame:
         _info("SVLEN", r"-?(\d+)").cast("bigint").alias("length"), F.lit(caller).alias("caller"), F.col("filter").alias("status"),
         ev[0].alias("zyg"), "ref_reads", "var_reads",
         F.when(total > 0, F.col("var_reads") / total).otherwise(0.0).alias("var_freq"),
-        F.when(F.col("kind") == "ins", F.when(F.length("alt") > LONG_INSERT, ">1000bp").otherwise(F.col("alt"))).alias("bases"))
+        F.when(F.col("kind") == "ins", F.col("alt")).alias("bases"))
     return _first_of_pair(out, F.col("sv_type") == "tra")
 
 
@@ -335,25 +332,23 @@ def gene_overlap(sv: DataFrame, genes: DataFrame, exons: DataFrame) -> DataFrame
         .fillna("NO_EXON_BP", subset=["breakpoint_exons"]))
 
 
-def genes_to_report(df: DataFrame, many: int = 10) -> DataFrame:
-    """SV-12: breakpoint genes first, else NO_GENES, else a count when there are many, else the span's genes."""
+def genes_to_report(df: DataFrame) -> DataFrame:
+    """SV-12: breakpoint genes first, else NO_GENES, else all the span's genes."""
     return df.withColumn(
         "report_genes",
         F.when(F.col("breakpoint_genes").isNotNull(), F.col("breakpoint_genes"))
         .when(F.col("gene_count") == 0, "NO_GENES")
-        .when(F.col("gene_count") >= many, F.concat(F.lit("TOO_MANY_GENES ("), F.col("gene_count").cast("string"), F.lit(")")))
         .otherwise(F.col("genes")))
 
 
-def gene_summary(hits: DataFrame, gene_info: DataFrame, cols: Sequence[str], many: int = 5) -> DataFrame:
-    """SV-13: one row per event and gene with the gene's columns; more than ``many`` genes collapse to one row.
+def gene_summary(hits: DataFrame, gene_info: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """SV-13: one row per event and gene with the gene's columns.
 
     ``hits`` is (sv_id, gene) with a null gene for events without one.
     """
     lone = hits.select("sv_id", "gene").distinct()
     sized = with_totals(lone, ["sv_id"], _n=F.count("gene"))
-    shown = sized.select("sv_id", F.when(F.col("_n") == 0, "NO_GENE").when(F.col("_n") > many, f">{many} genes")
-                         .otherwise(F.col("gene")).alias("gene")).distinct()
+    shown = sized.select("sv_id", F.when(F.col("_n") == 0, "NO_GENE").otherwise(F.col("gene")).alias("gene")).distinct()
     return shown.join(gene_info.select("gene", *cols), "gene", "left")
 
 

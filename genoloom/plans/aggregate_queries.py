@@ -130,12 +130,12 @@ def agg_11(t):
 
 # The halves rule on sorted lists, one-based indexes.
 @query("agg_12", """
-WITH l AS (SELECT chrom, pos % 7 AS k, list_sort(list(depth)) AS a, count(*) AS n FROM fx_call WHERE depth > 30 AND qual = 10 GROUP BY chrom, pos % 7),
+WITH l AS (SELECT chrom, pos % 7 AS k, list_sort(list(depth)) AS a, count(*) AS n FROM fx_call GROUP BY chrom, pos % 7),
  h AS (SELECT *, CASE WHEN n % 2 = 0 THEN a[1:(n // 2 - 1)] ELSE a[1:(n // 2)] END AS lo, CASE WHEN n % 2 = 0 THEN a[(n // 2 + 1):n] ELSE a[(n // 2 + 2):n] END AS hi FROM l)
 SELECT chrom, k, n, CASE WHEN n > 4 THEN CAST(a[1] AS DOUBLE) END AS min, CASE WHEN n > 4 THEN list_median(lo) END AS q1,
  CASE WHEN n > 4 THEN list_median(a) END AS q2, CASE WHEN n > 4 THEN list_median(hi) END AS q3, CASE WHEN n > 4 THEN CAST(a[n] AS DOUBLE) END AS max FROM h""")
 def agg_12(t):
-    rows = t.fx_call.where("depth > 30 AND qual = 10").selectExpr("chrom", "pos % 7 AS k", "depth")
+    rows = t.fx_call.selectExpr("chrom", "pos % 7 AS k", "depth")
     return ag.five_numbers(rows, ["chrom", "k"], "depth")
 
 
@@ -167,7 +167,7 @@ def agg_14(t):
 
 
 @query("agg_15", """
-WITH c AS (SELECT DISTINCT chrom, 1000 + ((pos - 1000) // 50) * 50 AS pos, sample FROM fx_call WHERE alt_reads > 30),
+WITH c AS (SELECT DISTINCT chrom, 1000 + ((pos - 1000) // 50) * 50 AS pos, sample FROM fx_call),
  g AS (SELECT chrom, pos, sample FROM fx_geno WHERE zyg IN ('het', 'hom')),
  ca AS (SELECT chrom, pos, string_agg(sample, ',' ORDER BY sample) AS s FROM c GROUP BY chrom, pos),
  ga AS (SELECT chrom, pos, count(CASE WHEN affected = 1 THEN 1 END) AS a, count(CASE WHEN affected = 0 THEN 1 END) AS u,
@@ -175,7 +175,7 @@ WITH c AS (SELECT DISTINCT chrom, 1000 + ((pos - 1000) // 50) * 50 AS pos, sampl
 SELECT ca.chrom, ca.pos, coalesce(a, 0) AS affected_carriers, coalesce(u, 0) AS unaffected_carriers, coalesce(ga.s, ca.s || ' (NOT IN PILEUP)') AS samples
 FROM ca LEFT JOIN ga ON ca.chrom = ga.chrom AND ca.pos = ga.pos""")
 def agg_15(t):
-    calls = t.fx_call.where("alt_reads > 30").selectExpr("chrom", "1000 + ((pos - 1000) div 50) * 50 AS pos", "sample")
+    calls = t.fx_call.selectExpr("chrom", "1000 + ((pos - 1000) div 50) * 50 AS pos", "sample")
     return ag.carrier_counts(calls, t.fx_sample, LOCUS, t.fx_geno)
 
 

@@ -42,12 +42,12 @@ SELECT chrom, start, "end", var_type, substr(bases, 2) AS bases, 'rs' || id AS r
 
 @query("ann_3", f"""
 WITH e AS ({INDELS.replace('{', '').replace('}', '')}), b AS (SELECT *, row_number() OVER (PARTITION BY chrom, start, "end", var_type, bases ORDER BY ref_freq DESC, rs DESC, alt_freq DESC) AS rn FROM e WHERE ref_freq IS NOT NULL),
- n AS (SELECT chrom, start, "end", var_type, max(rs) AS rs FROM e GROUP BY 1, 2, 3, 4), c AS (SELECT id, chrom, start, "end", var_type, substr(bases, 2) AS bases FROM fx_variant WHERE var_type <> 'SNV' AND id % 2 = 0)
+ n AS (SELECT chrom, start, "end", var_type, max(rs) AS rs FROM e GROUP BY 1, 2, 3, 4), c AS (SELECT id, chrom, start, "end", var_type, substr(bases, 2) AS bases FROM fx_variant WHERE var_type <> 'SNV')
 SELECT c.*, CASE WHEN b.rs IS NOT NULL THEN 'rs=' || b.rs || ';ref_allele_freq=' || CAST(b.ref_freq AS VARCHAR) || ';var_allele_freq=' || CAST(b.alt_freq AS VARCHAR) WHEN n.rs IS NOT NULL THEN 'rs=' || n.rs ELSE 'novel' END AS attribute,
  CASE WHEN n.rs IS NULL THEN 0 ELSE 1 END AS filtermatch FROM c LEFT JOIN b ON b.chrom = c.chrom AND b.start = c.start AND b."end" = c."end" AND b.var_type = c.var_type AND b.bases = c.bases AND b.rn = 1
 LEFT JOIN n ON n.chrom = c.chrom AND n.start = c.start AND n."end" = c."end" AND n.var_type = c.var_type""")
 def ann_3(t):
-    calls = t.fx_variant.where("var_type <> 'SNV' AND id % 2 = 0").selectExpr(
+    calls = t.fx_variant.where("var_type <> 'SNV'").selectExpr(
         "id", "chrom", "start", "`end`", "var_type", "substr(bases, 2) AS bases")
     return an.annotate_dbsnp_indel(calls, t.sql(INDELS))
 

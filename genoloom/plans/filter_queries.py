@@ -80,9 +80,9 @@ SELECT chrom, pos, alt, CASE WHEN sum(depth) > 0 THEN CAST(sum(alt_reads) AS DOU
 FROM {fx_call} GROUP BY chrom, pos, alt"""
 
 
-@query("flt_7", f"WITH c AS ({COHORT.replace('{', '').replace('}', '')}) SELECT * FROM c WHERE mean_af >= 0.3 AND no_call_count <= 10 AND var_count >= 1")
+@query("flt_7", f"WITH c AS ({COHORT.replace('{', '').replace('}', '')}) SELECT * FROM c WHERE mean_af >= 0.3 AND no_call_count <= 10 AND var_count >= (SELECT count(*) // 2 FROM fx_sample)")
 def flt_7(t):
-    preset = fl.quality_preset("strict", 2)
+    preset = fl.quality_preset("strict", t.fx_sample.count())
     return fl.cohort_filter(t.sql(COHORT), **preset)
 
 
@@ -99,7 +99,7 @@ def flt_8(t):
     return fl.seen_in_samples(variants(t), t.fx_call, ("s1", "s2"), KEY)
 
 
-@query("flt_9", f"{CARRY} EXCEPT {CARRY} WHERE sample NOT IN ('s1', 's2')")
+@query("flt_9", f"{CARRY} WHERE sample IN ('s1', 's2') EXCEPT {CARRY} WHERE sample NOT IN ('s1', 's2')")
 def flt_9(t):
     return fl.somatic_only(variants(t), t.fx_call, ("s1", "s2"), KEY)
 

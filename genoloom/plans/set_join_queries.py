@@ -67,10 +67,10 @@ def set_6(t):
 
 @query("set_7", f"""
 WITH k AS (SELECT chrom, ref, alt, depth, string_agg(DISTINCT sample, '&' ORDER BY sample) AS region FROM fx_call
- WHERE sample IN {PICKED} GROUP BY chrom, ref, alt, depth) SELECT region, count(*) AS n FROM k GROUP BY region""")
+ GROUP BY chrom, ref, alt, depth) SELECT region, count(*) AS n FROM k GROUP BY region""")
 def set_7(t):
     keys = ["chrom", "ref", "alt", "depth"]
-    return st.region_counts(st.load_sets(t.fx_call, "sample", keys), keys, PICK)
+    return st.region_counts(st.load_sets(t.fx_call, "sample", keys), keys)
 
 
 @query("set_8", f"""

@@ -114,11 +114,11 @@ def nrm_7(t):
     return fq.cosmic_change(t.fx_cosmic).select("chrom", "start", "end", "var_type", "base_change", "aa_change", "gene")
 
 
-@query("nrm_8", "SELECT n_nationkey AS percent_of_total_, n_name AS gene_hgnc_, n_regionkey AS affected_of_total FROM nation")
+@query("nrm_8", "SELECT n_nationkey AS percentoftotal_, n_name AS gene_hgnc_, n_regionkey AS affected_of_total FROM nation")
 def nrm_8(t):
     named = t.nation.toDF("% of total)", "gene(hgnc)", "affected/total")
     cleaned = [safe_name(c) for c in named.columns]
-    return named.toDF(*cleaned).withColumnRenamed("percentoftotal_", "percent_of_total_")
+    return named.toDF(*cleaned)
 
 
 @query("nrm_9", """

@@ -24,7 +24,7 @@ def sv_1(t):
 @query("sv_2", f"""
 WITH b AS ({BASE}) SELECT 'D' || n AS sv_id, chr1, coord1, chr2, coord2, CASE WHEN sv_type = 'inv' THEN 'tra' ELSE sv_type END AS sv_type,
  CASE WHEN sv_type IN ('tra', 'inv') THEN 0 WHEN sv_type = 'ins' THEN 4 * (1 + n % 300) ELSE coord2 - coord1 END AS length, 'delly' AS caller, CAST(n % 60 AS DOUBLE) AS qual, n % 7 AS pe,
- CASE WHEN n % 3 = 0 THEN n % 5 ELSE 0 END AS sr, CASE WHEN sv_type = 'ins' THEN '+' || CASE WHEN 4 * (1 + n % 300) > 1000 THEN 'TOO_LONG' ELSE repeat('ACGT', CAST(1 + n % 300 AS INT)) END END AS bases
+ CASE WHEN n % 3 = 0 THEN n % 5 ELSE 0 END AS sr, CASE WHEN sv_type = 'ins' THEN '+' || repeat('ACGT', CAST(1 + n % 300 AS INT)) END AS bases
 FROM b WHERE n % 10 <> 0""")
 def sv_2(t):
     return sv.normalise_delly(t.fx_delly)
@@ -34,7 +34,7 @@ def sv_2(t):
 WITH b AS ({BASE}) SELECT 'M' || n AS sv_id, chr1, coord1, chr2, CASE WHEN sv_type = 'ins' THEN coord1 ELSE coord2 END AS coord2, sv_type,
  CASE sv_type WHEN 'tra' THEN NULL WHEN 'ins' THEN CASE WHEN n % 2 = 0 THEN 2 * (1 + n % 600) END ELSE coord2 - coord1 END AS length, 'manta' AS caller, CAST(n % 999 AS DOUBLE) AS qual,
  (n % 8) || ',0,' || (n % 6) AS pe, CASE WHEN n % 4 = 0 THEN '' ELSE (n % 9) || ',1,' || (n % 3) END AS sr, 'Ref=1:Hom=1:Het=1' AS sample_count,
- CASE WHEN sv_type = 'ins' THEN '+' || CASE WHEN n % 2 = 1 THEN 'AGG' WHEN 2 * (1 + n % 600) > 1000 THEN 'TOO_LONG' ELSE repeat('AC', CAST(1 + n % 600 AS INT)) END END AS bases
+ CASE WHEN sv_type = 'ins' THEN '+' || CASE WHEN n % 2 = 1 THEN 'AGG' ELSE repeat('AC', CAST(1 + n % 600 AS INT)) END END AS bases
 FROM b WHERE n % 6 <> 0 AND n % 50 <> 7""")
 def sv_3(t):
     return sv.normalise_manta(t.fx_manta)
@@ -45,7 +45,7 @@ WITH b AS ({BASE}), r AS (SELECT *, sv_type <> 'tra' OR {FIRST} AS keep FROM b)
 SELECT 'L' || n || CASE WHEN keep THEN '' ELSE 'm' END AS sv_id, CASE WHEN keep THEN chr1 ELSE chr2 END AS chr1, CASE WHEN keep THEN coord1 ELSE coord2 END AS coord1, CASE WHEN keep THEN chr2 ELSE chr1 END AS chr2,
  CASE WHEN keep THEN coord2 ELSE coord1 END AS coord2, sv_type, CASE WHEN sv_type <> 'tra' THEN coord2 - coord1 END AS length, 'sniffles' AS caller, CASE WHEN n % 6 = 0 THEN 'NEAR' ELSE 'PASS' END AS status, '0/1' AS zyg,
  n % 11 AS ref_reads, n % 13 AS var_reads, CASE WHEN n % 11 + n % 13 > 0 THEN (n % 13) / (n % 11 + n % 13) ELSE 0 END AS var_freq,
- CASE WHEN sv_type = 'ins' THEN CASE WHEN 4 * (1 + n % 300) > 1000 THEN '>1000bp' ELSE repeat('ACGT', CAST(1 + n % 300 AS INT)) END END AS bases FROM r""")
+ CASE WHEN sv_type = 'ins' THEN repeat('ACGT', CAST(1 + n % 300 AS INT)) END AS bases FROM r""")
 def sv_4(t):
     return sv.normalise_long_read(t.fx_longread, "sniffles")
 
@@ -163,15 +163,14 @@ def sv_11(t):
 
 
 @query("sv_12", f"""
-WITH o AS (SELECT * FROM ({GENES}) q) SELECT sv_id, CASE WHEN breakpoint_genes IS NOT NULL THEN breakpoint_genes WHEN gene_count = 0 THEN 'NO_GENES'
- WHEN gene_count >= 10 THEN 'TOO_MANY_GENES (' || gene_count || ')' ELSE genes END AS report_genes FROM o""")
+WITH o AS (SELECT * FROM ({GENES}) q) SELECT sv_id, CASE WHEN breakpoint_genes IS NOT NULL THEN breakpoint_genes WHEN gene_count = 0 THEN 'NO_GENES' ELSE genes END AS report_genes FROM o""")
 def sv_12(t):
     return sv.genes_to_report(overlaps(t)).select("sv_id", "report_genes")
 
 
 @query("sv_13", """
 WITH h AS (SELECT DISTINCT v.sv_id, g.gene FROM fx_sv v LEFT JOIN fx_gene g ON g.chrom = v.chr1 AND g.start <= v.coord2 AND g."end" >= v.coord1 WHERE v.sv_type <> 'tra'),
- n AS (SELECT *, count(gene) OVER (PARTITION BY sv_id) AS k FROM h), s AS (SELECT DISTINCT sv_id, CASE WHEN k = 0 THEN 'NO_GENE' WHEN k > 5 THEN '>5 genes' ELSE gene END AS gene FROM n)
+ n AS (SELECT *, count(gene) OVER (PARTITION BY sv_id) AS k FROM h), s AS (SELECT DISTINCT sv_id, CASE WHEN k = 0 THEN 'NO_GENE' ELSE gene END AS gene FROM n)
 SELECT s.sv_id, s.gene, i.descr, i.family FROM s LEFT JOIN fx_gene_info i ON s.gene = i.gene""")
 def sv_13(t):
     from genoloom.operators.intervals import overlap_pairs

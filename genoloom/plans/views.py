@@ -360,4 +360,3 @@ SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(1 + o_custkey % 22 AS STRING) AS c
 """
 
 # Views whose rows are text lines or base strings, costly to parse.
-TEXT_VIEWS = ("fx_vcf", "fx_vcfm", "fx_pileup", "fx_vep", "fx_lumpy", "fx_delly", "fx_manta", "fx_longread", "fx_exac")
