@@ -36,6 +36,7 @@ SHINGLE = 5
 PERCENT = 75
 CELL_BITS = 20  # the sketch has 2^20 cells, 4 MB; more cells find rarer frequent tokens
 BLOCKS = 64  # the sketch travels in so many parts
+SHORT_BITS = 12  # parity bits that travel with a token's classes at most; full bitmaps follow for the pairs left
 LEAST_BITS, MOST_BITS = 10, 16  # a set has 2^10 to 2^16 parity bits, two or more a token up to 32,768 tokens
 GROUP = 4096  # classes of one token that one comparison holds; larger groups are cut into blocks
 
@@ -192,13 +193,21 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(own[keep])], names=["token", "class"])
 
 
-def _difference_fits(bits: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+def _folded(bits: bytes, words: int) -> np.ndarray:
+    """A bitmap at ``words`` 64-bit words, or its own size if that is less."""
+    folded = np.frombuffer(bits, "<u8")
+    while len(folded) > words:
+        folded = folded[: len(folded) // 2] ^ folded[len(folded) // 2 :]
+    return folded
+
+
+def _difference_fits(bits: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int = PERCENT, most: int = MOST_BITS) -> np.ndarray:
     """Pairs whose sizes and bitmaps allow the similarity: |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|).
 
-    Bitmaps of different sizes are compared at the smaller one.
+    Bitmaps of different sizes are compared at the smaller one, those of more than 2^``most`` bits at that.
     """
     ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-    level = bitmap_level(n)
+    level = np.minimum(bitmap_level(n), most)
     common = np.minimum(level[i], level[j])
     for size in np.unique(common[ok]).tolist():
         at = np.flatnonzero(ok & (common == size))
@@ -206,10 +215,7 @@ def _difference_fits(bits: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndar
         words = (1 << size) // 64
         maps = np.empty((len(rows), words), np.uint64)
         for k, r in enumerate(rows.tolist()):
-            whole_map = np.frombuffer(bits[r], "<u8")
-            while len(whole_map) > words:
-                whole_map = whole_map[: len(whole_map) // 2] ^ whole_map[len(whole_map) // 2 :]
-            maps[k] = whole_map
+            maps[k] = _folded(bits[r], words)
         x, y = place[: len(at)], place[len(at) :]
         step = max(1, (1 << 19) // words)
         for start in range(0, len(at), step):
@@ -219,10 +225,16 @@ def _difference_fits(bits: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndar
     return ok
 
 
-def _with_pivots(shared: DataFrame) -> DataFrame:
-    """(token, class, pivot): a token's pivot is its class of least hash; settled without the pivots' own rows."""
-    pivots = shared.groupBy("token").agg(F.min(F.struct(F.xxhash64("class").alias("o"), F.col("class").alias("pivot"))).alias("p"))
-    return settle(shared.join(pivots.select("token", "p.pivot"), "token").where("class != pivot"))
+def _sizes_fit(n: Column, m: Column) -> Column:
+    """Whether sets of these sizes can reach the similarity."""
+    return 100 * F.least(n, m).cast("long") >= PERCENT * F.greatest(n, m).cast("long")
+
+
+def _with_pivots(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """(token, class, n, pivot, n_pivot): a token's pivot is its class of least hash; settled without the pivots' own rows."""
+    shared = shared.join(classes.select("class", "n"), "class")
+    pivots = shared.groupBy("token").agg(F.min(F.struct(F.xxhash64("class").alias("o"), F.col("class").alias("pivot"), F.col("n").alias("n_pivot"))).alias("p"))
+    return settle(shared.join(pivots.select("token", "p.pivot", "p.n_pivot"), "token").where("class != pivot"))
 
 
 def _fitting(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -279,7 +291,7 @@ def _group_pairs(batches: Iterator[pa.RecordBatch], forest: bool) -> Iterator[pa
                 i, j = (np.concatenate(x) for x in zip(*some, strict=True))
                 ok = (comp[i] != comp[j]) & ((side[i] != side[j]) | (bi[i] == bj[i]))
                 i, j = i[ok], j[ok]
-                fit = np.flatnonzero(_difference_fits(bits, n, i, j))
+                fit = np.flatnonzero(_difference_fits(bits, n, i, j, most=SHORT_BITS))
                 if forest:
                     fit = fit[_forest(group[i[fit]], comp[i[fit]], comp[j[fit]])]
                 a, b = own[i[fit]], own[j[fit]]
@@ -319,18 +331,31 @@ def _group_pairs(batches: Iterator[pa.RecordBatch], forest: bool) -> Iterator[pa
         yield pairs(pa.concat_tables(waiting))
 
 
+def _short(classes: DataFrame) -> DataFrame:
+    """(class, bits) with bitmaps of at most 2^SHORT_BITS bits."""
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [_folded(b.as_buffer(), (1 << SHORT_BITS) // 64).tobytes() for b in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], names=["class", "bits"])
+
+    return classes.select("class", "bits").mapInArrow(fold, "class long, bits binary")
+
+
 def _cross_pairs(members: DataFrame, classes: DataFrame, links: DataFrame, forest: bool) -> DataFrame:
     """(a, b) of classes in different components of ``links`` that share a token, as far as size and
-    bitmap allow; with ``forest`` only some, enough to tie each token's components.
+    short bitmap allow; with ``forest`` only some, enough to tie each token's components. A token of two
+    classes is left out where their sizes tell them apart.
 
     A token's classes are dealt over blocks of about ``GROUP`` by a hash; each two blocks meet in a
     group of their own, so no task holds more than two blocks of a frequent token.
     """
     labels = settle(components(links)).withColumnRenamed("node", "class")
-    named = settle(members.select("token", "class").join(labels, "class", "left").select("token", "class", F.coalesce("label", "class").alias("comp")))
-    mixed = settle(named.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("k")).where("x < y").select(
-        "token", F.ceil(F.col("k") / GROUP).cast("int").alias("m")))
-    rows = named.join(mixed, "token").join(classes.select("class", "n", "bits"), "class")
+    named = settle(members.select("token", "class", "n").join(labels, "class", "left").select("token", "class", "n", F.coalesce("label", "class").alias("comp")))
+    mixed = named.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("k"),
+                                       F.min("n").alias("least"), F.max("n").alias("most"))
+    mixed = mixed.where((F.col("x") < F.col("y")) & ((F.col("k") > 2) | _sizes_fit(F.col("least"), F.col("most"))))
+    mixed = settle(mixed.select("token", F.ceil(F.col("k") / GROUP).cast("int").alias("m")))
+    rows = named.join(mixed, "token").join(_short(classes), "class")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("class", "token"), F.col("m")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
@@ -401,11 +426,12 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = scan.where("counts IS NULL")
     classes = settle(rows.where("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("least"), F.min("tkey").alias("tkey"), F.first("n").alias("n"), F.first("bits").alias("bits")))
-    members = _with_pivots(_shared_prefix_tokens(docs, _sketch(scan)))
-    pairs = members.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
+    members = _with_pivots(_shared_prefix_tokens(docs, _sketch(scan)), classes)
+    pairs = members.where(_sizes_fit(F.col("n"), F.col("n_pivot"))).select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
     links = _linked(docs, classes, _fitting(pairs, classes))
     for forest in (True, False):
-        links = settle(links.unionByName(_linked(docs, classes, _cross_pairs(members, classes, links, forest))))
+        pairs = _fitting(_cross_pairs(members, classes, links, forest), classes)
+        links = settle(links.unionByName(_linked(docs, classes, pairs)))
     labels = settle(components(links))
     groups = settle(classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
         "class", F.coalesce("label", "class").alias("label"), "least"))
