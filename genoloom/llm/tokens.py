@@ -11,6 +11,8 @@ tokeniser. ``tests/llm`` holds this against encoding whole texts.
 from __future__ import annotations
 
 import codecs
+import ctypes
+import gc
 import os
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -120,11 +122,15 @@ _HELD: dict[tuple, object] = {}
 def held(make: Callable | None = None, *args):
     """What a worker remembers between tasks: ``make(*args)``, or nothing.
 
-    One thing at a time, so the tables of an earlier stage do not add to a later one's memory.
+    One thing at a time, so the tables of an earlier stage do not add to a later one's memory; what
+    they leave goes back to the system where the C library can do that.
     """
     key = (make, *args)
     if key not in _HELD:
         _HELD.clear()
+        gc.collect()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
         _HELD[key] = make(*args) if make else None
     return _HELD[key]
 
