@@ -1,9 +1,10 @@
 """Licence scan with a positional rare-token index, in DataFrame operations only.
 
-Licence templates are indexed by word and place. Of a file's licence words those with the highest
-inverse document frequency in the scanned table are looked up; each hit proposes where the template
-would begin in the file. A place proposed by enough words is checked for the template's key phrases,
-word by word at their places.
+Licence templates are indexed by word and place. Of the words that a template's notice must hold,
+the one with the highest inverse document frequency in the scanned table is looked up in every file;
+each hit proposes where the template would begin in the file. Every place is then checked, word by
+word at their places, for the template's key phrases and for enough of its indexed words. As a
+notice holds its template's rarest word, none is missed, however many stand in a file.
 """
 
 from __future__ import annotations
@@ -40,9 +41,8 @@ TEMPLATES = (
 )
 BASE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-INDEX_CHARS = 6  # shorter words carry too little information to be looked up
-RARE_WORDS = 8  # a file's rarest licence words that are looked up
-AGREE = 2  # words that must propose the same place, or all indexed words if a template has fewer
+INDEX_CHARS = 6  # shorter words carry too little information to count as agreeing
+AGREE = 2  # indexed words that must stand at their places, or all if a template has fewer
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -66,7 +66,8 @@ def _postings() -> list[tuple[int, str, int, bool, bool]]:
 
 
 POSTINGS = _postings()
-INDEXED = sorted({w for _, w, _, indexed, _ in POSTINGS if indexed})
+WORDS = [sum(1 for k, _, _, indexed, _ in POSTINGS if indexed and k == t) for t in range(len(TEMPLATES))]
+KEYS = [sum(1 for k, *_, keyed in POSTINGS if keyed and k == t) for t in range(len(TEMPLATES))]
 VOCABULARY = sorted({w for _, w, *_ in POSTINGS} | {w for p, _ in BASE_PHRASES for w in p.split()})
 
 
@@ -104,35 +105,38 @@ def _phrase_starts(phrase: str) -> Column:
     return F.transform(F.filter("hits", here), lambda h: h["at"])
 
 
+def _rarest(df: dict[str, int], n_files: int) -> list[tuple[int, str, int]]:
+    """(template, word, place) of every template's rarest word among those its notice must hold."""
+    idf = {w: math.log((n_files + 1) / (df.get(w, 0) + 1)) for w in VOCABULARY}
+    out = []
+    for t in range(len(TEMPLATES)):
+        must = [(w, i) for k, w, i, indexed, keyed in POSTINGS if k == t and (keyed or (indexed and WORDS[t] <= AGREE))]
+        word, place = min(must, key=lambda m: (-idf[m[0]], m))
+        out.append((t, word, place))
+    return out
+
+
 def notices(files: DataFrame) -> DataFrame:
     """rid, label, at, score of every licence notice that is verified in ``licence_words`` rows.
 
-    ``score`` is the share of the template's looked-up words that stand at their place.
+    ``score`` is the share of the template's indexed words that stand at their place.
     """
     spark = files.sparkSession
     n_files = files.count()
     held = files.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word"))
-    df = {r["word"]: r["n"] for r in held.where(F.col("word").isin(INDEXED)).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
-    idf = F.create_map(*(F.lit(x) for w in INDEXED for x in (w, math.log((n_files + 1) / (df.get(w, 0) + 1)))))
-    own = F.array_distinct(F.filter(F.transform("hits", lambda h: h["word"]), lambda w: w.isin(INDEXED)))
-    rarest = F.slice(F.array_sort(F.transform(own, lambda w: F.struct((-idf[w]).alias("idf"), w.alias("word")))), 1, RARE_WORDS)
-    rare = files.where(F.size("hits") > 0).select("rid", "hits", F.transform(rarest, lambda r: r["word"]).alias("rare"))
-    looked = rare.select("rid", "rare", F.explode(F.filter("hits", lambda h: F.array_contains("rare", h["word"]))).alias("h"))
-    index = _table(spark, [(k, w, i) for k, w, i, indexed, _ in POSTINGS if indexed], ["template", "posted", "place"])
-    proposed = looked.join(F.broadcast(index), F.col("h.word") == F.col("posted"))
-    proposed = proposed.groupBy("rid", "template", (F.col("h.at") - F.col("place")).alias("begins")).agg(F.count(F.lit(1)).alias("agree"))
-    words = [sum(1 for k, _, _, indexed, _ in POSTINGS if indexed and k == t) for t in range(len(TEMPLATES))]
-    keys = [sum(1 for k, *_, keyed in POSTINGS if keyed and k == t) for t in range(len(TEMPLATES))]
-    facts = _table(spark, [(t, label, words[t], min(AGREE, words[t]), keys[t]) for t, (label, *_) in enumerate(TEMPLATES)],
-                   ["template", "label", "indexed", "needed", "keys"])
-    places = proposed.join(F.broadcast(facts), "template").where("agree >= needed")
-    keyed = _table(spark, [(k, w, i) for k, w, i, _, keyed in POSTINGS if keyed], ["template", "posted", "place"])
-    wanted = places.join(F.broadcast(keyed), "template").select("rid", "template", "label", "begins", "agree", "indexed", "keys", "posted",
-                                                               (F.col("begins") + F.col("place")).alias("at"))
+    rare = _rarest({r["word"]: r["n"] for r in held.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}, n_files)
+    facts = _table(spark, [(t, label, WORDS[t], min(AGREE, WORDS[t]), KEYS[t], word, place) for (t, word, place), (label, *_) in zip(rare, TEMPLATES, strict=True)],
+                   ["template", "label", "indexed", "needed", "keys", "rare", "rare_place"])
+    looked = files.select("rid", F.explode(F.filter("hits", lambda h: h["word"].isin(sorted({w for _, w, _ in rare})))).alias("h"))
+    places = looked.join(F.broadcast(facts), F.col("h.word") == F.col("rare")).select(
+        "rid", "template", "label", "indexed", "needed", "keys", (F.col("h.at") - F.col("rare_place")).alias("begins"))
+    postings = _table(spark, POSTINGS, ["template", "posted", "place", "is_indexed", "is_keyed"])
+    wanted = places.join(F.broadcast(postings), "template").select("rid", "template", "label", "begins", "indexed", "needed", "keys", "posted",
+                                                                  "is_indexed", "is_keyed", (F.col("begins") + F.col("place")).alias("at"))
     there = files.select("rid", F.explode("hits").alias("h")).select("rid", F.col("h.at").alias("at"), F.col("h.word").alias("posted"))
-    return (wanted.join(there, ["rid", "at", "posted"]).groupBy("rid", "template", "label", "begins", "agree", "indexed", "keys")
-            .agg(F.count(F.lit(1)).alias("met")).where("met = keys")
-            .select("rid", "label", F.col("begins").alias("at"), F.least(F.lit(1.0), F.col("agree") / F.least("indexed", F.lit(RARE_WORDS))).alias("score")))
+    met = wanted.join(there, ["rid", "at", "posted"]).groupBy("rid", "template", "label", "begins", "indexed", "needed", "keys").agg(
+        F.count_if("is_indexed").alias("agree"), F.count_if("is_keyed").alias("met"))
+    return met.where("met = keys AND agree >= needed").select("rid", "label", F.col("begins").alias("at"), (F.col("agree") / F.col("indexed")).alias("score"))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -420,6 +420,19 @@ def test_license_templates_are_found(spark):
     assert got[len(texts) - 1].labels == got[len(texts) - 2].labels == ""
 
 
+def test_license_notices_of_one_file(spark):
+    every = " ".join(notice for _, notice, _ in licenses.TEMPLATES)
+    notice = {label: text for label, text, _ in licenses.TEMPLATES}
+    rows = [(0, every), (1, notice["bsd"] + " " + notice["cc-by-nc"]), (2, " x ".join(notice[k] for k in ("cc-by", "bsd", "mpl"))),
+            (3, " ".join(reversed(every.split()))), (4, notice["bsd"].replace("following conditions", "terms"))]
+    rows += [(k, notice["cc-by-nc"] if k % 2 else "plain text") for k in range(10, 60)]  # frequent, so its words are not rare
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].labels == ",".join(sorted(notice)) and got[0].score == 1.0
+    assert [got[k].labels for k in (1, 2, 3)] == ["bsd,cc-by-nc", "bsd,cc-by,mpl", ""]
+    assert got[4].labels == "bsd" and 0 < got[4].score < 1
+    assert all(got[k].labels == ("cc-by-nc" if k % 2 else "") for k in range(10, 60))
+
+
 def test_token_store_round_trip(spark, docs, empty, tmp_path):
     rows = _rows()
     path = str(tmp_path / "store")
