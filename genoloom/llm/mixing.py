@@ -13,6 +13,7 @@ those lengths, and documents are ordered at random inside their shard.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +24,7 @@ from genoloom.llm.common import WORD, settle, whole
 WEIGHTS = (1, 2, 3)
 MOST = 3  # a source, and so a document, is taken this many times at most
 BLOCK_DOCS = 2000
-TREE_DEPTH = 4
+SHARD_DRAWS = 8  # block draws of an output shard, about; the tree is as deep as that needs
 SEED = "mix-1"
 
 
@@ -100,12 +101,23 @@ def block_plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
         "source", "block", "times", "cut")
 
 
-def shard_of_draws(plan: DataFrame, depth: int = TREE_DEPTH) -> DataFrame:
+def _block_draws() -> Column:
+    return F.col("times") + F.col("cut").isNotNull().cast("long")
+
+
+def tree_depth(plan: DataFrame) -> int:
+    """The depth at which a shard has about ``SHARD_DRAWS`` block draws."""
+    draws = plan.agg(F.sum(_block_draws())).first()[0] or 0
+    return max(0, math.ceil(math.log2(max(1, draws) / SHARD_DRAWS)))
+
+
+def shard_of_draws(plan: DataFrame, depth: int | None = None) -> DataFrame:
     """source, block, draw, shard for every draw of a block (draws count from 1).
 
     Draws number a two-thousandth of the documents; the tree's root is one sort of them.
     """
-    draws = F.col("times") + F.col("cut").isNotNull().cast("long")
+    depth = tree_depth(plan) if depth is None else depth
+    draws = _block_draws()
     units = plan.where(draws > 0).select("source", "block", F.explode(F.sequence(F.lit(1).cast("long"), draws)).alias("draw"), F.lit(0).alias("node"))
     units = settle(units)
 
@@ -136,41 +148,57 @@ def plan_mix(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     return targets, settle(block_plan(sized, targets))
 
 
+def placed_plan(plan: DataFrame, depth: int | None = None) -> DataFrame:
+    """The block plan with ``shards``, where the tree has placed a block's draws, in draw order; settled."""
+    at = F.array_sort(F.collect_list(F.struct("draw", "shard")))
+    shards = shard_of_draws(plan, depth).groupBy("source", "block").agg(F.transform(at, lambda d: d["shard"]).alias("shards"))
+    shards = shards.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "shards")
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
+    return settle(plan.join(shards, same, "left").select(*plan.columns, F.coalesce("shards", F.array().cast("array<int>")).alias("shards")))
+
+
 def with_draws(rows: DataFrame, targets: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows (doc_id, source, ...) with ``t``, ``block`` and ``draws``, the times each is taken. Rows that
-    repeat a doc_id are taken alike; null doc_ids count as one id, a null source as a source."""
+    """Rows (doc_id, source, ...) with ``t``, ``block`` and ``draws``, the times each is taken; with
+    ``shards``, that of each draw, if the plan is placed. Rows that repeat a doc_id are taken alike;
+    null doc_ids count as one id, a null source as a source."""
+    placed = "shards" in plan.columns
     plan = plan.select(F.struct(*plan.columns).alias("p"))
     rows = _with_source(rows, targets).join(
         plan, F.col("source").eqNullSafe(F.col("p.source")) & (F.col("block") == F.col("p.block")), "left")
     extra = F.coalesce(F.col("key") <= F.col("p.cut"), F.lit(False)).cast("long")
-    return rows.withColumn("draws", F.coalesce(F.col("p.times"), F.lit(0)) + extra).drop("p")
+    rows = rows.withColumn("draws", F.coalesce(F.col("p.times"), F.lit(0)) + extra)
+    if placed:
+        rows = rows.withColumn("shards", F.slice(F.coalesce("p.shards", F.array().cast("array<int>")), F.lit(1), F.col("draws").cast("int")))
+    return rows.drop("p")
 
 
 def taken_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """One row per input row: doc_id, size, source_size, target, taken. No rows for an empty table."""
+    """One row per input row: doc_id, size, source_size, target, taken. No rows for an empty table.
+
+    ``taken`` counts the row's words once for every draw that the tree has placed in a shard.
+    """
     sized = measured(docs, doc_id, text, source)
-    return with_draws(sized, *plan_mix(sized)).select(
+    targets, plan = plan_mix(sized)
+    return with_draws(sized, targets, placed_plan(plan)).select(
         "doc_id", "size", F.col("t.source_size").alias("source_size"), F.col("t.target").alias("target"),
-        (F.col("size") * F.col("draws")).alias("taken"))
+        (F.col("size") * F.size("shards")).alias("taken"))
 
 
-def mix(docs: DataFrame, depth: int = TREE_DEPTH, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+def mix(docs: DataFrame, depth: int | None = None, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         placed: bool = True) -> DataFrame:
     """The mixed rows: every row as often as it is drawn, with shard and place if ``placed`` (input
-    columns of these names are replaced). Sort a shard by place to get its order.
+    columns of these names are replaced). Sort a shard by place to get its order. If not ``placed``
+    the rows come in that order, shard by shard, with the input columns only.
 
     Only block tables are joined to the rows, so texts move only where Spark finds a side too large
-    to broadcast; then the keys are blocks, which are even.
+    to broadcast (then the keys are blocks, which are even), and once to be put in order.
     """
     sized = measured(docs, doc_id, text, source)
     targets, plan = plan_mix(sized)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"))
-    rows = with_draws(rows, targets, plan).where("draws > 0")
-    rows = rows.withColumn("draw", F.explode(F.sequence(F.lit(1).cast("long"), F.col("draws"))))
+    rows = with_draws(rows, targets, placed_plan(plan, depth))
+    rows = rows.select("row", "doc_id", F.posexplode("shards").alias("_nth", "shard"))
+    rows = rows.withColumn("place", F.xxhash64(F.lit(SEED), "shard", "doc_id", (F.col("_nth") + 1).cast("long")))
     if not placed:
-        return rows.select("row.*")
-    shards = settle(shard_of_draws(plan, depth)).select(F.struct("source", "block", "draw", "shard").alias("s"))
-    same = F.col("source").eqNullSafe(F.col("s.source")) & (F.col("block") == F.col("s.block")) & (F.col("draw") == F.col("s.draw"))
-    place = F.xxhash64(F.lit(SEED), F.col("s.shard"), F.col("doc_id"), F.col("draw"))
-    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("shard", "place")]
-    return rows.join(shards, same).select(*kept, F.col("s.shard").alias("shard"), place.alias("place"))
+        return rows.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select("row.*")
+    return rows.select(*(F.col(f"row.`{c}`") for c in docs.columns if c not in ("shard", "place")), "shard", "place")

@@ -359,6 +359,24 @@ def test_mixing_deals_disjoint_blocks(spark):
     assert all(abs(r.taken - r.target) <= 50 for r in taken)
 
 
+def test_mixing_takes_what_the_tree_places(spark, monkeypatch):
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.repeat(F.lit("w "), (F.col("id") % 9).cast("int")).alias("text"))
+    placed = mixing.mix(rows).cache()
+    shards = collections.Counter(r.shard for r in placed.select("shard").collect())
+    assert len(shards) == 4 and max(shards.values()) < 2 * min(shards.values())
+    by_doc = {r.doc_id: r.n for r in placed.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert all(r.taken == r["size"] * by_doc.get(r.doc_id, 0) for r in mixing.taken_words(rows).collect())
+    in_order = [r.doc_id for r in placed.orderBy("shard", "place").select("doc_id").collect()]
+    written = mixing.mix(rows, placed=False)
+    assert written.columns == rows.columns and [r.doc_id for r in written.collect()] == in_order
+    place = mixing.shard_of_draws
+    monkeypatch.setattr(mixing, "shard_of_draws", lambda *a, **b: place(*a, **b).where("shard = 0"))
+    only = placed.where("shard = 0").select(F.sum(F.size(F.split(F.trim("text"), " ")) * (F.length("text") > 0).cast("int"))).first()[0]
+    first = mixing.mix(rows).select("shard").distinct().collect()
+    assert [r.shard for r in first] == [0] and only > 0
+    assert sum(r.taken for r in mixing.taken_words(rows).collect()) < sum(r["size"] * by_doc.get(r.doc_id, 0) for r in mixing.measured(rows).collect())
+
+
 def test_quality_base(docs):
     def want(t):
         t = t or ""
