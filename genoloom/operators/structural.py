@@ -1,6 +1,7 @@
 """Structural variants: caller formats, matching, events, tiers and genes (SV-*).
 
-Normalised columns: ``sv_id, chr1, coord1, chr2, coord2, sv_type, length, caller, qual, pe, sr``.
+Normalised columns: ``sv_id, chr1, coord1, chr2, coord2, sv_type, length, caller, qual, pe, sr``,
+after them ``sample`` and ``path`` where the lines carry them.
 """
 
 from __future__ import annotations
@@ -18,11 +19,20 @@ from genoloom.operators.intervals import locus_pairs
 SV_COLUMNS = ("sv_id", "chr1", "coord1", "chr2", "coord2", "sv_type", "length", "caller", "qual", "pe", "sr")
 
 
+ORIGIN = ("sample", "path")  # where a line comes from; a record's ends are looked for inside it
+_KEPT = {c: f"_{c}" for c in ORIGIN}  # beside the records' own ``samples`` and fields
+
+
+def _origin(rows: DataFrame, names: dict[str, str]) -> list[Column]:
+    return [F.col(a).alias(b) for a, b in names.items() if a in rows.columns]
+
+
 def _records(rows: DataFrame) -> DataFrame:
-    """The VCF columns of SV records, split once."""
+    """The VCF columns of SV records, split once, and the lines' origin."""
     f = F.col("f")
-    cut = once(rows.where(~F.col("line").startswith("#") & (F.trim("line") != "")).select("line"), f=F.split("line", "\t"))
+    cut = once(rows.where(~F.col("line").startswith("#") & (F.trim("line") != "")).select("line", *_origin(rows, _KEPT)), f=F.split("line", "\t"))
     return cut.select(
+        *(c for c in cut.columns if c in _KEPT.values()),
         F.regexp_replace(f[0], "^chr", "").alias("chr1"), f[1].cast("bigint").alias("coord1"), f[2].alias("id"),
         f[3].alias("ref"), f[4].alias("alt"), f[5].alias("score"), F.get(f, F.lit(6)).alias("filter"),
         F.concat(F.get(f, F.lit(7)), F.lit(";")).alias("info"), F.get(f, F.lit(8)).alias("fields"),
@@ -33,19 +43,32 @@ def _info(name: str, pattern: str = r"(\d+)") -> Column:
     return matched(F.col("info"), rf"(?:^|;){name}={pattern}")
 
 
+def _back(rows: DataFrame) -> list[Column]:
+    """The origin columns of records under their own names."""
+    return _origin(rows, {b: a for a, b in _KEPT.items()})
+
+
+def _mates() -> Column:
+    """The ids of a record and its mate in either order, where the caller names the mate; else null."""
+    mate = _info("MATEID", "([^;]+)")
+    return F.when(mate.isNotNull(), F.concat_ws("\t", F.least("id", mate), F.greatest("id", mate)))
+
+
 def _first_of_pair(df: DataFrame, only: Column) -> DataFrame:
     """Keep one record of each event reported from both ends: the end that sorts first.
 
     ``only`` marks the rows the rule applies to; the others pass as they are. The choice is a
-    grouping on the unordered breakpoint pair, so it does not depend on file order.
+    grouping on the unordered breakpoint pair within the origin and ``_event``, the caller's own
+    name of the event (null where it gives none; dropped here), so it does not depend on file order.
     """
     a = F.struct(F.col("chr1").alias("c"), F.col("coord1").alias("p"))
     b = F.struct(F.col("chr2").alias("c"), F.col("coord2").alias("p"))
     paired = df.where(only)
     cols = [F.col(c) for c in df.columns]
-    best = paired.groupBy("sv_type", F.least(a, b).alias("_lo"), F.greatest(a, b).alias("_hi")).agg(
+    within = ["sv_type", "_event", *(c for c in ORIGIN if c in df.columns)]
+    best = paired.groupBy(*within, F.least(a, b).alias("_lo"), F.greatest(a, b).alias("_hi")).agg(
         F.min_by(F.struct(*cols), F.struct(a, "sv_id")).alias("_r"))
-    return df.where(~only).unionByName(best.select("_r.*"))
+    return df.where(~only).unionByName(best.select("_r.*")).drop("_event")
 
 
 def normalise_lumpy(rows: DataFrame) -> DataFrame:
@@ -68,7 +91,8 @@ def normalise_lumpy(rows: DataFrame) -> DataFrame:
         F.when(swap, F.col("_end")).otherwise(F.col("coord1")).alias("coord1"), "chr2",
         F.when(swap, F.col("coord1")).otherwise(F.col("_end")).alias("coord2"), "sv_type", length.alias("length"),
         F.lit("lumpy").alias("caller"), F.lit(None).cast("double").alias("qual"),
-        _info("PE").cast("bigint").alias("pe"), _info("SR").cast("bigint").alias("sr"))
+        _info("PE").cast("bigint").alias("pe"), _info("SR").cast("bigint").alias("sr"), *_back(r),
+        F.when(F.col("id").rlike(r"_\d+$"), F.regexp_replace("id", r"_\d+$", "")).alias("_event"))
     return _first_of_pair(out, F.col("sv_type") == "tra")
 
 
@@ -86,7 +110,7 @@ def normalise_delly(rows: DataFrame) -> DataFrame:
         F.col("id").alias("sv_id"), "chr1", "coord1", "chr2", F.col("_end").alias("coord2"),
         F.when(F.col("kind") == "BND", "tra").otherwise(F.lower("kind")).alias("sv_type"), length.cast("bigint").alias("length"),
         F.lit("delly").alias("caller"), _info("MAPQ").cast("double").alias("qual"),
-        _info("PE").cast("bigint").alias("pe"), F.coalesce(_info("SR").cast("bigint"), F.lit(0)).alias("sr"), bases.alias("bases"))
+        _info("PE").cast("bigint").alias("pe"), F.coalesce(_info("SR").cast("bigint"), F.lit(0)).alias("sr"), bases.alias("bases"), *_back(r))
 
 
 def normalise_manta(rows: DataFrame, somatic: bool = False, require_pass: bool = True, human: bool = True) -> DataFrame:
@@ -143,7 +167,7 @@ def normalise_manta(rows: DataFrame, somatic: bool = False, require_pass: bool =
         F.when(inv, "inv").when(F.col("kind0") == "bnd", "tra").otherwise(F.col("kind0")).alias("sv_type"),
         length.cast("bigint").alias("length"), F.lit("manta").alias("caller"), qual.alias("qual"),
         pe.alias("pe"), sr.alias("sr"), counts.alias("sample_count"), bases.alias("bases"),
-        (F.col("kind0") == "bnd").alias("_bnd"))
+        *_back(r), _mates().alias("_event"), (F.col("kind0") == "bnd").alias("_bnd"))
     return _first_of_pair(out, F.col("_bnd")).drop("_bnd")
 
 
@@ -168,7 +192,7 @@ def normalise_long_read(rows: DataFrame, caller: str) -> DataFrame:
         _info("SVLEN", r"-?(\d+)").cast("bigint").alias("length"), F.lit(caller).alias("caller"), F.col("filter").alias("status"),
         ev[0].alias("zyg"), "ref_reads", "var_reads",
         F.when(total > 0, F.col("var_reads") / total).otherwise(0.0).alias("var_freq"),
-        F.when(F.col("kind") == "ins", F.col("alt")).alias("bases"))
+        F.when(F.col("kind") == "ins", F.col("alt")).alias("bases"), *_back(r), _mates().alias("_event"))
     return _first_of_pair(out, F.col("sv_type") == "tra")
 
 

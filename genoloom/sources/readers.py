@@ -202,10 +202,11 @@ def read_catalogue(spark: SparkSession, path, kind: str) -> DataFrame:
 
 
 def read_sv_calls(spark: SparkSession, path, caller: str) -> DataFrame:
-    """SRC-9: ``caller`` is ``lumpy``, ``delly``, ``manta``, ``sniffles`` or ``pbsv``."""
+    """SRC-9: ``caller`` is ``lumpy``, ``delly``, ``manta``, ``sniffles`` or ``pbsv``. Every event has
+    the ``path`` of its file; files of a cohort are read together without mixing their events."""
     from genoloom.operators import structural
 
-    return structural.normalise(lines(spark, path), caller)
+    return structural.normalise(spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("path")), caller)
 
 
 def parse_fasta(records: DataFrame) -> DataFrame:

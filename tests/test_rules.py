@@ -287,6 +287,26 @@ def test_translocation_reported_from_both_ends_is_kept_once(spark):
     assert len(got) == 1 and (got[0]["chr1"], got[0]["chr2"], got[0]["sv_type"]) == ("10", "2", "tra")
 
 
+@pytest.mark.parametrize("caller, info", [("lumpy", "SVTYPE=BND;STRANDS=+-:9;PE=3;SR=1"), ("manta", "X=1;SVTYPE=BND"), ("sniffles", "PRECISE;SVTYPE=BND"), ("delly", "SVTYPE=BND;CHR2=chr10;END=900;PE=3;MAPQ=9")])
+def test_same_translocation_in_two_samples_is_kept_twice(spark, tmp_path, caller, info):
+    fields = ("GT:DR:DV", "0/1:9:3") if caller == "sniffles" else ("GT:PR:SR", "0/1:9,3:7,2")
+
+    def ends(n, more=("", "")):
+        return ["\t".join(["chr2", "500", f"{n}_1", "N", "N]chr10:900]", "9", "PASS", info + more[0], *fields]),
+                "\t".join(["chr10", "900", f"{n}_2", "N", "N]chr2:500]", "9", "PASS", info + more[1], *fields])][: 1 if caller == "delly" else 2]
+
+    lines = [(x, s) for s in ("a", "b") for x in ends(7)]
+    got = sv.normalise(spark.createDataFrame(lines, "line string, sample string"), caller).collect()
+    assert sorted(r["sample"] for r in got) == ["a", "b"]
+    for s in "ab":
+        (tmp_path / f"{s}.vcf").write_text("\n".join(["##x", *ends(7)]) + "\n")
+    got = rd.read_sv_calls(spark, str(tmp_path), caller).collect()
+    assert sorted(r["path"][-5:] for r in got) == ["a.vcf", "b.vcf"]
+    mates = [(f";MATEID={n}_2", f";MATEID={n}_1") for n in (7, 8)]
+    lines = [(x,) for n, m in zip((7, 8), mates, strict=True) for x in ends(n, m)]
+    assert sv.normalise(spark.createDataFrame(lines, "line string"), caller).count() == 2
+
+
 def test_files_round_trip(spark, tmp_path):
     vcf = tmp_path / "a.vcf"
     vcf.write_text("##x\n#CHROM\tPOS\n\nchrMT\t5\t.\tA\tG,*\t.\tPASS\tAC=3,1;AN=4;AF=0.5,0.1\n1\t7\t.\tN\tA\t9\tPASS\tAC=1\n")
