@@ -154,6 +154,13 @@ def rpt_13_files(t):
     return rp.join_genotype_files(parts, ["chrom", "pos"])
 
 
+@query("rpt_13_files_all", "SELECT chrom, pos, " + ", ".join(f"coalesce(max(CASE WHEN sample = '{s}' THEN zyg END), 'NA') AS {s}" for s in SAMPLES)
+       + " FROM fx_geno WHERE zyg <> 'No data' GROUP BY chrom, pos")
+def rpt_13_files_all(t):
+    parts = {s: t.fx_geno.where(f"sample = '{s}' AND zyg <> 'No data'").selectExpr("chrom", "pos", "zyg AS genotype") for s in SAMPLES}
+    return rp.join_genotype_files(parts, ["chrom", "pos"])
+
+
 CELLS = [f"s{i}" for i in range(2, 25)]
 KNOWN = "SELECT chrom, start AS pos, CASE WHEN start % 9 = 0 THEN 'rs1' END AS rs, CASE WHEN start % 4 = 0 THEN 0.01 ELSE 0.0005 END AS gnomad FROM {fx_gene}"
 

@@ -92,6 +92,29 @@ def snk_1(t):
     return rd.lines(t.spark, path).withColumn("line", F.regexp_replace("line", r";MEANAF=[^\t]*", ""))
 
 
+# All layouts, whole lines. Printed fractions round half up.
+@query("snk_1_all", """
+WITH p AS (
+ SELECT *, 1 AS k, split_part(alts, ',', 1) AS alt, v1 AS a, r1 + v1 + w1 AS na, v2 AS b, r2 + v2 + w2 AS nb, v1 > 0 AS u1, v2 > 0 AS u2 FROM fx_vcfm WHERE layout = 'indel'
+ UNION ALL SELECT *, 1, split_part(alts, ',', 1), v1, r1 + v1, v2, r2 + v2, v1 > 0, v2 > 0 FROM fx_vcfm WHERE layout = 'base'
+ UNION ALL SELECT *, 1, split_part(alts, ',', 1), v1, r1 + v1 + w1, v2, r2 + v2 + w2, v1 > 1, v2 > 1 FROM fx_vcfm WHERE layout IN ('depth', 'info')
+ UNION ALL SELECT *, 2, split_part(alts, ',', 2), w1, r1 + v1 + w1, w2, r2 + v2 + w2, w1 > 1, w2 > 1 FROM fx_vcfm WHERE layout IN ('depth', 'info') AND alts NOT LIKE '%*'),
+ q AS (SELECT *, CAST(a AS DOUBLE) / na AS x1, CAST(b AS DOUBLE) / nb AS x2, CASE WHEN layout = 'indel' THEN pos + 1 ELSE pos END AS loc FROM p),
+ m AS (SELECT *, CASE WHEN layout = 'info' THEN 0.25 / k WHEN u1 AND u2 THEN (x1 + x2) / 2 WHEN u1 THEN x1 WHEN u2 THEN x2 ELSE 0 END AS af,
+  CASE layout WHEN 'info' THEN 'N/A' WHEN 'depth' THEN a || '/' || na || ',' || b || '/' || nb
+   ELSE concat_ws(',', CASE WHEN na > 0 THEN a || '/' || na END, CASE WHEN nb > 0 THEN b || '/' || nb END) END AS txt FROM q),
+ f AS (SELECT *, format('{:.3f}', round(CAST(af AS DOUBLE), 3)) AS af3 FROM m)
+SELECT concat_ws(chr(9), chrom, CAST(loc AS VARCHAR), CAST(loc AS VARCHAR),
+ CASE WHEN layout = 'indel' THEN 'DEL;' WHEN k = 2 THEN 'INS;' ELSE 'SNV;' END || chrom || ':' || loc || '-' || loc || ':' || CASE WHEN layout = 'indel' THEN '-C' WHEN k = 2 THEN '+G' ELSE ref || '->' || alt END
+ || ';Q=' || qual || ';AC=' || CASE WHEN layout = 'info' THEN CASE k WHEN 1 THEN 3 ELSE 1 END WHEN k = 1 THEN 1 + pos % 3 ELSE 2 END || ';ZC=' || k || ';ALLELE=' || CASE WHEN layout = 'info' THEN 4 ELSE 3 + pos % 3 END || '/6'
+ || ';MEANAF=' || af3 || ';MEDAF=' || af3 || ';VAR_READ_COUNTS=' || txt || CASE WHEN k = 2 THEN ';REF=' || substr(alt, 1, 1) ELSE '' END,
+ CASE WHEN layout = 'info' THEN '' ELSE concat_ws(chr(9), g1, g2, g3) END) AS line FROM f""")
+def snk_1_all(t):
+    path = shared_folder(t.spark)
+    sk.write_normalised(ag.allele_counts(ag.sample_allele_fractions(rd.parse_vcf(t.fx_vcfm.select("line")))), path)
+    return rd.lines(t.spark, path)
+
+
 @query("snk_2", """SELECT chrom, start, "end", gene FROM fx_gene""")
 def snk_2(t):
     path = shared_folder(t.spark)
@@ -166,3 +189,12 @@ def src_11(t):
         t.fx_gene.where(F.col("chrom") == chrom).select(
             F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "gene")).write.text(path)
     return rd.concat_by_chrom(t.spark, paths, rd.read_intervals)
+
+
+@query("src_11_all", "SELECT chrom, start, \"end\", gene AS name FROM fx_gene")
+def src_11_all(t):
+    base = shared_folder(t.spark)
+    rows = t.fx_gene.select(F.col("chrom").alias("c"), F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "gene"))
+    rows.write.partitionBy("c").text(base)
+    paths = {r.chrom: f"{base}/c={r.chrom}" for r in t.fx_gene.select("chrom").distinct().collect()}
+    return rd.concat_by_chrom(t.spark, paths, rd.read_intervals)

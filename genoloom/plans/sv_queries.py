@@ -181,6 +181,24 @@ def sv_13(t):
     return sv.gene_summary(hits, t.fx_gene_info, ["descr", "family"])
 
 
+# Translocations by both breakpoints.
+@query("sv_13_all", """
+WITH sp AS (SELECT sv_id, chr1 AS c, coord1 AS s, coord2 AS e FROM fx_sv WHERE sv_type <> 'tra' UNION ALL SELECT sv_id, chr1, coord1, coord1 FROM fx_sv WHERE sv_type = 'tra'
+  UNION ALL SELECT sv_id, chr2, coord2, coord2 FROM fx_sv WHERE sv_type = 'tra'),
+ h AS (SELECT DISTINCT sp.sv_id, g.gene FROM sp JOIN fx_gene g ON g.chrom = c AND g.start <= e AND g."end" >= s)
+SELECT v.sv_id, coalesce(h.gene, 'NO_GENE') AS gene, i.descr, i.family FROM fx_sv v LEFT JOIN h ON v.sv_id = h.sv_id LEFT JOIN fx_gene_info i ON h.gene = i.gene""")
+def sv_13_all(t):
+    from genoloom.operators.intervals import overlap_pairs
+
+    tra = t.fx_sv.where("sv_type = 'tra'")
+    spans = t.fx_sv.where("sv_type <> 'tra'").selectExpr("sv_id", "chr1 AS chrom", "coord1 AS start", "coord2 AS `end`")
+    for chrom, at in (("chr1", "coord1"), ("chr2", "coord2")):
+        spans = spans.unionByName(tra.selectExpr("sv_id", f"{chrom} AS chrom", f"{at} AS start", f"{at} AS `end`"))
+    hits = t.fx_sv.select("sv_id").join(
+        overlap_pairs(spans, t.fx_gene.select("chrom", "start", "end", "gene"), bin_width=10_000).select("sv_id", "gene"), "sv_id", "left")
+    return sv.gene_summary(hits, t.fx_gene_info, ["descr", "family"])
+
+
 CROSS = """
 WITH f AS (SELECT v.*, s.family, s.relation, s.affected, least(chr1, chr2) AS lo, greatest(chr1, chr2) AS hi, CASE WHEN chr1 < chr2 THEN coord1 ELSE coord2 END AS x, CASE WHEN chr1 < chr2 THEN coord2 ELSE coord1 END AS y
   FROM fx_famsv v JOIN fx_sample s ON v.sample = s.sample),
