@@ -11,6 +11,7 @@ from genoloom.functions.stats import count_if, ratio, sorted_text
 from genoloom.functions.text import chrom_rank, sentinel
 from genoloom.operators.aggregates import median_by
 from genoloom.operators.chunks import with_totals
+from genoloom.operators.ordering import with_rank
 
 PASS = "OVERALL_PASS"
 
@@ -113,15 +114,22 @@ def run_summary(df: DataFrame) -> DataFrame:
 
 
 def order_report(df: DataFrame) -> DataFrame:
-    """RPT-6: type, splice rows last, depth descending, chromosome, coordinate."""
-    return df.orderBy("var_type", F.col("exon_type").contains("SPLICE").cast("int"), F.desc("depth"), "chrom", "start")
+    """RPT-6: type, splice rows last, depth descending, chromosome, coordinate; adds ``rank``.
+
+    Rows that tie are ordered by their other columns from the left.
+    """
+    return with_rank(df, [F.col("var_type"), F.col("exon_type").contains("SPLICE").cast("int"), F.desc("depth"),
+                          F.col("chrom"), F.col("start")]).orderBy("rank")
 
 
 def order_cohort(df: DataFrame) -> DataFrame:
-    """RPT-7: passing rows first, affected carriers descending, unaffected ascending, frequency, position."""
-    return df.orderBy(
-        (F.col("final_status") != PASS).cast("int"), F.desc("affected_carriers"), "unaffected_carriers",
-        F.coalesce(F.col("var_freq"), F.lit(0.0)), chrom_rank(F.col("chrom")), "start")
+    """RPT-7: passing rows first, affected carriers descending, unaffected ascending, frequency, position; adds ``rank``.
+
+    Rows that tie are ordered by their other columns from the left.
+    """
+    return with_rank(df, [
+        (F.col("final_status") != PASS).cast("int"), F.desc("affected_carriers"), F.col("unaffected_carriers"),
+        F.coalesce(F.col("var_freq"), F.lit(0.0)), chrom_rank(F.col("chrom")), F.col("start")]).orderBy("rank")
 
 
 def tiers(df: DataFrame) -> DataFrame:
@@ -236,8 +244,15 @@ def cell_matrix(geno: DataFrame, pools: Sequence[str], known: DataFrame, keys: S
 
 
 def sort_by_column(df: DataFrame, column: str) -> DataFrame:
-    """RPT-15: any report column, numeric descending; text counts as 0."""
-    return df.orderBy(F.desc(F.coalesce(F.col(column).try_cast("double"), F.lit(0.0))))
+    """RPT-15: any report column, numeric descending; adds ``rank``.
+
+    Text and missing values count as 0 and follow the numbers that are 0. Rows that tie are ordered
+    by chromosome and position where the report has them, then by their columns from the left, so a
+    column of text alone still fills every range of the sort.
+    """
+    number = F.col(column).try_cast("double")
+    locus = ([chrom_rank(F.col("chrom"))] if "chrom" in df.columns else []) + ([F.col("start")] if "start" in df.columns else [])
+    return with_rank(df, [F.desc(F.coalesce(number, F.lit(0.0))), number.isNull().cast("int"), *locus]).orderBy("rank")
 
 
 def filter_ledger(results: DataFrame) -> DataFrame:

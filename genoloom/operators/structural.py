@@ -15,6 +15,7 @@ from genoloom.functions.stats import count_if, sorted_text
 from genoloom.functions.text import matched
 from genoloom.operators.chunks import once, with_totals
 from genoloom.operators.intervals import locus_pairs
+from genoloom.operators.ordering import with_rank
 
 SV_COLUMNS = ("sv_id", "chr1", "coord1", "chr2", "coord2", "sv_type", "length", "caller", "qual", "pe", "sr")
 
@@ -410,9 +411,9 @@ def cross_sample_match(sv: DataFrame, members: DataFrame, distance: int, tra_dis
 
 
 def rank_family_events(df: DataFrame) -> DataFrame:
-    """SV-15: affected carriers descending, unaffected ascending, priority, type, event."""
+    """SV-15: affected carriers descending, unaffected ascending, priority, type, event; adds ``rank``."""
     order = F.when(F.col("priority") == "HIGH", 1).when(F.col("priority") == "MEDIUM", 2).otherwise(3)
-    return df.orderBy(F.desc("affected_carriers"), "unaffected_carriers", order, "sv_type", "sv_id")
+    return with_rank(df, [F.desc("affected_carriers"), F.col("unaffected_carriers"), order, F.col("sv_type"), F.col("sv_id")]).orderBy("rank")
 
 
 def enough_support(df: DataFrame, minimum: int = 4) -> DataFrame:

@@ -77,15 +77,23 @@ def rpt_5(t):
     return rp.run_summary(settle(rows))
 
 
-@query("rpt_6", "SELECT id, var_type, exon_type, depth, chrom, start FROM fx_report")
+@query("rpt_6", """
+SELECT id, var_type, exon_type, depth, chrom, start, row_number() OVER (ORDER BY var_type, CASE WHEN exon_type LIKE '%SPLICE%' THEN 1 ELSE 0 END, depth DESC, chrom, start, id) AS rank
+FROM fx_report""")
 def rpt_6(t):
-    return rp.order_report(t.fx_report).select("id", "var_type", "exon_type", "depth", "chrom", "start")
+    return rp.order_report(t.fx_report.select("id", "var_type", "exon_type", "depth", "chrom", "start"))
 
 
-@query("rpt_7", "SELECT id, given_status AS final_status, affected_carriers, unaffected_carriers, var_freq, chrom, start FROM fx_report")
+LOCUS_RANK = "CASE chrom WHEN 'X' THEN 23 WHEN 'Y' THEN 24 ELSE coalesce(try_cast(chrom AS INT), 99) END"
+
+
+@query("rpt_7", f"""
+SELECT id, given_status AS final_status, affected_carriers, unaffected_carriers, var_freq, chrom, start,
+ row_number() OVER (ORDER BY CASE WHEN given_status <> 'OVERALL_PASS' THEN 1 ELSE 0 END, affected_carriers DESC, unaffected_carriers, coalesce(var_freq, 0), {LOCUS_RANK}, start, id) AS rank
+FROM fx_report""")
 def rpt_7(t):
-    return rp.order_cohort(t.fx_report.withColumnRenamed("given_status", "final_status")).select(
-        "id", "final_status", "affected_carriers", "unaffected_carriers", "var_freq", "chrom", "start")
+    return rp.order_cohort(t.fx_report.withColumnRenamed("given_status", "final_status").select(
+        "id", "final_status", "affected_carriers", "unaffected_carriers", "var_freq", "chrom", "start"))
 
 
 @query("rpt_8", f"""
@@ -173,9 +181,11 @@ def rpt_14(t):
     return rp.cell_matrix(t.fx_geno, ["s0", "s1"], t.sql(KNOWN), ["chrom", "pos"], CELLS, max_no_call=3)
 
 
-@query("rpt_15", "SELECT id, freq_text FROM fx_report")
+@query("rpt_15", f"""
+SELECT id, freq_text, chrom, start, row_number() OVER (ORDER BY coalesce(try_cast(freq_text AS DOUBLE), 0) DESC, CASE WHEN try_cast(freq_text AS DOUBLE) IS NULL THEN 1 ELSE 0 END, {LOCUS_RANK}, start, id) AS rank
+FROM fx_report""")
 def rpt_15(t):
-    return rp.sort_by_column(t.fx_report, "freq_text").select("id", "freq_text")
+    return rp.sort_by_column(t.fx_report.select("id", "freq_text", "chrom", "start"), "freq_text")
 
 
 @query("rpt_16", "SELECT filter_name, count(CASE WHEN filtermatch = 1 THEN 1 END) AS match, count(CASE WHEN filtermatch = 0 THEN 1 END) AS nomatch FROM fx_filter GROUP BY filter_name")

@@ -215,7 +215,9 @@ def sv_14(t):
     return sv.cross_sample_match(t.fx_famsv, t.fx_sample, 250)
 
 
-@query("sv_15", f"SELECT *, CASE WHEN sv_id LIKE '%1' THEN 'HIGH' WHEN sv_id LIKE '%2' THEN 'MEDIUM' ELSE 'LOW' END AS priority FROM ({CROSS}) c")
+@query("sv_15", f"""
+SELECT *, row_number() OVER (ORDER BY affected_carriers DESC, unaffected_carriers, CASE priority WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END, sv_type, sv_id, family) AS rank
+FROM (SELECT *, CASE WHEN sv_id LIKE '%1' THEN 'HIGH' WHEN sv_id LIKE '%2' THEN 'MEDIUM' ELSE 'LOW' END AS priority FROM ({CROSS}) c) p""")
 def sv_15(t):
     ranked = sv.cross_sample_match(t.fx_famsv, t.fx_sample, 250).withColumn(
         "priority", F.expr("CASE WHEN sv_id LIKE '%1' THEN 'HIGH' WHEN sv_id LIKE '%2' THEN 'MEDIUM' ELSE 'LOW' END"))

@@ -31,10 +31,15 @@ def build_session(master: str | None = None, app: str = "genoloom", **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder that every executor can read and write, below ``spark.checkpoint.dir``.
 
-    Where that is unset, as in a plain local session, the warehouse folder is used, which a cluster
-    shares as well. The session's settings are not changed.
+    On a cluster a missing setting is an error, because no other folder is known to be shared. In a
+    local session the executors are threads of the driver, so the warehouse folder serves as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_settled"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse').rstrip('/')}/_settled"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
