@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoloom.llm import exact_dedup, jaccard_join, licenses, line_dedup, mixing, packing, pii, quality, token_store, toxicity
+from genoloom.llm import bpe, exact_dedup, jaccard_join, licenses, line_dedup, manifest, mixing, packing, pii, quality, runs, token_store, toxicity
 from genoloom.llm.common import ship
 from genoloom.session import shared_folder
 
@@ -64,6 +65,28 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.find_runs(runs.plant_repeats(docs))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.*",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(runs.runs_line(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = manifest.build(_table(spark, sf_dir, "documents"), claimed={"n_chars": manifest.tampered_chars()})
+    return built.proofs.select("doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"), path)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded("ids", path), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
@@ -75,11 +98,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_licenses": op9_licenses,
     "op10_token_store": op10_token_store,
+    "op11_runs": op11_runs,
+    "op12_manifest": op12_manifest,
+    "op13_bpe": op13_bpe,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
 
+# A leaf of the manifest, and the CRC-32 of a decimal doc_id, bit by bit.
+_FIELDS = "sha256(" + " || ".join(
+    f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')" for f in ("doc_id", "source", "lang", "{n_chars}", "text")) + ")"
+_CRC = """xor(4294967295, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda a, c: list_reduce(range(8),
+    lambda v, i: CASE WHEN (v & 1) = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(a, c)), 4294967295::BIGINT))"""
+
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_LOWERED}) AS text_sha256, {_LOWERED} AS t FROM documents)
@@ -125,6 +157,26 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
                CAST(size * (times + CASE WHEN remains > 0 AND words <= room THEN 1 WHEN room > 0 AND used + size / 2.0 <= room THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM q""",
+    "op12_manifest": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, lang, {_FIELDS.format(n_chars="n_chars")} AS leaf,
+                {_FIELDS.format(n_chars=f"(CASE WHEN {_CRC} % 7 = 0 THEN n_chars + 1 ELSE n_chars END)")} AS claim FROM documents),
+        l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM d),
+        t(lang, level, place, n, h) AS (SELECT lang, 0, place, n, leaf FROM l
+            UNION ALL SELECT lang, level + 1, place // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY place)) FROM t WHERE n > 1 GROUP BY lang, level, place // 2),
+        s AS (SELECT lang, h AS subroot, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM t WHERE n = 1),
+        u(level, place, n, h) AS (SELECT 0, place, n, subroot FROM s
+            UNION ALL SELECT level + 1, place // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY place)) FROM u WHERE n > 1 GROUP BY level, place // 2),
+        r AS (SELECT h AS root, level AS height FROM u WHERE n = 1),
+        p AS (SELECT l.*, s.subroot, s.height, s.place AS top, r.root, unnest(range(s.height + r.height)) AS step FROM l JOIN s ON l.lang IS NOT DISTINCT FROM s.lang, r),
+        q AS (SELECT *, step >= height AS up, CASE WHEN step < height THEN step ELSE step - height END AS level,
+                CASE WHEN step < height THEN place >> step ELSE top >> (step - height) END AS node FROM p),
+        x AS (SELECT q.*, coalesce(t.h, u.h) AS h FROM q LEFT JOIN t ON NOT up AND t.lang IS NOT DISTINCT FROM q.lang AND t.level = q.level AND t.place = xor(node, 1)
+                LEFT JOIN u ON up AND u.level = q.level AND u.place = xor(node, 1)),
+        y AS (SELECT lang, place, string_agg(h, '' ORDER BY step) AS proof,
+                list(CASE WHEN h IS NULL THEN '-' WHEN node % 2 = 0 THEN 'R' || h ELSE 'L' || h END ORDER BY step) AS path FROM x GROUP BY lang, place),
+        z AS (SELECT l.*, s.subroot, r.root, coalesce(proof, '') AS proof, list_reduce(coalesce(path, []), lambda a, b: sha256(CASE left(b, 1) WHEN '-' THEN a WHEN 'R' THEN a || b[2:] ELSE b[2:] || a END), claim) AS folded_root
+              FROM l JOIN s ON l.lang IS NOT DISTINCT FROM s.lang CROSS JOIN r LEFT JOIN y ON l.lang IS NOT DISTINCT FROM y.lang AND l.place = y.place)
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified FROM z""",
 }
 
 

@@ -19,7 +19,7 @@ def test_query_matches_sql(spark, key):
 
 
 def test_every_operator_has_a_query():
-    assert [k.split("_")[0] for k in queries.queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in queries.queries()] == [f"op{n}" for n in range(1, 14)]
 
 
 def test_pipeline_stages(spark):
