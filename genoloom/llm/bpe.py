@@ -30,14 +30,14 @@ from pyspark.sql import functions as F
 
 from genoloom.llm.tokens import held, slices, values
 
-REMEMBERED = 300_000  # chunks, and as many words, a worker remembers; bounds its memory, not the result
-ASCII_SPACE = r"\t-\r "
+REMEMBERED = 400_000  # chunks, and as many words, a worker remembers; bounds its memory, not the result
 # White space of Unicode (fixed values), as the byte-level splitter sees it.
-SPACE = ASCII_SPACE + "\x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0  -     　"
 # White space with what follows it up to the next white space: words never reach over such a chunk.
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-# The byte-level splitter's rule for ASCII text (fixed value); other text is cut by the library's own splitter.
-ASCII_WORD = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^{ASCII_SPACE}A-Za-z0-9]+|[{ASCII_SPACE}]+(?![^{ASCII_SPACE}])|[{ASCII_SPACE}]+")
+# Code points below this one (Latin, Greek, Cyrillic) are split here, by classes learnt from the
+# library's own splitter; texts with others are given to that splitter.
+NEAR = "\u0530"
 NEVER = (1 << 63) - 1
 MADE = (1 << 32) - 1  # a merge is kept as its rank, shifted, and the token it makes
 
@@ -49,13 +49,10 @@ def _byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class SpeculativeBPE:
-    """One vocabulary file, its automaton and what a worker remembers of it."""
-
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        import ahocorasick
-        from tokenizers import Tokenizer
+class Vocabulary:
+    """The tokens of a byte-level BPE vocabulary file."""
 
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, splitter = spec["model"], spec["pre_tokenizer"] or {}
@@ -64,11 +61,9 @@ class SpeculativeBPE:
                model.get("end_of_word_suffix"), model.get("ignore_merges"), spec["post_processor"])
         if not plain or any(odd) or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError(f"{path} is not a plain byte-level BPE vocabulary")
-        self._splitter = Tokenizer.from_file(path).pre_tokenizer
         self._letters = _byte_of_letter()
+        self._merges = model["merges"]
         self._added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        names = sorted(self._added, key=len, reverse=True)
-        self._cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         vocab = {self._bytes(t): i for t, i in model["vocab"].items()}
         size = max([*vocab.values(), *self._added.values()]) + 1
         self.bytes_of = [b""] * size
@@ -76,9 +71,32 @@ class SpeculativeBPE:
             self.bytes_of[i] = token
         for content, i in self._added.items():
             self.bytes_of[i] = content.encode()
+        self._vocab = vocab
+
+    def _bytes(self, letters: str) -> bytes:
+        return bytes(map(self._letters.__getitem__, letters))
+
+    def decode(self, ids: Iterable[int]) -> str:
+        """The text of ids, added tokens included; bytes that are no UTF-8 become U+FFFD."""
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+
+
+class SpeculativeBPE(Vocabulary):
+    """A vocabulary with its automaton, its table of pairs and what a worker remembers of words."""
+
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        import ahocorasick
+        from tokenizers import Tokenizer
+
+        super().__init__(path)
+        self._splitter = Tokenizer.from_file(path).pre_tokenizer
+        self._near = self._near_words()
+        names = sorted(self._added, key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        vocab, size = self._vocab, len(self.bytes_of)
         self._single = [vocab[bytes([b])] for b in range(256)]
         self.width = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self._load_merges(model["merges"], vocab, size)
+        self._load_merges(self._merges, vocab, size)
         self._automaton = ahocorasick.Automaton()
         for token, i in vocab.items():
             if self._own[i]:
@@ -90,8 +108,14 @@ class SpeculativeBPE:
         self._remembered = remembered
         self.merged = self.proposed = 0  # words that needed merging, and all new words
 
-    def _bytes(self, letters: str) -> bytes:
-        return bytes(map(self._letters.__getitem__, letters))
+    def _near_words(self) -> re.Pattern:
+        """The byte-level splitter's rule for code points below ``NEAR``.
+
+        A letter or digit is what the library keeps in one piece with another one.
+        """
+        near, cut = list(map(chr, range(ord(NEAR)))), self._splitter.pre_tokenize_str
+        letter, digit = ("".join(re.escape(c) for c in near if len(cut(probe + c)) == 1) for probe in "a1")
+        return re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{letter}]+| ?[{digit}]+| ?[^{SPACE}{letter}{digit}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
     def _load_merges(self, merges: list, vocab: dict[bytes, int], size: int) -> None:
         """Ranks and parts of tokens, the table of pairs, and which tokens are their own encoding."""
@@ -211,8 +235,8 @@ class SpeculativeBPE:
         return out
 
     def _split(self, chunk: str) -> list[bytes]:
-        if chunk.isascii():
-            return [w.encode() for w in ASCII_WORD.findall(chunk)]
+        if chunk.isascii() or max(chunk) < NEAR:
+            return [w.encode() for w in self._near.findall(chunk)]
         return [self._bytes(w) for w, _ in self._splitter.pre_tokenize_str(chunk)]
 
     def _learn(self, chunks: set[str]) -> None:
@@ -242,14 +266,7 @@ class SpeculativeBPE:
                     b"".join(map(known, piece)) if k % 2 == 0 else np.array([self._added[piece]], self.width).tobytes()
                     for k, piece in enumerate(cut)]), self.width)
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """The text of ids, added tokens included; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
-
 
-def vocabulary(path: str) -> SpeculativeBPE:
-    """The worker's vocabulary."""
-    return held(SpeculativeBPE, path)
 
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -261,7 +278,7 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     their names and types don't matter. Each row is worked on alone, whatever its length.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
+        bpe = held(SpeculativeBPE, path)
         for batch in batches:
             found = list(bpe.encode(values(batch.column(1))))
             ends = np.cumsum([0, *map(len, found)])
@@ -276,7 +293,7 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
 def decoded(ids: Column | str, path: str) -> Column:
     """The text of an array of ids, special tokens included; null for null."""
     def run(column: pd.Series) -> pd.Series:
-        decode = vocabulary(path).decode
+        decode = held(Vocabulary, path).decode
         return pd.Series([None if i is None else decode(i.tolist()) for i in column], dtype=object)
 
     return F.pandas_udf(run, "string")(ids)
