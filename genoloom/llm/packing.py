@@ -2,15 +2,14 @@
 
 Documents become pieces of at most ``capacity`` tokens. Pieces are dealt at random over shards of
 about ``SHARD_BINS`` sequences; each shard is packed alone, so nothing passes through one task. A
-shard starts from best fit by falling length. The local search then takes the emptiest sequences
-and moves pieces out of them, or exchanges one piece for one or two for one with a fuller sequence;
-each step raises the sum of squared fills, until sequences are empty and go.
+shard starts from next fit in the order pieces come. The local search then takes the emptiest
+sequences and moves pieces out of them, or exchanges one piece for one or two for one with a fuller
+sequence; each step raises the sum of squared fills, until sequences are empty and go.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +27,7 @@ CAPACITY = 4096
 SHARD_BINS = 2048
 SHARD_PIECES = 50_000
 
+REPORT = ("bins_before", "bins_after", "moves", "swaps", "double_swaps")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -92,75 +92,159 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, passes: int = 8) -> list[list[int]]:
-    """Empty underfull bins by moves and exchanges that raise the sum of squared fills.
+def next_fit(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Bins of positions as pieces come: a piece that does not fit in the last bin opens a new one."""
+    bins: list[list[int]] = []
+    room = 0
+    for p, n in enumerate(lengths):
+        if n > room or not bins:
+            bins.append([])
+            room = capacity
+        bins[-1].append(p)
+        room -= n
+    return bins
 
-    A pass takes every underfull bin as giver, the emptiest first, and looks for the step that fills
-    a fuller underfull bin most: move one piece, exchange one for one, or two for one. It ends when
-    the bins are as few as the total allows or no step is left; ``passes`` bounds the search, not
-    the result, which is a whole packing after every step.
+
+class LocalSearch:
+    """Bins that are emptied one after another by steps that raise the sum of squared fills.
+
+    A giver offers its pieces to the other underfull bins. A *move* goes to the bin with the least
+    room the piece fits in, found in a bit set of rooms. Where nothing fits, *one for one* and *two
+    for one* exchanges are looked for: a piece of another bin stands for a slot of its length and the
+    bin's room, and the offer that gains most over all slots is taken. All slots are compared at once
+    in numpy. A bin of capacity c has fewer than sqrt(2c) different lengths, which bounds the pairs.
     """
-    total = sum(lengths)
-    goal = -(-total // capacity)
-    fill = {b: sum(lengths[p] for p in ps) for b, ps in enumerate(bins)}
-    held = {b: sorted(ps, key=lambda p: lengths[p]) for b, ps in enumerate(bins)}
-    for _ in range(passes):
-        changed = False
-        for giver in sorted((b for b in held if fill[b] < capacity), key=lambda b: (fill[b], b)):
-            if len(held) <= goal:
-                break
-            while held.get(giver) and (step := _best_step(giver, held, fill, lengths, capacity)):
-                taker, out, back = step
-                for p in out:
-                    held[giver].remove(p)
-                for p in back:
-                    held[taker].remove(p)
-                held[giver] = sorted(held[giver] + back, key=lambda p: lengths[p])
-                held[taker] = sorted(held[taker] + out, key=lambda p: lengths[p])
-                gain = sum(lengths[p] for p in out) - sum(lengths[p] for p in back)
-                fill[giver] -= gain
-                fill[taker] += gain
-                changed = True
-            if not held[giver]:
-                del held[giver], fill[giver]
-        if not changed or len(held) <= goal:
-            break
-    return list(held.values())
-
-
-def _best_step(giver: int, held: dict, fill: dict, lengths: list[int], capacity: int):
-    """(taker, pieces out, pieces back) with the largest gain in squared fill, or None."""
-    own = held[giver]
-    outs = {lengths[p]: [p] for p in own}
-    for a in range(len(own)):
-        for b in range(a + 1, len(own)):
-            outs.setdefault(lengths[own[a]] + lengths[own[b]], [own[a], own[b]])
-    best, found = 0, None
-    for taker, theirs in held.items():
-        room = capacity - fill[taker]
-        if taker == giver or not room or fill[taker] < fill[giver]:
-            continue
-        sizes = [lengths[p] for p in theirs]
-        for size, out in outs.items():
-            if len(out) == 1 and size <= room:
-                moved, back = size, []
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.capacity = capacity
+        self.size = np.asarray(lengths, np.int64)
+        self.members = [set(b) for b in bins]
+        self.owner = np.zeros(len(lengths), np.int64)
+        for b, held in enumerate(bins):
+            self.owner[held] = b
+        self.fill = np.bincount(self.owner, self.size, len(bins)).astype(np.int64)
+        self.by_room: list[set[int]] = [set() for _ in range(capacity + 1)]
+        self.rooms = 0  # bit r is set while some underfull bin has room r
+        for b in range(len(bins)):
+            self._open(b)
+        self.moves = self.swaps = self.double_swaps = 0
+        self.live = sum(map(bool, self.members))
+
+    @property
+    def steps(self) -> int:
+        return self.moves + self.swaps + self.double_swaps
+
+    def _open(self, b: int) -> None:
+        room = self.capacity - int(self.fill[b])
+        if room and self.members[b]:
+            self.by_room[room].add(b)
+            self.rooms |= 1 << room
+
+    def _close(self, b: int) -> None:
+        room = self.capacity - int(self.fill[b])
+        self.by_room[room].discard(b)
+        if not self.by_room[room]:
+            self.rooms &= ~(1 << room)
+
+    def _carry(self, pieces: list[int], source: int, target: int) -> None:
+        self.members[source].difference_update(pieces)
+        self.members[target].update(pieces)
+        self.owner[pieces] = target
+        size = int(self.size[pieces].sum())
+        self.fill[source] -= size
+        self.fill[target] += size
+
+    def _step(self, giver: int, taker: int, out: list[int], back: list[int]) -> None:
+        self._close(taker)
+        self._carry(out, giver, taker)
+        self._carry(back, taker, giver)
+        self._open(taker)
+
+    def _move(self, giver: int) -> bool:
+        """Move every piece of the giver that fits elsewhere with a gain, the longest first."""
+        before = self.moves
+        for p in sorted(self.members[giver], key=lambda p: (-self.size[p], p)):
+            n = int(self.size[p])
+            if fit := self.rooms >> n:
+                taker = min(self.by_room[n + (fit & -fit).bit_length() - 1])
+                if self.fill[taker] + n > self.fill[giver]:
+                    self._step(giver, taker, [p], [])
+                    self.moves += 1
+        return self.moves > before
+
+    def _exchange(self, giver: int) -> bool:
+        """The exchange that gains most: one piece of the giver, else two, for one of an underfull bin."""
+        room = self.capacity - self.fill
+        room[giver] = 0
+        theirs = np.flatnonzero(room[self.owner] > 0)
+        taker, size = self.owner[theirs], self.size[theirs]
+        slot = room[taker] + size
+        own = np.array(sorted(self.members[giver], key=lambda p: (self.size[p], p)), np.int64)
+        for count in (1, 2):
+            if len(theirs) == 0 or len(own) < count:
+                return False
+            if count == 1:
+                parts = own[:, None]
             else:
-                at = bisect_left(sizes, size - room)  # the shortest piece that makes enough room
-                if at == len(sizes) or sizes[at] >= size:
-                    continue
-                moved, back = size - sizes[at], [theirs[at]]
-            gain = (fill[taker] + moved) ** 2 + (fill[giver] - moved) ** 2 - fill[taker] ** 2 - fill[giver] ** 2
-            if gain > best:
-                best, found = gain, (taker, out, back)
-    return found
+                n = self.size[own]
+                own = own[np.r_[True, True, n[2:] != n[:-2]]]  # two pieces of a length serve for all of them
+                parts = own[np.stack(np.triu_indices(len(own), 1), axis=1)]
+            offer, first = np.unique(self.size[parts].sum(axis=1), return_index=True)
+            at = np.searchsorted(offer, slot, side="right") - 1  # the most that a slot takes
+            more = offer[at] - size
+            gain = np.where((at >= 0) & (more > 0), more * (self.fill[taker] - self.fill[giver] + more), 0)
+            k = int(gain.argmax())
+            if gain[k] > 0:
+                self._step(giver, int(taker[k]), parts[first[at[k]]].tolist(), [int(theirs[k])])
+                self.swaps += count == 1
+                self.double_swaps += count == 2
+                return True
+        return False
+
+    def _empty(self, giver: int) -> None:
+        self._close(giver)
+        going = True
+        while going and self.members[giver]:
+            going = self._move(giver)
+            going = bool(self.members[giver]) and self._exchange(giver) or going
+        self._open(giver)
+        self.live -= not self.members[giver]
+
+    def run(self, passes: int = 8) -> LocalSearch:
+        """Take every underfull bin as giver, the emptiest first, until the bins are as few as the total
+        allows or no step is left. ``passes`` bounds the search; the packing is whole after every step."""
+        goal = -(-int(self.size.sum()) // self.capacity)
+        for _ in range(passes):
+            before = self.steps
+            underfull = [b for b, held in enumerate(self.members) if held and self.fill[b] < self.capacity]
+            for giver in sorted(underfull, key=lambda b: (self.fill[b], b)):
+                if self.live <= goal:
+                    return self
+                if self.members[giver]:
+                    self._empty(giver)
+            if self.steps == before:
+                break
+        return self
+
+    @property
+    def bins(self) -> list[list[int]]:
+        return [sorted(held) for held in self.members if held]
+
+
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int, passes: int = 8) -> list[list[int]]:
+    """The bins that the search leaves."""
+    return LocalSearch(bins, lengths, capacity).run(passes).bins
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, shard_bins: int = SHARD_BINS) -> DataFrame:
     """Add sequence_id and offset to pieces (settled, with a length column); other columns stay.
 
     Shards are dealt by a row number of the settled pieces, so no document, source or group of
-    copies lands together. Offsets of a sequence are gapless from 0.
+    copies lands together. Offsets of a sequence are gapless from 0. ``bins_before`` and ``bins_after``
+    are the sequences of the piece's shard at the search's start and end, ``moves``, ``swaps`` and
+    ``double_swaps`` its steps (columns of these names are replaced).
     """
+    cut = cut.drop(*REPORT)
     n, tokens = cut.select(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
     shards = max(1, round(tokens / (capacity * shard_bins)), -(-n // SHARD_PIECES))
     dealt = cut.withColumn("_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
@@ -168,20 +252,27 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, shard_bins: int = SHARD_BINS)
     def fill_shard(key: tuple, part: pa.Table) -> pa.Table:
         lengths = part["length"].to_pylist()
         sequence, offset = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
-        for b, members in enumerate(local_search(best_fit(lengths, capacity), lengths, capacity)):
+        start = next_fit(lengths, capacity)
+        search = LocalSearch(start, lengths, capacity).run()
+        for b, members in enumerate(search.bins):
             at = 0
             for p in members:
                 sequence[p], offset[p] = (key[0].as_py() << 32) + b, at
                 at += lengths[p]
-        return part.drop_columns("_shard").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        out = part.drop_columns("_shard").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        for name, value in zip(REPORT, (len(start), search.live, search.moves, search.swaps, search.double_swaps), strict=True):
+            out = out.append_column(name, pa.array([value] * len(part), pa.int64()))
+        return out
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
+    schema += "".join(f", {name} long" for name in REPORT)
     return dealt.groupBy("_shard").applyInArrow(fill_shard, schema)
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, end_id: int = END_ID,
                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pieces of all documents with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    """Pieces of all documents with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset
+    and the search's report.
 
     An empty table gives no rows. Pieces are settled, so texts are encoded once.
     """

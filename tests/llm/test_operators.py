@@ -214,6 +214,46 @@ def test_local_search_empties_bins():
         assert len(packing.local_search(packing.best_fit(lengths, 60), lengths, 60)) <= len(packing.best_fit(lengths, 60))
 
 
+def test_local_search_gains_at_every_step(monkeypatch):
+    step, seen = packing.LocalSearch._step, []
+
+    def checked(self, *args):
+        before = int((self.fill**2).sum())
+        step(self, *args)
+        seen.append((int((self.fill**2).sum()) - before, int(self.fill.max())))
+
+    monkeypatch.setattr(packing.LocalSearch, "_step", checked)
+    rng = random.Random(7)
+    kinds = dict.fromkeys(("moves", "swaps", "double_swaps"), 0)
+    for case in range(120):
+        top = rng.choice([20, 50, 99])
+        lengths = [rng.randint(1, top) for _ in range(rng.randint(1, 250))] + [100] * (case % 3)
+        search = packing.LocalSearch(packing.next_fit(lengths, 100), lengths, 100).run()
+        assert sorted(p for b in search.bins for p in b) == list(range(len(lengths))) and search.live == len(search.bins)
+        assert all(sum(lengths[p] for p in b) <= 100 for b in search.bins)
+        assert search.live <= len(packing.best_fit(lengths, 100)) + 1  # hard sizes: the search may end one bin later
+        for kind in kinds:
+            kinds[kind] += getattr(search, kind)
+    assert all(gain > 0 and most <= 100 for gain, most in seen) and len(seen) == sum(kinds.values())
+    assert min(kinds.values()) > 0
+
+
+def test_search_works_on_documents_and_is_no_worse_than_best_fit(spark):
+    ship(spark)
+    got = packing.pack_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    bins = _gapless(got, 4096)
+    assert bins <= len(packing.best_fit([r.length for r in got], 4096))
+    assert {r.bins_after for r in got} == {bins} and got[0].bins_before > bins
+    assert got[0].moves > 0 and got[0].swaps > 0
+
+
+def test_search_with_many_short_pieces():
+    rng = random.Random(8)
+    lengths = [rng.choice([1, 2, 3, 3, 7]) for _ in range(30_000)] + [4096] * 5 + [4000] * 5
+    search = packing.LocalSearch(packing.next_fit(lengths, 4096), lengths, 4096).run()
+    assert search.live == -(-sum(lengths) // 4096)
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(4)
     rows, labels = [], []
