@@ -2,7 +2,7 @@
 
 Documents become pieces of at most ``capacity`` tokens. Pieces are dealt at random over shards of
 about ``SHARD_BINS`` sequences; each shard is packed alone, so nothing passes through one task. A
-shard starts from next fit in the order pieces come. The local search then takes the emptiest
+shard starts from next fit in the order pieces come (see ``search_shard``). The local search then takes the emptiest
 sequences and moves pieces out of them, or exchanges one piece for one or two for one with a fuller
 sequence; each step raises the sum of squared fills, until sequences are empty and go.
 """
@@ -231,6 +231,22 @@ class LocalSearch:
         return [sorted(held) for held in self.members if held]
 
 
+def search_shard(lengths: list[int], capacity: int) -> tuple[int, LocalSearch]:
+    """The bins at the start, and the search that ends with the fewest.
+
+    The first search starts from next fit. Where it ends above what the total allows, as when most
+    pieces are longer than half a bin, a second one starts from best fit by falling length.
+    """
+    start = next_fit(lengths, capacity)
+    search = LocalSearch(start, lengths, capacity).run()
+    if search.live > -(-sum(lengths) // capacity):
+        other = best_fit(lengths, capacity)
+        second = LocalSearch(other, lengths, capacity).run()
+        if second.live < search.live:
+            return len(other), second
+    return len(start), search
+
+
 def local_search(bins: list[list[int]], lengths: list[int], capacity: int, passes: int = 8) -> list[list[int]]:
     """The bins that the search leaves."""
     return LocalSearch(bins, lengths, capacity).run(passes).bins
@@ -252,15 +268,14 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, shard_bins: int = SHARD_BINS)
     def fill_shard(key: tuple, part: pa.Table) -> pa.Table:
         lengths = part["length"].to_pylist()
         sequence, offset = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
-        start = next_fit(lengths, capacity)
-        search = LocalSearch(start, lengths, capacity).run()
+        bins_before, search = search_shard(lengths, capacity)
         for b, members in enumerate(search.bins):
             at = 0
             for p in members:
                 sequence[p], offset[p] = (key[0].as_py() << 32) + b, at
                 at += lengths[p]
         out = part.drop_columns("_shard").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
-        for name, value in zip(REPORT, (len(start), search.live, search.moves, search.swaps, search.double_swaps), strict=True):
+        for name, value in zip(REPORT, (bins_before, search.live, search.moves, search.swaps, search.double_swaps), strict=True):
             out = out.append_column(name, pa.array([value] * len(part), pa.int64()))
         return out
 
