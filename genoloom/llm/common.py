@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +17,7 @@ WHITE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-__all__ = ["LOWER", "UPPER", "WHITE", "WORD", "ascii_lower", "distinct_name", "may_hold", "settle", "ship", "whole"]
+__all__ = ["LOWER", "UPPER", "WHITE", "WORD", "ascii_lower", "distinct_name", "may_hold", "orderable", "quoted", "settle", "ship", "whole"]
 
 
 TEXT_BATCH = "1000"  # rows of a batch of texts that a Python worker gets, unless the session says otherwise
@@ -47,7 +49,17 @@ def whole(text: str | Column) -> Column:
 
 def distinct_name(df: DataFrame, stem: str) -> str:
     """A helper column name that no column of the frame has."""
-    return f"_{stem}_{uuid.uuid4().hex[:8]}" if f"_{stem}" in df.columns else f"_{stem}"
+    return f"_{stem}_{uuid.uuid4().hex[:8]}" if f"_{stem}" in map(str.lower, df.columns) else f"_{stem}"
+
+
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names as Spark takes them literally, dots and all."""
+    return ["`" + n.replace("`", "``") + "`" for n in names]
+
+
+def orderable(df: DataFrame) -> list[str]:
+    """Quoted names of the columns that have an order: none that is, or holds, a map or a variant."""
+    return quoted(n for n, kind in df.dtypes if not re.search(r"\b(map<|variant\b)", kind))
 
 
 CELLS = 1 << 27  # of a membership filter: 16 MB of bitmaps at most, whatever the number of keys
@@ -72,4 +84,4 @@ def may_hold(rows: DataFrame, keys: DataFrame, name: str, key: str = "tkey") ->
         F.bitmap_construct_agg(F.col("c").bitwiseAND(F.lit((1 << 15) - 1))).alias("_bits")))
     joined = rows.join(F.broadcast(bitmaps), F.shiftright(cell(F.col(key)), 15) == F.col("_bitmap"), "left")
     place = cell(F.col(key)).bitwiseAND(F.lit((1 << 15) - 1))
-    return joined.select(*rows.columns, is_set(F.col("_bits"), place).alias(name))
+    return joined.select(*quoted(rows.columns), is_set(F.col("_bits"), place).alias(name))

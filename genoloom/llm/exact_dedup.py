@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoloom.llm.common import ascii_lower, distinct_name, is_set, settle, whole
+from genoloom.llm.common import ascii_lower, distinct_name, is_set, orderable, quoted, settle, whole
 
 CELLS_PER_ROW = 16
 MAX_CELLS = 1 << 30
@@ -49,11 +49,13 @@ def mark_possible(rows: DataFrame, digest: Column, name: str) -> DataFrame:
     bitmaps = settle(repeated_cells(rows, digest, n_cells))
     cells = [distinct_name(rows, f"cell_{k}") for k in "ab"]
     out = rows.withColumns(dict(zip(cells, _cells(digest, n_cells), strict=True)))
+    both = F.lit(True)
     for k, cell in enumerate(cells):
-        side = bitmaps.select(F.col("bitmap").alias(f"_bitmap_{k}"), F.col("bits").alias(f"_bits_{k}"))
-        out = out.join(F.broadcast(side), F.col(f"{cell}.bitmap") == F.col(f"_bitmap_{k}"), "left")
-    both = is_set(F.col("_bits_0"), F.col(f"{cells[0]}.place")) & is_set(F.col("_bits_1"), F.col(f"{cells[1]}.place"))
-    return out.withColumn(name, both).select(*rows.columns, name)
+        bitmap, bits = distinct_name(rows, f"bitmap_{k}"), distinct_name(rows, f"bits_{k}")
+        side = bitmaps.select(F.col("bitmap").alias(bitmap), F.col("bits").alias(bits))
+        out = out.join(F.broadcast(side), F.col(f"{cell}.bitmap") == F.col(bitmap), "left")
+        both = both & is_set(F.col(bits), F.col(f"{cell}.place"))
+    return out.withColumn(name, both).select(*quoted(rows.columns), name)
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -90,12 +92,11 @@ def keep_last(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
     Rows that cannot be repeated are not shuffled. Of the others the best row per digest is a
     grouping, so copies of a hot text meet in their own map task first; ties of doc_id go to the
-    largest remaining columns.
+    largest remaining columns, as far as they have an order. Other columns may have any name and type.
     """
     key, mark = distinct_name(docs, "digest"), distinct_name(docs, "possible")
     marked = mark_possible(docs.withColumn(key, text_digest(text)), F.col(key), mark)
-    alone = marked.where(~F.col(mark)).select(docs.columns)
-    order = [doc_id, *(c for c, kind in docs.dtypes if c != doc_id and not kind.startswith("map"))]
+    alone = marked.where(~F.col(mark)).select(quoted(docs.columns))
     best = marked.where(mark).groupBy(key).agg(
-        F.max_by(F.struct(*docs.columns), F.struct(*order)).alias("_row")).select("_row.*")
+        F.max_by(F.struct(*quoted(docs.columns)), F.struct(F.col(doc_id).alias("_first"), *orderable(docs))).alias("_row")).select("_row.*")
     return alone.unionByName(best)

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoloom.llm.common import may_hold, settle, whole
+from genoloom.llm.common import may_hold, orderable, quoted, settle, whole
 from genoloom.llm.components import components
 from genoloom.llm.tokens import held, slices, values
 
@@ -451,11 +451,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     members = settle(link_documents(docs, doc_id, text).members.where("class IS NOT NULL").select("tkey", "label"))
     several = members.groupBy("label").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("label")
     keyed = settle(members.join(several, "label", "left_semi").distinct())
-    rows = docs.select(F.struct(*docs.columns).alias("row"), _row_key(doc_id, text).alias("tkey"))
+    rows = docs.select(F.struct(*quoted(docs.columns)).alias("row"), _row_key(doc_id, text).alias("tkey"))
     marked = may_hold(rows, keyed, "may")
     suspects = marked.where("may").join(keyed, "tkey", "left")
     order = [F.col(f"row.`{doc_id}`").isNull().alias("o"), F.col(f"row.`{doc_id}`").alias("i"),
-             *(F.col(f"row.`{c}`").alias(f"c{k}") for k, (c, kind) in enumerate(docs.dtypes) if not kind.startswith("map"))]
+             *(F.col(f"row.{c}").alias(f"c{k}") for k, c in enumerate(orderable(docs)))]
     best = suspects.where("label IS NOT NULL").groupBy("label").agg(F.min_by("row", F.struct(*order)).alias("row"))
     return (marked.where("NOT may").select("row").unionByName(suspects.where("label IS NULL").select("row"))
             .unionByName(best.select("row")).select("row.*"))

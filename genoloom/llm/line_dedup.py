@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoloom.llm.common import LOWER, UPPER, WHITE, settle, whole
+from genoloom.llm.common import LOWER, UPPER, WHITE, may_hold, quoted, settle, whole
 
 MIN_CHARS = 10
 LAST = (1 << 63) - 1  # a null doc_id counts as this one, the last of all
@@ -125,13 +125,17 @@ def _kept_text(text: pd.Series, bitmap: pd.Series) -> pd.Series:
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document with kept_text, n_lines and n_dropped (input columns of these names are replaced).
 
-    Only texts that lose lines leave the JVM.
+    Only documents that may have a bitmap are shuffled to meet it, and only texts that lose lines
+    leave the JVM; the others pass straight through. A filter of fixed size tells them apart.
     """
     added = ("kept_text", "n_lines", "n_dropped")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), _doc(doc_id), whole(text).alias("text"))
-    rows = rows.withColumn("version", F.xxhash64("text"))
-    joined = rows.join(bitmaps, ["doc", "version"], "left")
+    rows = docs.select(F.struct(*quoted(docs.columns)).alias("row"), _doc(doc_id), whole(text).alias("text"))
+    rows = rows.withColumn("version", F.xxhash64("text")).withColumn("tkey", F.xxhash64("doc", "version"))
+    bitmaps = settle(bitmaps.withColumn("tkey", F.xxhash64("doc", "version")))
+    marked = may_hold(rows, bitmaps, "may")
+    met = marked.where("may").join(bitmaps.drop("tkey"), ["doc", "version"], "left")
     kept = F.pandas_udf(_kept_text, "string")(F.when(F.col("bitmap").isNotNull(), F.col("text")), F.col("bitmap"))
-    return joined.select(*(F.col(f"row.`{c}`") for c in docs.columns if c not in added),
-                         F.coalesce(kept, "text").alias("kept_text"), F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
-                         F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"))
+    met = met.select("row", "text", F.coalesce(kept, "text").alias("kept_text"), F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"))
+    out = marked.where("NOT may").select("row", "text", F.col("text").alias("kept_text"), F.lit(0).cast("long").alias("n_dropped")).unionByName(met)
+    return out.select(*(F.col(f"row.{c}") for c in quoted(c for c in docs.columns if c.lower() not in added)),
+                      "kept_text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), "n_dropped")

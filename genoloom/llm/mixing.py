@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoloom.llm.common import WORD, settle, whole
+from genoloom.llm.common import WORD, quoted, settle, whole
 
 WEIGHTS = (1, 2, 3)
 MOST = 3  # a source, and so a document, is taken this many times at most
@@ -195,10 +195,10 @@ def mix(docs: DataFrame, depth: int | None = None, doc_id: str = "doc_id", text:
     """
     sized = measured(docs, doc_id, text, source)
     targets, plan = plan_mix(sized)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"))
+    rows = docs.select(F.struct(*quoted(docs.columns)).alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"))
     rows = with_draws(rows, targets, placed_plan(plan, depth))
     rows = rows.select("row", "doc_id", F.posexplode("shards").alias("_nth", "shard"))
     rows = rows.withColumn("place", F.xxhash64(F.lit(SEED), "shard", "doc_id", (F.col("_nth") + 1).cast("long")))
     if not placed:
         return rows.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select("row.*")
-    return rows.select(*(F.col(f"row.`{c}`") for c in docs.columns if c not in ("shard", "place")), "shard", "place")
+    return rows.select(*(F.col(f"row.{c}") for c in quoted(c for c in docs.columns if c.lower() not in ("shard", "place"))), "shard", "place")

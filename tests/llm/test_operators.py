@@ -68,6 +68,18 @@ def test_empty_tables(spark, empty):
         assert frame.collect() == []
 
 
+def test_rows_with_odd_columns_are_kept_whole(spark, docs):
+    odd = docs.limit(20).drop("row", "label", "kept").withColumns({
+        "_bits_0": F.lit(1), "_bitmap_1": F.lit(2), "_cell_a": F.lit(3), "row": F.lit("r"), "tkey": F.lit(4), "may": F.lit(True), "Shard": F.lit(5),
+        "maps": F.array(F.create_map(F.lit("k"), F.lit(1)))}).withColumn("a.b", F.lit("dot")).withColumn("c`d", F.lit("tick"))
+    for frame in (exact_dedup.keep_last(odd), jaccard_join.keep_one(odd), quality.keep_good(odd), mixing.mix(odd, placed=False)):
+        assert frame.columns == odd.columns
+        assert all(r["a.b"] == "dot" and r["c`d"] == "tick" and r["maps"] == [{"k": 1}] for r in frame.collect())
+    assert [c for c in mixing.mix(odd).columns if c.lower() == "shard"] == ["shard"]
+    kept = line_dedup.apply_bitmaps(odd, line_dedup.keep_bitmaps(odd))
+    assert kept.columns == [*odd.columns, "kept_text", "n_lines", "n_dropped"] and kept.count() == 20
+
+
 def test_pii_base_spans(docs):
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -447,6 +459,27 @@ def test_quality_bands_reject_the_odd(spark):
     assert all(got[k] for k in range(120)) and not got[500] and not got[501]
 
 
+def test_quality_judges_short_texts_and_small_languages(spark):
+    """The same symbol junk goes whether it is short or long, in a usual language or one of its own."""
+    ship(spark)
+    rng = random.Random(13)
+
+    def junk(n):
+        return " ".join("".join(rng.choice("#$%&*|<>{}[]^~=+@!?") for _ in range(rng.randint(2, 4))) for _ in range(n))
+
+    rows = [(k, _words(rng, rng.choice([12, 14, 20, 40, 150, 300])), "en") for k in range(400)]
+    rows += [(1000 + k, junk(n), lang) for k, (n, lang) in enumerate([(12, "en"), (200, "en"), (12, "zz"), (200, "zz"), (25, None), (40, "yy")])]
+    rows += [(2000 + k, _words(rng, 15 + k), "few") for k in range(10)]
+    got = {r.doc_id: r for r in quality.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert sum(got[k].kept for k in range(400)) >= 396 and all(got[2000 + k].kept for k in range(10))
+    assert not any(got[1000 + k].kept for k in range(6)) and not any(got[1000 + k].base_failed for k in range(6))
+
+
+def test_scripts():
+    found = [quality.script_of(t) for t in ("", "123 !?", "abc é", "Привет мир x", "日本語です", "日本語", "한국어", "αβγ", "שלום", "مرحبا", "नमस्ते")]
+    assert found == ["none", "none", "latin", "cyrillic", "han", "han", "hangul", "greek", "hebrew", "arabic", "indic"]
+
+
 def test_repeated_words_of_many_distinct():
     rng = random.Random(12)
     words = [str(rng.randrange(60_000)).encode() for _ in range(30_000)]
