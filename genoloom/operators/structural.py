@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from genoloom.functions.stats import count_if, sorted_text
 from genoloom.functions.text import matched
+from genoloom.operators import components, dense
 from genoloom.operators.chunks import once, with_totals
 from genoloom.operators.intervals import locus_pairs
 from genoloom.operators.ordering import with_rank
@@ -275,17 +276,26 @@ def translocation_pairs(sv: DataFrame, first: str, second: str, distance: int) -
         "c_lo", "c_hi", "sv_id", "other")
 
 
-def group_events(pairs: DataFrame, tra_pairs: DataFrame | None = None) -> DataFrame:
+def group_events(pairs: DataFrame, tra_pairs: DataFrame | None = None, connected: bool = False) -> DataFrame:
     """SV-7: one event per type and distinct list of matched ids, with all its members.
 
-    The event id is the type and the list itself, so numbering needs no global order.
-    Translocations share one event per chromosome pair. A call in several events keeps the
-    first id.
+    The event id is the type and the list itself (commas in ids are escaped), so numbering needs no
+    global order. Translocations share one event per chromosome pair. A call in several events keeps
+    the first id. With ``connected``, calls that are linked over any number of pairs are one event,
+    translocations too, and its id is the type and the smallest member.
     """
-    lists = pairs.groupBy("sv_type", "sv_id").agg(sorted_text(F.col("other")).alias("_list"))
-    event = F.concat_ws(":", "sv_type", "_list").alias("event_id")
-    members = lists.select(event, "sv_type", "sv_id").unionByName(
-        lists.select(event, "sv_type", F.explode(F.split("_list", ",")).alias("sv_id")))
+    if connected:
+        links = pairs.select("sv_type", "sv_id", "other")
+        if tra_pairs is not None:
+            links = links.unionByName(tra_pairs.select(F.lit("tra").alias("sv_type"), "sv_id", "other"))
+        ends = [F.struct("sv_type", F.col(c).alias("sv_id")).alias(n) for c, n in (("sv_id", "a"), ("other", "b"))]
+        return components.connected(links.select(*ends)).select(
+            "node.sv_id", "node.sv_type", F.concat_ws(":", "label.sv_type", "label.sv_id").alias("event_id"))
+    escaped = F.regexp_replace("other", r"([\\,])", r"\\$1")
+    lists = pairs.groupBy("sv_type", "sv_id").agg(sorted_text(escaped).alias("_list"))
+    lists = lists.select("sv_type", "sv_id", F.concat_ws(":", "sv_type", "_list").alias("event_id"))
+    members = lists.select("event_id", "sv_type", "sv_id").unionByName(
+        pairs.join(lists, ["sv_type", "sv_id"]).select("event_id", "sv_type", F.col("other").alias("sv_id")))
     if tra_pairs is not None:
         t_event = F.concat_ws(":", F.lit("tra"), "c_lo", "c_hi").alias("event_id")
         both = tra_pairs.select(t_event, F.explode(F.array("sv_id", "other")).alias("sv_id"))
@@ -293,6 +303,37 @@ def group_events(pairs: DataFrame, tra_pairs: DataFrame | None = None) -> DataFr
     return members.groupBy("sv_id", "sv_type").agg(F.min("event_id").alias("event_id"))
 
 
+def caller_classes(sv: DataFrame, first: str, second: str, distance: int) -> list[dense.MatchClasses]:
+    """SV-6 and SV-8 as classes of calls and links between classes: del, dup and inv, then translocations.
+
+    As many rows as calls and a bounded number of cells need, where the pairs of two callers at one
+    hot breakpoint would be the product of their calls.
+    """
+    def of(rows: DataFrame, caller: str, *columns: Column | str) -> DataFrame:
+        return rows.where(F.col("caller") == caller).select(*columns, "start", "end", F.col("sv_id").alias("id"))
+
+    plain = sv.where(F.col("sv_type").isin(*SPAN_TYPES)).select(
+        F.col("chr1").alias("chrom"), "sv_type", "caller", F.col("coord1").alias("start"), F.col("coord2").alias("end"), "sv_id")
+    tra = sv.where("sv_type = 'tra'")
+    crossed = _ordered_pair(tra.select("sv_id", "chr1", "coord1", "chr2", "coord2", F.col("caller").alias("_caller"))).withColumnRenamed("_caller", "caller")
+    return [dense.match_classes(of(plain, first, "chrom", "sv_type"), of(plain, second, "chrom", "sv_type"), ["chrom", "sv_type"], distance),
+            dense.match_classes(of(crossed, first, "c_lo", "c_hi"), of(crossed, second, "c_lo", "c_hi"), ["c_lo", "c_hi"], distance, strict=True)]
+
+
+def connected_events(sv: DataFrame, first: str, second: str, distance: int) -> DataFrame:
+    """SV-7, connected groups straight from calls: (sv_id, sv_type, event_id) of every matched call.
+
+    The same events as ``group_events(connected=True)`` over all pairs, found over classes.
+    """
+    parts = []
+    for found, kind in zip(caller_classes(sv, first, second, distance), (F.col("sv_type"), F.lit("tra")), strict=True):
+        labels = components.connected(dense.match_links(found))
+        calls = found.members.join(labels, F.col("class") == F.col("node")).select(kind.alias("sv_type"), F.col("id").alias("sv_id"), "label").distinct()
+        least = calls.groupBy("sv_type", "label").agg(F.min("sv_id").alias("_first"))
+        parts.append(calls.join(least, ["sv_type", "label"]).select("sv_id", "sv_type", F.concat_ws(":", "sv_type", "_first").alias("event_id")))
+    return parts[0].unionByName(parts[1])
+
+
 def propagate_status(calls: DataFrame, events: DataFrame) -> DataFrame:
     """SV-9: a call passes only inside an event all of whose members pass; unmatched calls fail.
 

@@ -64,9 +64,9 @@ def with_views(body: str) -> str:
     plain = {n: re.sub(r"EACH\((\d+),(\d+)\)", r"unnest(range(\1, \2 + 1))", VIEWS[n]) for n in views}
     ctes = [f"{n} AS ({re.sub(r'[{}]', '', plain[n])})" for n in views]
     body = body.strip()
-    if body.upper().startswith("WITH "):
-        ctes.append(body[5:])
-        return "WITH " + ",\n".join(ctes)
+    if lead := re.match(r"WITH (RECURSIVE )?", body, re.IGNORECASE):
+        ctes.append(body[lead.end() :])
+        return lead.group() + ",\n".join(ctes)
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + body
 
 

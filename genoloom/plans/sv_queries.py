@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from genoloom.operators import structural as sv
+from genoloom.operators.dense import match_counts
 from genoloom.plans.registry import query
 from genoloom.session import settle
 
@@ -110,6 +111,25 @@ def sv_7(t):
     return events(t)
 
 
+LINKS = f"SELECT sv_type, sv_id, other FROM ({PAIRS}) q UNION ALL SELECT 'tra', sv_id, other FROM ({TRA}) r"
+
+
+@query("sv_6_counts", f"""
+WITH l AS ({LINKS}) SELECT sv_type, sv_id, count(*) AS n_matches FROM (SELECT sv_type, sv_id FROM l UNION ALL SELECT sv_type, other FROM l) m GROUP BY sv_type, sv_id""")
+def sv_6_counts(t):
+    plain, tra = sv.caller_classes(t.fx_sv, "c1", "c2", 2000)
+    return match_counts(plain).select("sv_type", F.col("id").alias("sv_id"), "n_matches").unionByName(
+        match_counts(tra).select(F.lit("tra").alias("sv_type"), F.col("id").alias("sv_id"), "n_matches"))
+
+
+@query("sv_7_connected", f"""
+WITH RECURSIVE l AS ({LINKS}), e AS (SELECT sv_type, sv_id AS a, other AS b FROM l UNION SELECT sv_type, other, sv_id FROM l),
+ r(sv_type, a, b) AS (SELECT sv_type, a, a FROM e UNION SELECT r.sv_type, r.a, e.b FROM r JOIN e ON e.sv_type = r.sv_type AND e.a = r.b)
+SELECT a AS sv_id, sv_type, sv_type || ':' || min(b) AS event_id FROM r GROUP BY a, sv_type""")
+def sv_7_connected(t):
+    return sv.connected_events(t.fx_sv, "c1", "c2", 2000)
+
+
 STATUS = "CASE WHEN coord2 % 7 = 0 THEN 'FAIL_REASONS: filter_dgv' ELSE 'OVERALL_PASS' END"
 PASSED = f"""
 WITH e AS (SELECT * FROM ({EVENTS}) q), c AS (SELECT s.*, {STATUS} AS final_status, e.event_id FROM fx_sv s LEFT JOIN e ON s.sv_id = e.sv_id AND s.sv_type = e.sv_type),
