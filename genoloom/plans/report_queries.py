@@ -155,16 +155,9 @@ def rpt_13(t):
     return rp.genotype_matrix(t.fx_geno, ["chrom", "pos"], SAMPLES)
 
 
-@query("rpt_13_files", """
-SELECT chrom, pos, coalesce(max(CASE WHEN sample = 's1' THEN zyg END), 'NA') AS s1, coalesce(max(CASE WHEN sample = 's2' THEN zyg END), 'NA') AS s2 FROM fx_geno WHERE sample IN ('s1', 's2') AND zyg <> 'No data' GROUP BY chrom, pos""")
-def rpt_13_files(t):
-    parts = {s: t.fx_geno.where(f"sample = '{s}' AND zyg <> 'No data'").selectExpr("chrom", "pos", "zyg AS genotype") for s in ("s1", "s2")}
-    return rp.join_genotype_files(parts, ["chrom", "pos"])
-
-
-@query("rpt_13_files_all", "SELECT chrom, pos, " + ", ".join(f"coalesce(max(CASE WHEN sample = '{s}' THEN zyg END), 'NA') AS {s}" for s in SAMPLES)
+@query("rpt_13_files", "SELECT chrom, pos, " + ", ".join(f"coalesce(max(CASE WHEN sample = '{s}' THEN zyg END), 'NA') AS {s}" for s in SAMPLES)
        + " FROM fx_geno WHERE zyg <> 'No data' GROUP BY chrom, pos")
-def rpt_13_files_all(t):
+def rpt_13_files(t):
     parts = {s: t.fx_geno.where(f"sample = '{s}' AND zyg <> 'No data'").selectExpr("chrom", "pos", "zyg AS genotype") for s in SAMPLES}
     return rp.join_genotype_files(parts, ["chrom", "pos"])
 

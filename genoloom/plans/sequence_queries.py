@@ -81,19 +81,8 @@ def seq_7(t):
     return sq.fold_direction(counts, "a", "b")
 
 
-@query("snk_1", """
-SELECT concat_ws(chr(9), chrom, CAST(pos + 1 AS VARCHAR), CAST(pos + 1 AS VARCHAR), 'DEL;' || chrom || ':' || (pos + 1) || '-' || (pos + 1) || ':-C;Q=' || qual || ';AC=' || (1 + pos % 3) || ';ZC=1;ALLELE=' || (3 + pos % 3) || '/6',
- g1, g2, g3) AS line FROM fx_vcfm WHERE layout = 'indel'""")
-def snk_1(t):
-    v = rd.parse_vcf(t.fx_vcfm.where("layout = 'indel'").select("line"))
-    path = shared_folder(t.spark)
-    sk.write_normalised(ag.allele_counts(ag.sample_allele_fractions(v)), path)
-    # Printed means can differ at ties between engines; agg_2 compares them unrounded.
-    return rd.lines(t.spark, path).withColumn("line", F.regexp_replace("line", r";MEANAF=[^\t]*", ""))
-
-
 # All layouts, whole lines. Printed fractions round half up.
-@query("snk_1_all", """
+@query("snk_1", """
 WITH p AS (
  SELECT *, 1 AS k, split_part(alts, ',', 1) AS alt, v1 AS a, r1 + v1 + w1 AS na, v2 AS b, r2 + v2 + w2 AS nb, v1 > 0 AS u1, v2 > 0 AS u2 FROM fx_vcfm WHERE layout = 'indel'
  UNION ALL SELECT *, 1, split_part(alts, ',', 1), v1, r1 + v1, v2, r2 + v2, v1 > 0, v2 > 0 FROM fx_vcfm WHERE layout = 'base'
@@ -109,7 +98,7 @@ SELECT concat_ws(chr(9), chrom, CAST(loc AS VARCHAR), CAST(loc AS VARCHAR),
  || ';Q=' || qual || ';AC=' || CASE WHEN layout = 'info' THEN CASE k WHEN 1 THEN 3 ELSE 1 END WHEN k = 1 THEN 1 + pos % 3 ELSE 2 END || ';ZC=' || k || ';ALLELE=' || CASE WHEN layout = 'info' THEN 4 ELSE 3 + pos % 3 END || '/6'
  || ';MEANAF=' || af3 || ';MEDAF=' || af3 || ';VAR_READ_COUNTS=' || txt || CASE WHEN k = 2 THEN ';REF=' || substr(alt, 1, 1) ELSE '' END,
  CASE WHEN layout = 'info' THEN '' ELSE concat_ws(chr(9), g1, g2, g3) END) AS line FROM f""")
-def snk_1_all(t):
+def snk_1(t):
     path = shared_folder(t.spark)
     sk.write_normalised(ag.allele_counts(ag.sample_allele_fractions(rd.parse_vcf(t.fx_vcfm.select("line")))), path)
     return rd.lines(t.spark, path)
@@ -181,18 +170,8 @@ def snk_9(t):
     return t.spark.read.parquet(path).select("id", "column_number", "column_name", "column_value")
 
 
-@query("src_11", "SELECT chrom, start, \"end\", gene AS name FROM fx_gene WHERE chrom IN ('1', '2', '3')")
+@query("src_11", "SELECT chrom, start, \"end\", gene AS name FROM fx_gene")
 def src_11(t):
-    base = shared_folder(t.spark)
-    paths = {c: f"{base}/{c}" for c in ("1", "2", "3")}
-    for chrom, path in paths.items():
-        t.fx_gene.where(F.col("chrom") == chrom).select(
-            F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "gene")).write.text(path)
-    return rd.concat_by_chrom(t.spark, paths, rd.read_intervals)
-
-
-@query("src_11_all", "SELECT chrom, start, \"end\", gene AS name FROM fx_gene")
-def src_11_all(t):
     base = shared_folder(t.spark)
     rows = t.fx_gene.select(F.col("chrom").alias("c"), F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "gene"))
     rows.write.partitionBy("c").text(base)

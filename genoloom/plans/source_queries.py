@@ -8,6 +8,7 @@ from genoloom.functions import alleles
 from genoloom.functions.text import attr, chrom_rank, norm_chrom, safe_name, sentinel
 from genoloom.operators import frequencies as fq
 from genoloom.plans.registry import query
+from genoloom.session import shared_folder
 from genoloom.sources import readers as rd
 
 # fx_vcf alleles: only position 1 can differ when lengths agree (the texts are rotations), and
@@ -38,6 +39,23 @@ def src_1(t):
                                          "bases", "ref_base", "ac", "an")
 
 
+# 64 files; those of even positions have two samples, the others one.
+@query("src_1_files", f"""
+SELECT k.pos % 64 AS part, s.sample, k.chrom, k.pos, k.ref, k.alt, 1 AS allele_no, var_type, {KEY_COLS}, s.gt
+FROM ({KEYED}) k JOIN (VALUES ('tumour', 0, '0/1'), ('normal', 0, '1/1'), ('blood', 1, '0/1')) s(sample, odd, gt) ON s.odd = k.pos % 2""")
+def src_1_files(t):
+    head = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"
+    part = F.split("line", "\t")[1].cast("long") % 64
+    rows = t.fx_vcf.select("line", part.alias("part"))
+    rows = rows.select("part", F.lit(1).alias("after"), F.when(F.col("part") % 2 == 0, F.concat("line", F.lit("\t1/1:7,8"))).otherwise(F.col("line")).alias("line"))
+    heads = rows.select("part").distinct().select("part", F.lit(0).alias("after"), F.when(F.col("part") % 2 == 0, f"{head}\ttumour\tnormal").otherwise(f"{head}\tblood").alias("line"))
+    path = shared_folder(t.spark)
+    rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "after").select("part", "line").write.partitionBy("part").text(path)
+    read = rd.read_vcf_genotypes(t.spark, f"{path}/*")
+    return read.select(F.regexp_extract("path", r"part=(\d+)", 1).cast("long").alias("part"), "sample", "chrom", "pos", "ref", "alt", "allele_no",
+                       "var_type", "start", "end", "bases", "ref_base", "gt")
+
+
 @query("nrm_1", f"SELECT chrom, var_type, {KEY_COLS} FROM ({KEYED}) k WHERE length(ref) <> length(alt) OR length(ref) = 1")
 def nrm_1(t):
     v = rd.parse_vcf(t.fx_vcf)

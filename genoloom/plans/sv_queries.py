@@ -188,26 +188,13 @@ def sv_12(t):
     return sv.genes_to_report(overlaps(t)).select("sv_id", "report_genes")
 
 
-@query("sv_13", """
-WITH h AS (SELECT DISTINCT v.sv_id, g.gene FROM fx_sv v LEFT JOIN fx_gene g ON g.chrom = v.chr1 AND g.start <= v.coord2 AND g."end" >= v.coord1 WHERE v.sv_type <> 'tra'),
- n AS (SELECT *, count(gene) OVER (PARTITION BY sv_id) AS k FROM h), s AS (SELECT DISTINCT sv_id, CASE WHEN k = 0 THEN 'NO_GENE' ELSE gene END AS gene FROM n)
-SELECT s.sv_id, s.gene, i.descr, i.family FROM s LEFT JOIN fx_gene_info i ON s.gene = i.gene""")
-def sv_13(t):
-    from genoloom.operators.intervals import overlap_pairs
-
-    spans = t.fx_sv.where("sv_type <> 'tra'").selectExpr("sv_id", "chr1 AS chrom", "coord1 AS start", "coord2 AS `end`")
-    hits = spans.select("sv_id").join(
-        overlap_pairs(spans, t.fx_gene.select("chrom", "start", "end", "gene"), bin_width=10_000).select("sv_id", "gene"), "sv_id", "left")
-    return sv.gene_summary(hits, t.fx_gene_info, ["descr", "family"])
-
-
 # Translocations by both breakpoints.
-@query("sv_13_all", """
+@query("sv_13", """
 WITH sp AS (SELECT sv_id, chr1 AS c, coord1 AS s, coord2 AS e FROM fx_sv WHERE sv_type <> 'tra' UNION ALL SELECT sv_id, chr1, coord1, coord1 FROM fx_sv WHERE sv_type = 'tra'
   UNION ALL SELECT sv_id, chr2, coord2, coord2 FROM fx_sv WHERE sv_type = 'tra'),
  h AS (SELECT DISTINCT sp.sv_id, g.gene FROM sp JOIN fx_gene g ON g.chrom = c AND g.start <= e AND g."end" >= s)
 SELECT v.sv_id, coalesce(h.gene, 'NO_GENE') AS gene, i.descr, i.family FROM fx_sv v LEFT JOIN h ON v.sv_id = h.sv_id LEFT JOIN fx_gene_info i ON h.gene = i.gene""")
-def sv_13_all(t):
+def sv_13(t):
     from genoloom.operators.intervals import overlap_pairs
 
     tra = t.fx_sv.where("sv_type = 'tra'")

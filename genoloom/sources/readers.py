@@ -16,9 +16,16 @@ from genoloom.functions.text import norm_chrom
 from genoloom.operators.chunks import once
 
 
+ORIGIN = ("path",)  # where a line comes from, kept by the parsers where the rows have it
+
+
+def _origin(rows: DataFrame) -> list[str]:
+    return [c for c in ORIGIN if c in rows.columns]
+
+
 def _cells(rows: DataFrame, sep: str = "\t") -> DataFrame:
     """Fields of each data line as ``f``, split once; header and blank lines are dropped."""
-    return once(rows.select("line"), f=F.split("line", sep)).where(
+    return once(rows.select("line", *_origin(rows)), f=F.split("line", sep)).where(
         (F.size("f") > 1) & ~F.startswith(F.get("f", F.lit(0)), F.lit("#"))).drop("line")
 
 
@@ -26,15 +33,20 @@ def lines(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def file_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines with the ``path`` of their file, for inputs of many files that must be told apart."""
+    return spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"))
+
+
 def parse_vcf(rows: DataFrame) -> DataFrame:
     """SRC-1: one row per usable alternate allele, with its key and the untouched genotype fields.
 
     Header and blank lines, records with N or a ``.`` alternate, ``*`` alleles and alleles equal
-    to REF are dropped. Allele counts are taken by allele number.
+    to REF are dropped. Allele counts are taken by allele number. A ``path`` column is kept.
     """
     f = F.col("f")
     body = _cells(rows).select(
-        norm_chrom(f[0]).alias("chrom"), f[1].cast("bigint").alias("pos"), f[3].alias("ref"), f[4].alias("alts"),
+        *_origin(rows), norm_chrom(f[0]).alias("chrom"), f[1].cast("bigint").alias("pos"), f[3].alias("ref"), f[4].alias("alts"),
         F.when(f[5] != ".", f[5].try_cast("double")).alias("qual"), F.get(f, F.lit(6)).alias("filter"),
         F.get(f, F.lit(7)).alias("info"), F.get(f, F.lit(8)).alias("format"),
         F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0))).alias("samples"),
@@ -53,7 +65,7 @@ def parse_vcf(rows: DataFrame) -> DataFrame:
         .withColumn("total_ac", F.aggregate(ac, F.lit(0).cast("bigint"), lambda a, x: a + x))
         .withColumn("an", F.coalesce(F.regexp_extract("info", r"AN=(\d+)", 1).try_cast("bigint"), F.lit(0)))
         .withColumn("info_af", F.get(af, F.col("allele_no") - 1).try_cast("double"))
-        .select("chrom", "_k.*", "pos", "ref", "alt", "allele_no", "qual", "filter", "info", "format", "samples",
+        .select(*_origin(rows), "chrom", "_k.*", "pos", "ref", "alt", "allele_no", "qual", "filter", "info", "format", "samples",
                 "ac", "total_ac", "an", "info_af")
     )
 
@@ -63,6 +75,45 @@ def read_vcf(spark: SparkSession, path) -> DataFrame:
     return parse_vcf(lines(spark, path))
 
 
+VCF_FIXED = 9  # columns before the first sample
+
+
+def sample_names(rows: DataFrame) -> DataFrame:
+    """SRC-1: (path, names) of files, from their ``#CHROM`` line; a file with two different ones is an error."""
+    heads = rows.where(F.startswith("line", F.lit("#CHROM"))).select("path", F.split(F.rtrim("line"), "\t").alias("f"))
+    named = heads.select("path", F.slice("f", VCF_FIXED + 1, F.greatest(F.size("f") - VCF_FIXED, F.lit(1))).alias("names"))
+    one = named.groupBy("path").agg(F.min("names").alias("names"), F.max("names").alias("_other"))
+    clash = F.raise_error(F.concat(F.lit("different #CHROM lines in "), F.col("path")))
+    return one.select("path", F.when(F.col("names") == F.col("_other"), F.col("names")).otherwise(clash).alias("names"))
+
+
+def parse_vcf_genotypes(rows: DataFrame) -> DataFrame:
+    """SRC-1 for files with samples: one row per file, allele and sample, under the sample's name.
+
+    ``rows`` has ``line`` and ``path``. The records of a file are joined with its header: one row
+    for each file, which Spark broadcasts where it is small, and splits the records of a large file
+    where it is not. Adds ``sample``, ``fields`` (its genotype column) and ``gt``. A file with genotypes
+    but no ``#CHROM`` line, or with another number of names than genotypes, is an error; a name that
+    occurs twice in a file is one sample listed twice, and one name in two files is told apart by ``path``.
+    Files without genotype columns give no rows.
+    """
+    records = parse_vcf(rows).where(F.size("samples") > 0)
+    joined = records.join(sample_names(rows), "path", "left")
+    found = F.coalesce(F.size("names"), F.lit(0))
+    wrong = F.raise_error(F.concat(F.lit("genotypes and sample names differ in "), F.col("path"))).cast("array<string>")
+    names = F.when(found == F.size("samples"), F.col("names")).otherwise(wrong)
+    each = joined.select("*", F.explode(F.arrays_zip(names.alias("sample"), F.col("samples").alias("fields"))).alias("_g"))
+    at = F.array_position(F.split("format", ":"), "GT").cast("int")
+    text = F.split("fields", ":")
+    return each.select("path", "_g.sample", *[c for c in joined.columns if c not in ("path", "samples", "names")], "_g.fields").withColumn(
+        "gt", F.when(at > 0, F.get(text, at - 1)))
+
+
+def read_vcf_genotypes(spark: SparkSession, path) -> DataFrame:
+    """SRC-1 over files of any sample lists."""
+    return parse_vcf_genotypes(file_lines(spark, path))
+
+
 def parse_intervals(rows: DataFrame) -> DataFrame:
     """SRC-2: the four layouts of a coordinate line; a missing end equals the start.
 
@@ -108,17 +159,18 @@ def read_ped(spark: SparkSession, path) -> DataFrame:
 
 
 def parse_pileup(rows: DataFrame) -> DataFrame:
-    """SRC-4: chromosome, position, reference, depth, bases, qualities and an optional tag list."""
+    """SRC-4: chromosome, position, reference, depth, bases, qualities and an optional tag list. A
+    ``path`` column is kept."""
     f = F.col("f")
     return _cells(rows).select(
-        norm_chrom(f[0]).alias("chrom"), f[1].cast("bigint").alias("pos"), F.upper(f[2]).alias("ref"),
+        *_origin(rows), norm_chrom(f[0]).alias("chrom"), f[1].cast("bigint").alias("pos"), F.upper(f[2]).alias("ref"),
         f[3].cast("int").alias("depth"), F.get(f, F.lit(4)).alias("bases"), F.get(f, F.lit(5)).alias("quals"),
         F.get(f, F.lit(6)).alias("tags"))
 
 
 def read_pileup(spark: SparkSession, path) -> DataFrame:
-    """SRC-4."""
-    return parse_pileup(lines(spark, path))
+    """SRC-4. Every row has the ``path`` of its file, so pileups of several samples stay apart."""
+    return parse_pileup(file_lines(spark, path))
 
 
 CONSEQUENCE_COLUMNS = ("uploaded", "location", "allele", "gene", "feature", "feature_type", "consequence",
@@ -126,19 +178,20 @@ CONSEQUENCE_COLUMNS = ("uploaded", "location", "allele", "gene", "feature", "fea
 
 
 def parse_consequences(rows: DataFrame) -> DataFrame:
-    """SRC-5: predictor output; the location becomes chrom / start / end, the rest stays text."""
+    """SRC-5: predictor output; the location becomes chrom / start / end, the rest stays text. A ``path``
+    column is kept."""
     cols = [F.get("f", F.lit(i)).alias(c) for i, c in enumerate(CONSEQUENCE_COLUMNS)]
     loc = F.split("location", "[:-]")
     return (
-        _cells(rows).select(*cols)
+        _cells(rows).select(*_origin(rows), *cols)
         .withColumn("chrom", norm_chrom(loc[0])).withColumn("start", loc[1].cast("bigint"))
         .withColumn("end", F.coalesce(F.get(loc, F.lit(2)).cast("bigint"), F.col("start")))
     )
 
 
 def read_consequences(spark: SparkSession, path) -> DataFrame:
-    """SRC-5."""
-    return parse_consequences(lines(spark, path))
+    """SRC-5. Every row has the ``path`` of its file."""
+    return parse_consequences(file_lines(spark, path))
 
 
 def merge_headers(reports: Sequence[DataFrame], missing: str = "No Data") -> DataFrame:
