@@ -19,13 +19,16 @@ LOCUS = ("chrom", "pos")
 
 
 def family_roles(samples: DataFrame) -> DataFrame:
-    """PED-1: affected and unaffected totals, parents present, and the proband (else the first sample)."""
+    """PED-1: affected and unaffected totals, parents present, and the proband (else the first sample).
+
+    ``has_proband`` tells a proband from a first sample that stands for one.
+    """
     def has(role: str) -> Column:
         return F.max((F.col("relation") == role).cast("int"))
 
     return samples.groupBy("family").agg(
         F.sum("affected").cast("bigint").alias("aff_total"), F.sum(1 - F.col("affected")).cast("bigint").alias("unaff_total"),
-        has("mother").alias("has_mother"), has("father").alias("has_father"),
+        has("mother").alias("has_mother"), has("father").alias("has_father"), has("proband").alias("has_proband"),
         F.coalesce(F.min(F.when(F.col("relation") == "proband", F.col("sample"))), F.min("sample")).alias("proband"))
 
 
@@ -40,12 +43,16 @@ def _zyg_of(role: str) -> Column:
 
 
 def mendel(geno: DataFrame, roles: DataFrame, keys: Sequence[str] = LOCUS) -> DataFrame:
-    """PED-3, PED-4: whether the proband's genotype follows from the sequenced parents'."""
+    """PED-3, PED-4: whether the proband's genotype follows from the sequenced parents'.
+
+    A member without a row at a locus of the family is ref there. Only a proband breaks the rules: a
+    family without one follows them wherever its genotypes are known.
+    """
     per = geno.groupBy("family", *keys).agg(
         _zyg_of("mother").alias("m"), _zyg_of("father").alias("f"), _zyg_of("proband").alias("c"),
         F.max((F.col("zyg") == NO_DATA).cast("int")).alias("gap"))
-    full = per.join(roles.select("family", "has_mother", "has_father"), "family").withColumns(
-        {x: F.coalesce(x, F.lit("ref")) for x in ("m", "f", "c")})
+    full = per.join(roles.select("family", "has_mother", "has_father", "has_proband"), "family").withColumns(
+        {"m": F.coalesce("m", F.lit("ref")), "f": F.coalesce("f", F.lit("ref")), "c": F.coalesce("c", F.when(F.col("has_proband") == 1, "ref"))})
     m, f, c = F.col("m"), F.col("f"), F.col("c")
     both = (F.col("has_mother") == 1) & (F.col("has_father") == 1)
     one = F.when(F.col("has_mother") == 1, m).otherwise(f)

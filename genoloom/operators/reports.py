@@ -32,24 +32,34 @@ def population_class(df: DataFrame, cutoff: float = 0.02) -> DataFrame:
 
 
 def sv_population_class(df: DataFrame, cutoff: float = 0.02) -> DataFrame:
-    """RPT-1 for structural variants: one frequency ``dgv_freq`` and its complement."""
+    """RPT-1 for structural variants: match status ``filter_dgv`` and one frequency ``dgv_freq``.
+
+    An event the catalogue does not hold is NOVEL, one whose status is N/A stays so; both pass. A
+    matched one is judged by the frequency and its complement; without a frequency it is NO_FREQ and fails.
+    """
     f = F.col("dgv_freq")
-    label = F.when(f.isNull(), "NOVEL").when(f < cutoff, "RARE_ALLELE").when(1 - f < cutoff, "RARE_REF").otherwise("COMMON")
+    novel = F.coalesce(F.col("filter_dgv").isin("PASS", "NOVEL", "N/A"), F.lit(False))
+    label = (F.when(novel, F.when(F.col("filter_dgv") == "N/A", "N/A").otherwise("NOVEL")).when(f.isNull(), "NO_FREQ")
+             .when(f < cutoff, "RARE_ALLELE").when(1 - f < cutoff, "RARE_REF").otherwise("COMMON"))
     return df.withColumn("population_class", label).withColumn(
-        "population_fail", F.col("population_class").isin("RARE_REF", "COMMON").cast("int"))
+        "population_fail", F.col("population_class").isin("NO_FREQ", "RARE_REF", "COMMON").cast("int"))
 
 
 def apply_rules(df: DataFrame, minimum: dict[str, float] | None = None, not_changes: Sequence[str] = (),
-                status_columns: Sequence[str] = ()) -> DataFrame:
+                status_columns: Sequence[str] = (), population_reason: str = "filter_dbsnp", min_support: int | None = None) -> DataFrame:
     """RPT-2: ``final_status`` is OVERALL_PASS or the failed rules in rule order.
 
-    Rules: a population class that fails, a column below its minimum, an excluded base change,
-    a status column that says FAIL or PREVIOUSLY_SEEN.
+    Rules: a population class that fails (the reason is ``filter_dgv`` for structural variants), a
+    column below its minimum, an excluded base change, fewer split and paired reads (``sr``, ``pe``,
+    null for none) than ``min_support``, a status column that says FAIL or PREVIOUSLY_SEEN.
     """
-    reasons = [F.when(F.col("population_fail") == 1, "filter_dbsnp")]
+    reasons = [F.when(F.col("population_fail") == 1, population_reason)]
     reasons += [F.when(F.col(c).try_cast("double") < v, f"{c} < {v:g}") for c, v in (minimum or {}).items()]
     if not_changes:
         reasons.append(F.when(F.concat_ws("->", "ref", "alt").isin(*not_changes), "base_change"))
+    if min_support is not None:
+        support = F.coalesce("sr", F.lit(0)) + F.coalesce("pe", F.lit(0))
+        reasons.append(F.when(support < min_support, "Not enough supporting reads"))
     reasons += [F.when(F.col(c).rlike("FAIL|PREVIOUSLY_SEEN"), c) for c in status_columns]
     text = F.concat_ws(" , ", *reasons)
     return df.withColumn("final_status", F.when(text == "", PASS).otherwise(F.concat(F.lit("FAIL REASONS: "), text)))

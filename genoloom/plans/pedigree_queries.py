@@ -12,7 +12,7 @@ from genoloom.session import settle
 ROLES = """
 SELECT family, CAST(sum(affected) AS BIGINT) AS aff_total, CAST(sum(1 - affected) AS BIGINT) AS unaff_total,
  max(CASE WHEN relation = 'mother' THEN 1 ELSE 0 END) AS has_mother, max(CASE WHEN relation = 'father' THEN 1 ELSE 0 END) AS has_father,
- min(CASE WHEN relation = 'proband' THEN sample END) AS proband FROM fx_member GROUP BY family"""
+ max(CASE WHEN relation = 'proband' THEN 1 ELSE 0 END) AS has_proband, min(CASE WHEN relation = 'proband' THEN sample END) AS proband FROM fx_member GROUP BY family"""
 
 TRIO = f"""
 SELECT g.family, g.chrom, g.pos, r.has_mother AS hm, r.has_father AS hf, max(CASE WHEN relation = 'mother' THEN zyg END) AS m,

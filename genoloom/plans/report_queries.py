@@ -24,13 +24,30 @@ def rpt_1(t):
     return rp.population_class(t.fx_report).select("id", "population_class", "population_fail")
 
 
-@query("rpt_1_sv", f"""
-WITH b AS ({BASE}), f AS (SELECT sv_id, CASE WHEN sv_type = 'tra' THEN NULL ELSE CAST(n % 100 AS DOUBLE) / 100 END AS dgv_freq FROM b)
-SELECT sv_id, CASE WHEN dgv_freq IS NULL THEN 'NOVEL' WHEN dgv_freq < 0.02 THEN 'RARE_ALLELE' WHEN 1 - dgv_freq < 0.02 THEN 'RARE_REF' ELSE 'COMMON' END AS population_class,
- CASE WHEN dgv_freq IS NULL OR dgv_freq < 0.02 THEN 0 ELSE 1 END AS population_fail FROM f""")
+# Of the events without a frequency every other one is in the catalogue.
+SV_REPORT = f"""
+SELECT sv_id, CASE WHEN sv_type = 'tra' THEN CASE WHEN n % 2 = 0 THEN 'FAIL' ELSE 'PASS' END WHEN n % 10 = 0 THEN 'N/A' ELSE 'FAIL' END AS filter_dgv,
+ CASE WHEN sv_type <> 'tra' THEN CAST(n % 100 AS DOUBLE) / 100 END AS dgv_freq, CAST(n % 7 AS INT) AS pe, CASE WHEN n % 3 = 0 THEN CAST(n % 5 AS INT) END AS sr FROM ({BASE}) b"""
+SV_CLASSED = f"""
+SELECT *, CASE WHEN population_class IN ('NO_FREQ', 'RARE_REF', 'COMMON') THEN 1 ELSE 0 END AS population_fail FROM (
+ SELECT *, CASE filter_dgv WHEN 'N/A' THEN 'N/A' WHEN 'PASS' THEN 'NOVEL' ELSE CASE WHEN dgv_freq IS NULL THEN 'NO_FREQ' WHEN dgv_freq < 0.02 THEN 'RARE_ALLELE' WHEN 1 - dgv_freq < 0.02 THEN 'RARE_REF' ELSE 'COMMON' END END AS population_class
+ FROM ({SV_REPORT}) r) c"""
+
+
+def sv_classed(t):
+    return rp.sv_population_class(t.sql(SV_REPORT.replace("fx_sv", "{fx_sv}")))
+
+
+@query("rpt_1_sv", f"SELECT sv_id, population_class, population_fail FROM ({SV_CLASSED}) q")
 def rpt_1_sv(t):
-    sv = t.fx_sv.selectExpr("sv_id", "CASE WHEN sv_type <> 'tra' THEN CAST(CAST(substr(sv_id, 3) AS BIGINT) % 100 AS DOUBLE) / 100 END AS dgv_freq")
-    return rp.sv_population_class(sv).drop("dgv_freq")
+    return sv_classed(t).select("sv_id", "population_class", "population_fail")
+
+
+@query("rpt_2_sv", f"""
+SELECT sv_id, coalesce('FAIL REASONS: ' || nullif(concat_ws(' , ', CASE WHEN population_fail = 1 THEN 'filter_dgv' END,
+ CASE WHEN coalesce(sr, 0) + coalesce(pe, 0) < 4 THEN 'Not enough supporting reads' END), ''), 'OVERALL_PASS') AS final_status FROM ({SV_CLASSED}) q""")
+def rpt_2_sv(t):
+    return rp.apply_rules(sv_classed(t), population_reason="filter_dgv", min_support=4).select("sv_id", "final_status")
 
 
 RULED = f"""
