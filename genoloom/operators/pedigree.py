@@ -236,53 +236,77 @@ def drop_contradicted(buckets: DataFrame) -> DataFrame:
     return buckets.where("contradicted = 0").drop("contradicted")
 
 
-def compound_hets(buckets: DataFrame, keys: Sequence[str] = LOCUS) -> DataFrame:
+def _child_forms(bucket: Column) -> Column:
+    """Texts of a child's definite and possible form in one scope, and the origins that take part."""
+    def of(origin: str) -> Column:
+        return F.transform(F.filter(bucket, lambda v: v["origin"] == origin), lambda v: v["label"])
+
+    def text(**parts: Column) -> Column:
+        return F.concat_ws(",", *[F.concat(F.lit(f"{name}="), F.array_join(items, ",")) for name, items in parts.items()])
+
+    mother, father, either = of("mother"), of("father"), of("either")
+    has = {k: F.size(x) > 0 for k, x in (("m", mother), ("f", father), ("e", either))}
+    possible = (
+        F.when(has["m"] & has["e"], F.struct(text(M=mother, AMB=either).alias("text"), F.array(F.lit("mother"), F.lit("either")).alias("of")))
+        .when(has["f"] & has["e"], F.struct(text(F=father, AMB=either).alias("text"), F.array(F.lit("father"), F.lit("either")).alias("of")))
+        .when(F.size(either) > 1, F.struct(text(AMB=either).alias("text"), F.array(F.lit("either")).alias("of"))))
+    definite = F.when(has["m"] & has["f"], F.struct(
+        text(M=mother, F=father).alias("text"), F.array(F.lit("mother"), F.lit("father")).alias("of")))
+    return F.struct(definite.alias("def"), possible.alias("pos"))
+
+
+def compound_hets(buckets: DataFrame, keys: Sequence[str] = LOCUS, contents: bool = False) -> DataFrame:
     """PED-12, PED-13, PED-14: definite and possible compound hets per variant, over all and over rare variants.
 
     Definite: the child has variants from the mother and from the father in the gene. Possible:
     mother and either, else father and either, else two or more of either. The variant itself
     must be in one of the buckets involved. The columns list the children, or say ``No`` when
-    none or when the only form occurs in an unaffected child. The bucket contents stay in the
-    ``het_buckets`` frame rather than in each row's text; forms are told apart by bucket size and
-    an order-free hash of the content. All and rare variants are judged in the same pass.
+    none or when the only form occurs in an unaffected child. With ``contents`` further columns
+    ``..._forms`` name each form after its children, as ``c1,c2(M=1:100,F=1:250)``, sorted by content.
+
+    A family's variants of a gene meet once: grouped by child they give its forms, grouped by family
+    the forms are numbered by their content (equal text, equal number), and the variants then carry
+    numbers, not texts. All groupings use the one exchange by family and gene.
     """
-    h = F.xxhash64(*keys)
-    scopes = {"": F.lit(True), "r": F.col("rare") == 1}
-    origins = {"m": "mother", "f": "father", "e": "either"}
-    sums = []
-    for tag, scope in scopes.items():
-        for mark, name in origins.items():
-            on = scope & (F.col("origin") == name)
-            sums += [count_if(on).alias(f"n{tag}_{mark}"), F.coalesce(F.bit_xor(F.when(on, h)), F.lit(0)).alias(f"h{tag}_{mark}")]
-    j = buckets.join(buckets.groupBy("family", "gene", "sample").agg(*sums), ["family", "gene", "sample"])
-
-    origin = F.col("origin")
-    shown, names = [], []
-    for tag, scope in scopes.items():
-        n = {k: F.col(f"n{tag}_{k}") for k in origins}
-        x = {k: F.col(f"h{tag}_{k}") for k in origins}
-        form = F.when((n["m"] > 0) & (n["e"] > 0), "m").when((n["f"] > 0) & (n["e"] > 0), "f").when(n["e"] > 1, "e")
-        in_def = scope & (n["m"] > 0) & (n["f"] > 0) & origin.isin("mother", "father")
-        in_pos = scope & (
-            ((form == "m") & origin.isin("mother", "either")) | ((form == "f") & origin.isin("father", "either"))
-            | ((form == "e") & (origin == "either")))
-        def_sig = F.struct(x["m"], x["f"], n["m"], n["f"])
-        pos_sig = F.struct(form.alias("k"), F.when(form == "m", x["m"]).when(form == "f", x["f"]).alias("h"), x["e"].alias("e"))
-        for mark, cond, sig in (("def", in_def, def_sig), ("pos", in_pos, pos_sig)):
-            hit = F.coalesce(cond, F.lit(False))
-            col = f"{mark}_com_rare_het" if tag else f"{mark}_com_het"
-            names.append(col)
-            shown += [sorted_text(F.when(hit, F.col("sample"))).alias(f"_s_{col}"),
-                      F.size(F.collect_set(F.when(hit, F.struct(sig)))).alias(f"_n_{col}"),
-                      F.coalesce(F.max(F.when(hit, 1 - F.col("affected"))), F.lit(0)).alias(f"_u_{col}")]
-    per = j.groupBy("family", "gene", *keys).agg(*shown)
-
-    def text(col: str) -> Column:
+    at = ["family", "gene"]
+    variant = F.struct(*keys, "origin", "rare", F.concat_ws(":", *keys).alias("label"))
+    child = buckets.repartition(*at).groupBy(*at, "sample").agg(
+        F.max("affected").alias("affected"), F.sort_array(F.collect_set(variant)).alias("v"))
+    judged = once(child, all=_child_forms(F.col("v")), rare_=_child_forms(F.filter("v", lambda v: v["rare"] == 1)))
+    families = judged.groupBy(*at).agg(F.collect_list(F.struct("sample", "affected", "v", "all", "rare_")).alias("c"))
+    columns = {f"{kind}_com_{scope}het": (scope or "all", kind) for scope in ("", "rare_") for kind in ("def", "pos")}
+    numbered = once(families, _t=F.struct(*[
+        F.array_distinct(F.transform("c", lambda c: c[scope][kind]["text"])).alias(col) for col, (scope, kind) in columns.items()]))
+    members = numbered.select(*at, "_t", F.explode("c").alias("c"))
+    own = members.select(
+        *at, F.col("c.sample").alias("sample"), F.col("c.affected").alias("affected"), F.col("c.v").alias("v"),
+        *[F.struct(F.array_position(F.col(f"_t.{col}"), F.col(f"c.{scope}.{kind}.text")).alias("n"), F.col(f"c.{scope}.{kind}.of").alias("of"),
+                   *([F.col(f"c.{scope}.{kind}.text").alias("text")] if contents else [])).alias(col)
+          for col, (scope, kind) in columns.items()])
+    rows = own.select(*at, "sample", "affected", *columns, F.explode("v").alias("v"))
+    shown = []
+    for col, (scope, _) in columns.items():
+        inside = F.array_contains(F.col(f"{col}.of"), F.col("v.origin"))
+        hit = F.coalesce(inside & (F.col("v.rare") == 1) if scope == "rare_" else inside, F.lit(False))
+        shown += [sorted_text(F.when(hit, F.col("sample"))).alias(f"_s_{col}"),
+                  F.size(F.collect_set(F.when(hit, F.col(f"{col}.n")))).alias(f"_n_{col}"),
+                  F.coalesce(F.max(F.when(hit, 1 - F.col("affected"))), F.lit(0)).alias(f"_u_{col}")]
+        if contents:
+            shown.append(F.sort_array(F.collect_set(F.when(hit, F.struct(f"{col}.text", "sample")))).alias(f"_f_{col}"))
+    per = rows.groupBy(*at, *[F.col(f"v.{k}").alias(k) for k in keys]).agg(*shown)
+
+    def unless_hidden(col: str, value: Column) -> Column:
         forms = F.col(f"_n_{col}")
-        hidden = (forms == 0) | ((forms == 1) & (F.col(f"_u_{col}") == 1))
-        return F.when(hidden, "No").otherwise(F.col(f"_s_{col}")).alias(col)
+        return F.when((forms == 0) | ((forms == 1) & (F.col(f"_u_{col}") == 1)), "No").otherwise(value)
+
+    def by_content(col: str) -> Column:
+        items = F.col(f"_f_{col}")
+        return F.array_join(F.transform(F.array_distinct(F.transform(items, lambda x: x["text"])), lambda t: F.concat(
+            F.array_join(F.transform(F.filter(items, lambda x: x["text"] == t), lambda x: x["sample"]), ","),
+            F.lit("("), t, F.lit(")"))), ",")
 
-    return per.select("family", "gene", *keys, *[text(c) for c in names])
+    return per.select(*at, *keys, *[unless_hidden(c, F.col(f"_s_{c}")).alias(c) for c in columns],
+                      *([unless_hidden(c, by_content(c)).alias(f"{c}_forms") for c in columns] if contents else []))
 
 
 # Column of the compound-het forms and the label appended to the inheritance text.

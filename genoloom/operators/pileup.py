@@ -36,34 +36,38 @@ def allele_table(df: DataFrame) -> DataFrame:
     depth 0 are dropped; skipped-reference reads never count as the highest alternate.
     """
     ref, depth = F.upper("ref"), F.col("depth")
-    base, both = F.col("_b"), F.col("_i")
-    n_base = F.size("_bt")
+
+    def reads(items: Column) -> Column:
+        return F.aggregate(items, F.lit(0), lambda a, s: a + s["n"])
 
     def freq_row(name: Column, f: Column) -> Column:
         return F.struct((-f).alias("neg"), name.alias("name"))
 
-    ref_n = pl.count_of(base, ref)
-    alts = F.filter(base, lambda s: s["allele"] != ref)
-    indels = F.filter(both, lambda s: s["allele"].rlike("^[+-]"))
-    indel_f = F.transform(indels, lambda s: freq_row(s["allele"], F.round(s["n"] / depth, 4)))
-    alt_f = F.transform(alts, lambda s: freq_row(s["allele"], s["n"] / n_base))
-    ref_f = F.array(freq_row(F.concat(ref, F.lit("(ref)")), F.when(n_base > 0, ref_n / n_base).otherwise(0.0)))
+    # One tally of all tokens; the single-base form is the part of it that holds no indel.
+    read = once(df.where(depth > 0), _tokens=pl.tokens(F.col("bases")))
+    counted = once(read, _all=pl.tally(F.col("_tokens")))
+    parted = once(
+        counted, _ind=F.filter("_all", lambda s: s["allele"].rlike("^[+-]")),
+        _alt=F.filter("_all", lambda s: ~s["allele"].rlike("^[+-]") & ~s["allele"].isin(F.lit("REF"), ref)),
+        _ref=reads(F.filter("_all", lambda s: s["allele"].isin(F.lit("REF"), ref))))
+    n_base = F.col("_ref") + reads(F.col("_alt"))
+    ref_f = F.array(freq_row(F.concat(ref, F.lit("(ref)")), F.when(n_base > 0, F.col("_ref") / n_base).otherwise(0.0)))
+    shares = once(
+        parted.withColumn("_n", n_base), _rows=F.concat(
+            ref_f, F.transform("_alt", lambda s: freq_row(s["allele"], s["n"] / F.col("_n"))),
+            F.transform("_ind", lambda s: freq_row(s["allele"], F.round(s["n"] / depth, 4)))))
     best = F.array_max(F.transform(
-        F.filter(F.concat("_alt", "_ind"), lambda s: s["name"] != "REFSKIP"), lambda s: -s["neg"]))
-    text = F.array_join(F.transform(F.array_sort(F.concat("_ref", "_alt", "_ind")),
-                                    lambda s: F.concat(s["name"], F.lit(":"), F.format_string("%.5f", -s["neg"]))), ";")
-    read = once(df.where(depth > 0), _bt=pl.base_tokens(F.col("bases"), F.col("ref")), _it=pl.tokens(F.col("bases")))
-    counted = once(read, _b=pl.tally(F.col("_bt")), _i=pl.tally(F.col("_it")))
-    shares = once(counted, _alt=alt_f, _ind=indel_f, _ref=ref_f)
+        F.filter(F.slice("_rows", 2, 1 << 30), lambda s: s["name"] != "REFSKIP"), lambda s: -s["neg"]))
+    text = F.array_join(F.transform(F.array_sort("_rows"), lambda s: F.concat(
+        s["name"], F.lit(":"), F.format_string("%.5f", -s["neg"]))), ";")
     return once(
         shares,
-        zyg=F.when(F.get("_ref", F.lit(0))["neg"] == 0, "hom").when(
-            (F.size("_alt") > 0) | (F.size("_ind") > 0), "het").otherwise("ref"),
+        zyg=F.when(F.col("_ref") == 0, "hom").when((F.size("_alt") > 0) | (F.size("_ind") > 0), "het").otherwise("ref"),
         max_alt_freq=F.coalesce(best, F.lit(0.0)),
         frequencies=text,
     ).withColumn(
         "max_alt_reads", F.when(F.col("max_alt_freq") > 0, F.floor(depth * F.col("max_alt_freq") + 1e-9))
-        .otherwise(1).cast("bigint")).drop("_bt", "_it", "_b", "_i", "_alt", "_ind", "_ref")
+        .otherwise(1).cast("bigint")).drop("_tokens", "_all", "_ind", "_alt", "_ref", "_n", "_rows")
 
 
 def tag_counts(df: DataFrame) -> DataFrame:

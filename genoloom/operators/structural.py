@@ -45,6 +45,18 @@ def _info(name: str, pattern: str = r"(\d+)") -> Column:
     return matched(F.col("info"), rf"(?:^|;){name}={pattern}")
 
 
+def _mate() -> Column:
+    """Contig and position of the mate in a breakend's ALT, null for other alleles.
+
+    The VCF form is ``bases[contig:pos[`` with either bracket on either side; a contig name may hold
+    colons itself, and one outside the reference stands in angle brackets.
+    """
+    place = F.get(F.split("alt", r"[\[\]]"), F.lit(1))
+    pos = F.substring_index(place, ":", -1)
+    name = F.substr(place, F.lit(1), F.length(place) - F.length(pos) - 1)
+    return F.struct(F.regexp_replace(F.translate(name, "<>", ""), "^chr", "").alias("chrom"), pos.try_cast("bigint").alias("pos"))
+
+
 def _back(rows: DataFrame) -> list[Column]:
     """The origin columns of records under their own names."""
     return _origin(rows, {b: a for a, b in _KEPT.items()})
@@ -76,11 +88,11 @@ def _first_of_pair(df: DataFrame, only: Column) -> DataFrame:
 def normalise_lumpy(rows: DataFrame) -> DataFrame:
     """SV-1: unplaced contigs and SECONDARY mates dropped; breakends become tra or inv; start <= end."""
     r = _records(rows).where(~F.col("chr1").contains("GL0") & ~F.col("info").contains("SECONDARY"))
-    mate = r"c?h?r?([0-9XYM]+):(\d+)"
+    mate = _mate()
     bnd = F.col("info").contains("SVTYPE=BND")
     r = r.where(~(bnd & F.col("alt").contains("GL0")))
-    chr2 = F.when(bnd, matched(F.col("alt"), mate, 1)).otherwise(F.col("chr1"))
-    end = F.when(bnd, matched(F.col("alt"), mate, 2)).otherwise(_info("END")).cast("bigint")
+    chr2 = F.when(bnd, mate["chrom"]).otherwise(F.col("chr1"))
+    end = F.when(bnd, mate["pos"]).otherwise(_info("END").cast("bigint"))
     kind = (
         F.when(~bnd, F.lower(_info("SVTYPE", "([A-Z]+)"))).when(F.col("chr1") != F.col("chr2"), "tra")
         .when(F.col("info").contains("++") | F.col("info").contains("--"), "inv"))
@@ -103,7 +115,7 @@ def normalise_delly(rows: DataFrame) -> DataFrame:
     r = _records(rows).where(F.coalesce(F.col("filter"), F.lit("")) != "LowQual")
     kind = _info("SVTYPE", "([A-Z]+)")
     r = once(r, kind=kind, chr2=F.coalesce(matched(F.col("info"), r"CHR2=c?h?r?([0-9XY]+)"), F.col("chr1")),
-             _end=F.when(kind == "BND", matched(F.col("alt"), r":(\d+)")).otherwise(_info("END")).cast("bigint"),
+             _end=F.when(kind == "BND", _mate()["pos"]).otherwise(_info("END").cast("bigint")),
              seq=_info("CONSENSUS", "([A-Z]+)"))
     length = F.when(F.col("kind") == "BND", F.lit(0)).when(F.col("kind") == "INS", F.length("seq")).otherwise(
         F.abs(F.col("_end") - F.col("coord1")))
@@ -127,11 +139,10 @@ def normalise_manta(rows: DataFrame, somatic: bool = False, require_pass: bool =
     if human:
         r = r.where(F.col("chr1").rlike("^[0-9XYM]+") & ~F.col("chr1").contains("random"))
     kind0 = F.lower(_info("SVTYPE", "([A-Z]+)"))
-    mate = r"([0-9a-zA-Z._]+):(\d+)"
-    bnd = kind0 == "bnd"
+    mate, bnd = _mate(), kind0 == "bnd"
     r = once(
-        r, kind0=kind0, chr2=F.when(bnd, F.regexp_replace(matched(F.col("alt"), mate, 1), "^chr", "")).otherwise(F.col("chr1")),
-        _end=F.when(bnd, matched(F.col("alt"), mate, 2).cast("bigint")).when(kind0 == "ins", F.col("coord1")).otherwise(
+        r, kind0=kind0, chr2=F.when(bnd, mate["chrom"]).otherwise(F.col("chr1")),
+        _end=F.when(bnd, mate["pos"]).when(kind0 == "ins", F.col("coord1")).otherwise(
             _info("END").cast("bigint")))
     if human:
         r = r.where(F.col("chr2").rlike("^[0-9XYM]+") & ~F.col("chr2").contains("random"))
@@ -182,11 +193,11 @@ def normalise_long_read(rows: DataFrame, caller: str) -> DataFrame:
         ad = F.split(F.get(ev, F.lit(1)), ",")
         ref, var = F.get(ad, F.lit(0)), F.get(ad, F.lit(1))
     kind = F.lower(_info("SVTYPE", "([A-Z]+)"))
-    mate = r"[\[\]](.+):(\d+)[\[\]]"
+    mate = _mate()
     r = once(
         _records(rows), kind=kind, ref_reads=ref.cast("bigint"), var_reads=var.cast("bigint"),
-        chr2=F.when(kind == "bnd", F.regexp_replace(matched(F.col("alt"), mate, 1), "^chr", "")).otherwise(F.col("chr1")),
-        _end=F.when(kind == "bnd", matched(F.col("alt"), mate, 2)).otherwise(_info("END")).cast("bigint"))
+        chr2=F.when(kind == "bnd", mate["chrom"]).otherwise(F.col("chr1")),
+        _end=F.when(kind == "bnd", mate["pos"]).otherwise(_info("END").cast("bigint")))
     total = F.col("ref_reads") + F.col("var_reads")
     out = r.select(
         F.col("id").alias("sv_id"), "chr1", "coord1", "chr2", F.col("_end").alias("coord2"),

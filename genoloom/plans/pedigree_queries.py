@@ -187,14 +187,35 @@ WITH b AS (SELECT * FROM ({KEPT}) k {where}), s AS (SELECT family, gene, sample,
 SELECT family, gene, chrom, pos, CASE WHEN nd = 0 OR (nd = 1 AND ud) THEN 'No' ELSE ds END AS def_com_het, CASE WHEN np = 0 OR (np = 1 AND up) THEN 'No' ELSE ps END AS pos_com_het FROM g"""
 
 
-@query("ped_12", f"WITH ch AS (SELECT * FROM ({compound('')}) c) SELECT family, gene, chrom, pos, def_com_het FROM ch WHERE def_com_het <> 'No'")
+def with_forms(kind: str) -> str:
+    """Rows of one compound-het column with the children of each form and its contents."""
+    col, text = f"{kind}_com_het", kind[0]
+    wanted = {"d": "s.m IS NOT NULL AND s.f IS NOT NULL AND b.origin <> 'either'",
+              "p": "s.e IS NOT NULL AND CASE WHEN s.m IS NOT NULL THEN b.origin <> 'father' WHEN s.f IS NOT NULL THEN b.origin <> 'mother' ELSE s.ne > 1 AND b.origin = 'either' END"}[text]
+    form = {"d": "'(M=' || s.m || ',F=' || s.f || ')'",
+            "p": "'(' || CASE WHEN s.m IS NOT NULL THEN 'M=' || s.m || ',' WHEN s.f IS NOT NULL THEN 'F=' || s.f || ',' ELSE '' END || 'AMB=' || s.e || ')'"}[text]
+    def bucket(origin: str) -> str:
+        return f"string_agg(chrom || ':' || pos, ',' ORDER BY chrom, pos) FILTER (origin = '{origin}')"
+    return f"""
+WITH ch AS (SELECT * FROM ({compound('')}) c WHERE {col} <> 'No'), b AS (SELECT * FROM ({KEPT}) k),
+ s AS (SELECT family, gene, sample, {bucket('mother')} AS m, {bucket('father')} AS f, {bucket('either')} AS e, count(*) FILTER (origin = 'either') AS ne FROM b GROUP BY 1, 2, 3),
+ w AS (SELECT b.family, b.gene, b.chrom, b.pos, {form} AS form, string_agg(b.sample, ',' ORDER BY b.sample) AS who FROM b JOIN s ON b.family = s.family AND b.gene = s.gene AND b.sample = s.sample WHERE {wanted} GROUP BY 1, 2, 3, 4, 5)
+SELECT ch.family, ch.gene, ch.chrom, ch.pos, {col}, string_agg(who || form, ',' ORDER BY form) AS {col}_forms FROM ch JOIN w ON ch.family = w.family AND ch.gene = w.gene AND ch.chrom = w.chrom AND ch.pos = w.pos GROUP BY 1, 2, 3, 4, 5"""
+
+
+def shown_forms(t, col: str):
+    hets = pd.compound_hets(kept(t), contents=True)
+    return hets.where(F.col(col) != "No").select("family", "gene", "chrom", "pos", col, f"{col}_forms")
+
+
+@query("ped_12", with_forms("def"))
 def ped_12(t):
-    return pd.compound_hets(kept(t)).where("def_com_het <> 'No'").select("family", "gene", "chrom", "pos", "def_com_het")
+    return shown_forms(t, "def_com_het")
 
 
-@query("ped_13", f"WITH ch AS (SELECT * FROM ({compound('')}) c) SELECT family, gene, chrom, pos, pos_com_het FROM ch WHERE pos_com_het <> 'No'")
+@query("ped_13", with_forms("pos"))
 def ped_13(t):
-    return pd.compound_hets(kept(t)).where("pos_com_het <> 'No'").select("family", "gene", "chrom", "pos", "pos_com_het")
+    return shown_forms(t, "pos_com_het")
 
 
 APPENDED = f"""

@@ -126,7 +126,8 @@ SELECT DISTINCT chrom, pos, ref, substr('ACGT', CAST(1 + (pos %% 4) AS INT), 1)
  CAST((pos * 7) %% 1000 AS DOUBLE) / 1000 AS freq FROM {fx_call} WHERE qual >= 20
 """.replace("%%", "%")
 
-# Pileup loci built from known read counts, so every expected token count is a column.
+# Pileup loci built from known read counts, so every expected token count is a column. The hint, a
+# comment elsewhere, spreads the counts over the tasks before they are spelled out as read strings.
 VIEWS["fx_pileup"] = """
 SELECT chrom, pos, ref, alt, alt2, n_ref, n_alt, n_alt2, n_ins, n_del, n_star, n_start, n_end, depth,
  repeat('.', n_ref) || repeat(alt, n_alt) || repeat(lower(alt2), n_alt2) || repeat('.+2AG', n_ins) || repeat(',-1T', n_del)
@@ -135,7 +136,7 @@ SELECT chrom, pos, ref, alt, alt2, n_ref, n_alt, n_alt2, n_ins, n_del, n_star, n
  substr(repeat('T0,T1,T2,', 25), 1, CASE WHEN depth = 0 THEN 0 ELSE depth * 3 - 1 END) AS tags
 FROM (SELECT *, CAST(n_ref + n_alt + n_alt2 + n_ins + n_del + n_star + n_start + n_end AS INT) AS depth,
   CAST(least(k5, n_ref + n_alt + n_alt2 + n_ins + n_del + n_star + n_start + n_end) AS INT) AS n_q2
- FROM (SELECT CAST(1 + o_custkey % 22 AS STRING) AS chrom, CAST(1000 + o_orderkey * 40 AS BIGINT) AS pos,
+ FROM (SELECT /*+ REPARTITION(chrom, pos) */ CAST(1 + o_custkey % 22 AS STRING) AS chrom, CAST(1000 + o_orderkey * 40 AS BIGINT) AS pos,
    substr('ACGT', CAST(1 + o_orderkey % 4 AS INT), 1) AS ref, substr('CGTA', CAST(1 + o_orderkey % 4 AS INT), 1) AS alt,
    substr('GTAC', CAST(1 + o_orderkey % 4 AS INT), 1) AS alt2, CAST(CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE o_orderkey % 23 END AS INT) AS n_ref,
    CAST(CASE WHEN o_custkey % 5 = 0 THEN 0 ELSE o_custkey % 9 END AS INT) AS n_alt, CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 4 ELSE 0 END AS INT) AS n_alt2,
