@@ -144,10 +144,10 @@ def cluster_versus_rest(geno: DataFrame, cluster: DataFrame, keys: Sequence[str]
     )
 
 
-def median_by(df: DataFrame, keys: Sequence[str], value: str, chunk_width: float = 64) -> DataFrame:
+def median_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """AGG-11: exact median; an even count averages the middle pair."""
     n = F.col("n")
-    got = order_statistics(df, keys, value, {"_a": F.floor((n + 1) / 2), "_b": F.floor(n / 2) + 1}, chunk_width)
+    got = order_statistics(df, keys, value, {"_a": F.floor((n + 1) / 2), "_b": F.floor(n / 2) + 1})
     return got.select(*keys, ((F.col("_a") + F.col("_b")) / 2).alias("median"))
 
 
@@ -185,11 +185,11 @@ def five_numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 PERCENTILES = (0.01, 0.05, 0.10, 0.16, 0.84, 0.90, 0.95, 0.99)
 
 
-def describe(df: DataFrame, keys: Sequence[str], value: str, chunk_width: float = 64) -> DataFrame:
+def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """AGG-13: n, mean, median, mode (smallest of ties), standard deviation, range and percentiles.
 
     Percentiles interpolate between the two nearest values; all order statistics come from one
-    scan of the counted distinct values.
+    selection among the counted distinct values.
     """
     c, n = F.col(value), F.col("n")
     points = {"median": 0.5, **{f"p{round(p * 100):02d}": p for p in PERCENTILES}}
@@ -197,7 +197,7 @@ def describe(df: DataFrame, keys: Sequence[str], value: str, chunk_width: float
     for name, p in points.items():
         at = (n - 1) * F.lit(p)
         ranks[f"_{name}a"], ranks[f"_{name}b"] = F.floor(at) + 1, F.ceil(at) + 1
-    got = order_statistics(df, keys, value, ranks, chunk_width)
+    got = order_statistics(df, keys, value, ranks)
 
     def between(name: str, p: float) -> Column:
         lo, hi = F.col(f"_{name}a"), F.col(f"_{name}b")

@@ -92,21 +92,53 @@ def run_ids(df: DataFrame, part: Sequence[str], order: Sequence[str], state: Seq
     )
 
 
-def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column],
-                     chunk_width: float = 64) -> DataFrame:
-    """Exact k-th smallest values per group.
+# Splitters cut a group's distinct values into this many buckets of about equal size.
+SPLITS = 64
 
-    ``ranks`` maps output names to 1-based rank expressions over the group size ``n``. Values
-    are first counted per distinct value with map-side combine, so a group costs its number of
-    distinct values, and the cumulative counts are scanned in chunks of ``chunk_width`` values.
+
+def _narrow(values: DataFrame, targets: DataFrame, group: Sequence[str], value: str, bucket: str) -> tuple[DataFrame, DataFrame]:
+    """Cut each group at its own quantiles and keep the buckets that hold a wanted rank.
+
+    Returns the values that are left, with their ``bucket``, and the targets by bucket, their ranks
+    counted from the bucket's first value. A bucket is known by the splitters below a value, so
+    equal values share one; how well the splitters fit decides balance, never the result.
+    """
+    cuts = values.groupBy(*group).agg(
+        F.percentile_approx(value, [i / SPLITS for i in range(1, SPLITS)], 16 * SPLITS).alias("_cuts"))
+    placed = values.join(cuts, list(group)).withColumn(
+        bucket, F.size(F.filter("_cuts", lambda x: x < F.col(value)))).drop("_cuts")
+    # At most SPLITS rows a group.
+    below = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*group, bucket).agg(F.sum("_n").alias("_sum")).withColumn(
+        "_before", F.coalesce(F.sum("_sum").over(below), F.lit(0)))
+    inside = F.filter("_targets", lambda t: (t["rank"] > F.col("_before")) & (t["rank"] <= F.col("_before") + F.col("_sum")))
+    wanted = counts.join(targets, list(group)).withColumn("_targets", F.transform(
+        inside, lambda t: F.struct(t["name"].alias("name"), (t["rank"] - F.col("_before")).alias("rank"))))
+    wanted = wanted.where(F.size("_targets") > 0).select(*group, bucket, "_targets")
+    return placed.join(wanted.drop("_targets"), [*group, bucket], "left_semi"), wanted
+
+
+def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column], rounds: int = 1) -> DataFrame:
+    """Exact k-th smallest values per group, and the group's size ``n``.
+
+    ``ranks`` maps output names to 1-based rank expressions over ``n``; a rank outside 1 to ``n``
+    gives null. Values are first counted per distinct value with map-side combine, so a group
+    costs its number of distinct values. Selection goes by splitters: every round keeps about one
+    ``SPLITS``-th of the values for each rank, whatever their range and spread, and only what is
+    left after ``rounds`` is ordered.
     """
     keys = list(keys)
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    cum = running_sum(counted, keys, [F.col(value)], F.floor(F.col(value) / chunk_width), "_n", "_upto")
     sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("n"))
-    placed = cum.join(sizes, keys)
-    picks = [
-        F.max(F.when((rank > F.col("_upto") - F.col("_n")) & (rank <= F.col("_upto")), F.col(value))).alias(name)
-        for name, rank in ranks.items()
-    ]
-    return placed.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
+    targets = sizes.select(*keys, F.array(*[
+        F.struct(F.lit(name).alias("name"), rank.cast("bigint").alias("rank")) for name, rank in ranks.items()]).alias("_targets"))
+    left, group = counted, keys
+    for i in range(rounds):
+        left, targets = _narrow(left, targets, group, value, f"_bucket{i}")
+        group = [*group, f"_bucket{i}"]
+    upto = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    found = left.withColumn("_upto", F.sum("_n").over(upto)).join(targets, group).select(
+        *keys, value, F.explode(F.filter("_targets", lambda t: (
+            t["rank"] > F.col("_upto") - F.col("_n")) & (t["rank"] <= F.col("_upto")))["name"]).alias("_name"))
+    picks = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col(value))).alias(name) for name in ranks])
+    return sizes.join(picks, keys, "left")

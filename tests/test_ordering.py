@@ -37,3 +37,20 @@ def test_sort_by_text_column(spark):
     cells = [("9", "2", 5), ("10", "X", 1), ("N/A", "1", 7), (None, "1", 3), ("0", "3", 1), ("-1", "1", 1), ("text", "1", 2)]
     got = rp.sort_by_column(spark.createDataFrame(cells, "v string, chrom string, start long"), "v").collect()
     assert [(r.v, r["rank"]) for r in got] == [("10", 1), ("9", 2), ("0", 3), ("text", 4), (None, 5), ("N/A", 6), ("-1", 7)]
+
+
+def test_order_statistics_by_splitters_are_exact(spark):
+    from genoloom.operators.chunks import order_statistics
+
+    draw = random.Random(5)
+    rows = [(k, v) for k in "ab" for v in [draw.random() for _ in range(700)] + [0.25] * 400 + [1e9, -3.0, None]] + [("c", 7.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    n = F.col("n")
+    ranks = {"low": F.lit(1), "mid": F.floor((n + 1) / 2), "top": n, "none": n + 1}
+    want = {}
+    for k in "abc":
+        v = sorted(x for g, x in rows if g == k and x is not None)
+        want[k] = (len(v), v[0], v[(len(v) + 1) // 2 - 1], v[-1], None)
+    for rounds in (1, 2):
+        got = order_statistics(df, ["k"], "v", ranks, rounds)
+        assert {r.k: tuple(r)[1:] for r in got.collect()} == want
