@@ -5,24 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoloom.functions.stats import count_if, ratio
+from genoloom.functions.stats import ratio
 from genoloom.operators import sets
-from genoloom.operators.intervals import locus_pairs, overlap_any
+from genoloom.operators.sweep import tag_overlaps
 
 
-def truth_comparison(calls: DataFrame, regions: DataFrame, truth: DataFrame, by: str = "caller") -> DataFrame:
+def truth_comparison(calls: DataFrame, regions: DataFrame, truth: DataFrame, by: str = "caller",
+                     shared: bool | None = None) -> DataFrame:
     """ACC-1: calls in confident regions, matches with the truth of their type, false rates in percent.
 
     Matching is by overlap within a variant type; the false negative rate is relative to the
-    number of truth variants of the type.
+    number of truth variants of the type. With ``shared`` (ACC-2) only calls count whose place and
+    type another caller also reports (True) or one caller alone reports (False). Calls are read
+    once, reduced to counted loci, and one sweep marks both regions and truth.
     """
-    inside = overlap_any(calls, regions)
     at = ["chrom", "var_type", "start", "end"]
-    loci = inside.select(*at).distinct()
-    spans = truth.select(*at).distinct()
-    hit = locus_pairs(loci, spans, keys=("chrom", "var_type")).select(*at).distinct().withColumn("_hit", F.lit(1))
-    per = inside.join(hit, at, "left").groupBy(by, "var_type").agg(
-        F.count("*").alias("in_regions"), count_if(F.col("_hit") == 1).alias("in_truth"))
+    loci = calls.groupBy(by, *at).agg(F.count("*").alias("_n"))
+    if shared is not None:
+        # One entry a caller, so the list is bounded by the callers.
+        places = loci.groupBy(*at).agg(F.collect_list(F.struct(by, "_n")).alias("_callers"))
+        named = F.size(F.filter("_callers", lambda x: x[by].isNotNull()))
+        loci = places.where(named > 1 if shared else named == 1).select(*at, F.inline("_callers"))
+    tagged = tag_overlaps(loci, {"_inside": (regions, ()), "_true": (truth, ("var_type",))})
+    per = tagged.where("_inside").groupBy(by, "var_type").agg(
+        F.sum("_n").alias("in_regions"), F.sum(F.when(F.col("_true"), F.col("_n")).otherwise(0)).alias("in_truth"))
     totals = truth.groupBy("var_type").agg(F.count("*").alias("truth_total"))
     return per.join(totals, "var_type", "left").withColumn(
         "false_positive", 100 - F.col("in_truth") / F.col("in_regions") * 100).withColumn(

@@ -311,6 +311,33 @@ def exon_type(df: DataFrame) -> DataFrame:
     return df.withColumn("exon_type", F.coalesce(coding, splice, F.when(outside, "N/A"), F.lit("SYN")))
 
 
+def _coding_halo(exons: DataFrame) -> DataFrame:
+    """``coding_offsets`` with the two coding positions before (``b1, b2``) and after (``a1, a2``) each exon.
+
+    ``first`` and ``step`` give the exon in reading direction. A codon that crosses one or two exon
+    borders is thus placed from the row of any of its exons.
+    """
+    minus = F.col("strand") == "-"
+    lone = coding_offsets(exons).select(
+        "*", F.when(minus, F.col("end")).otherwise(F.col("start")).alias("first"),
+        F.when(minus, F.col("start")).otherwise(F.col("end")).alias("last"), F.when(minus, -1).otherwise(1).alias("step"),
+        (F.col("end") - F.col("start") + 1).alias("len"))
+    order = Window.partitionBy("chrom", "gene").orderBy("offset")
+
+    def two(shift, near: str, inward: int) -> tuple[Column, Column]:
+        at, size = shift(near, 1).over(order), shift("len", 1).over(order)
+        return at, F.when(size > 1, at + shift("step", 1).over(order) * inward).otherwise(shift(near, 2).over(order))
+
+    (b1, b2), (a1, a2) = two(F.lag, "last", -1), two(F.lead, "first", 1)
+    return lone.select("*", b1.alias("b1"), b2.alias("b2"), a1.alias("a1"), a2.alias("a2")).drop("last")
+
+
+def _codon_texts(named: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Whole codons from rows of ``pos`` and ``base``: their text in genome order and their members ``c``."""
+    codons = named.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("c")).where(F.size("c") == 3)
+    return codons.select(*keys, F.concat(*[F.col("c")[i]["base"] for i in range(3)]).alias("codon"), "c")
+
+
 def residue_table(exons: DataFrame, bases: DataFrame) -> DataFrame:
     """ANN-17: coding bases with residue number, codon (in genome order), place in it and strand.
 
@@ -322,14 +349,42 @@ def residue_table(exons: DataFrame, bases: DataFrame) -> DataFrame:
         F.col("aa_number") < F.ceil(F.col("cds_length") / 3))
     named = placed.join(bases.select("chrom", "pos", "base"), ["chrom", "pos"]).select(
         "chrom", "pos", "gene", "strand", "aa_number", "base")
-    codons = named.groupBy("chrom", "gene", "aa_number", "strand").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("c")).where(F.size("c") == 3)
-    text = F.concat(*[F.col("c")[i]["base"] for i in range(3)])
-    out = codons.select("chrom", "gene", "aa_number", "strand", text.alias("codon"), F.posexplode("c").alias("place", "x"))
+    out = _codon_texts(named, ["chrom", "gene", "aa_number", "strand"]).select(
+        "chrom", "gene", "aa_number", "strand", "codon", F.posexplode("c").alias("place", "x"))
     return out.select("chrom", F.col("x.pos").alias("pos"), "gene", "strand", "aa_number", "codon",
                       F.col("x.base").alias("ref_base"), "place")
 
 
+def called_residues(calls: DataFrame, exons: DataFrame, bases: DataFrame, bin_width: int = 1000) -> DataFrame:
+    """ANN-18: the rows of ``residue_table`` at called positions, without spreading the coding bases.
+
+    A called position finds its exon by interval; the exon's offset gives the residue, and the
+    residue's three places give three positions, across exon borders too. At most three rows of
+    the base table are fetched per position and gene.
+    """
+    from genoloom.operators.intervals import locus_pairs
+
+    sites = calls.select("chrom", F.col("pos").alias("start"), F.col("pos").alias("end")).distinct()
+    hits = locus_pairs(sites, _coding_halo(exons), bin_width=bin_width, longest=0)
+    n = F.col("offset") + (F.col("start") - F.col("first")) * F.col("step")
+    placed = hits.withColumn("aa_number", F.floor(n / 3) + 1).where(F.col("aa_number") < F.ceil(F.col("cds_length") / 3))
+
+    def position(i: int) -> Column:
+        d = (F.col("aa_number") - 1) * 3 + i - F.col("offset")
+        over = d - F.col("len")
+        return F.when(d == -1, F.col("b1")).when(d == -2, F.col("b2")).when(over == 0, F.col("a1")).when(
+            over == 1, F.col("a2")).otherwise(F.col("first") + F.col("step") * d)
+
+    wanted = placed.select("chrom", F.col("start").alias("site"), "gene", "strand", "aa_number",
+                           F.explode(F.array(*[position(i) for i in range(3)])).alias("pos"))
+    named = wanted.join(bases.select("chrom", "pos", "base"), ["chrom", "pos"])
+    # Partitioned by place, so that the grouping and a join with the calls need no exchange of their own.
+    codons = _codon_texts(named.repartition("chrom", "site"), ["chrom", "site", "gene", "aa_number", "strand"])
+    place = F.array_position(F.transform("c", lambda x: x["pos"]), F.col("site")).cast("int") - 1
+    return codons.select("chrom", F.col("site").alias("pos"), "gene", "strand", "aa_number", "codon",
+                         F.get("c", place)["base"].alias("ref_base"), place.alias("place"))
+
+
 def recompute_residue(calls: DataFrame, table: DataFrame) -> DataFrame:
     """ANN-18: put the called base into its codon and translate; stop, unchanged and mismatching rows drop out."""
     j = calls.join(table, ["chrom", "pos"]).where(F.col("ref") == F.col("ref_base"))

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 # thousand chunks, so neither level of the scan can grow with the number of rows.
 CHUNK = 1 << 18
 
+# Chunks that one task adds up in a scan without keys.
+TREE = 1 << 10
+
 
 def once(df: DataFrame, **cols: Column) -> DataFrame:
     """Add columns through a generator, which the optimizer does not inline.
@@ -37,16 +40,37 @@ def with_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame
     return df.join(totals, list(keys))
 
 
+def _sums_before(sums: DataFrame) -> DataFrame:
+    """``_before``, the sum of all earlier chunks, for a scan that has no keys.
+
+    Chunks are gathered by ``TREE``; a window adds up inside a gathering, and the sums of the
+    gatherings before it come as one array. No task sees all chunks.
+    """
+    wide = F.floor(F.col("_chunk") / TREE)
+    inside = Window.partitionBy("_wide").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    tops = sums.groupBy(wide.alias("_wide")).agg(F.sum("_sum").alias("_sum")).agg(
+        F.collect_list(F.struct("_wide", "_sum"))).scalar()
+    upper = F.aggregate(F.filter("_tops", lambda x: x["_wide"] < F.col("_wide")), F.lit(0).cast("bigint"),
+                        lambda acc, x: acc + x["_sum"])
+    return sums.withColumn("_wide", wide).withColumn("_inside", F.coalesce(F.sum("_sum").over(inside), F.lit(0))).withColumn(
+        "_tops", tops).select("_chunk", (F.col("_inside") + upper).alias("_before"))
+
+
 def running_sum(df: DataFrame, part: Sequence[str], order: Sequence[Column], chunk: Column, value: str,
                 out: str) -> DataFrame:
-    """Inclusive running sum of ``value``; ``chunk`` must not decrease along ``order``."""
+    """Inclusive running sum of ``value``; ``chunk`` must not decrease along ``order``.
+
+    Without keys in ``part`` the chunk must be an integer and the value integral; the chunks are then
+    added up as a tree.
+    """
     cut = df.withColumn("_chunk", chunk).repartition(*part, "_chunk")
     within = Window.partitionBy(*part, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*part, "_chunk").agg(F.sum(value).alias("_sum"))
-        .withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    )
+    sums = cut.groupBy(*part, "_chunk").agg(F.sum(value).alias("_sum"))
+    if part:
+        before = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    else:
+        offsets = _sums_before(sums)
     return (
         cut.withColumn("_run", F.sum(value).over(within))
         .join(offsets, [*part, "_chunk"])

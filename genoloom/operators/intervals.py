@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from genoloom.functions.stats import sorted_text
 from genoloom.operators.chunks import CHUNK, run_ids, with_totals
+from genoloom.operators.sweep import tag_overlaps
 
 BIN = 1000
 LEVELS = 6
@@ -228,16 +229,16 @@ def overlap_any(ref: DataFrame, coord: DataFrame, mode: str = "any", max_distanc
                 longest: int | None = None) -> DataFrame:
     """Ref rows with (``left_semi``) or without (``left_anti``, OVL-8) any match.
 
-    For plain overlap the annotation is merged into disjoint intervals first: whether a locus is
-    hit does not change, and a stack of annotation at one place cannot multiply the pairs.
+    Plain overlap is a sweep over the distinct loci, so neither long intervals nor a stack of
+    annotation at one place multiplies rows; the other modes look at pairs.
     """
     keys = list(keys)
     loci = ref.select(*keys, "start", "end").distinct()
     if mode == "any" and max_distance is None:
-        spans = merge_intervals(coord.select(*keys, "start", "end"), keys)
+        hit = tag_overlaps(loci, {"_hit": (coord, ())}, keys).where("_hit").drop("_hit")
     else:
         spans = coord.select(*keys, "start", "end").distinct()
-    hit = locus_pairs(loci, spans, mode, max_distance, keys, bin_width, longest).select(*keys, "start", "end").distinct()
+        hit = locus_pairs(loci, spans, mode, max_distance, keys, bin_width, longest).select(*keys, "start", "end").distinct()
     return ref.join(hit, [*keys, "start", "end"], how)
 
 

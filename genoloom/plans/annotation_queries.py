@@ -208,4 +208,4 @@ WITH r AS (SELECT * FROM ({RESIDUES}) q), j AS (SELECT v.*, r.gene, r.aa_number,
  a AS (SELECT *, {CODE.format(c='d0')} AS aa_ref, {CODE.format(c='d1')} AS aa_new FROM o)
 SELECT chrom, pos, ref, alt, gene, aa_number, aa_ref, aa_new FROM a WHERE aa_new <> '_' AND aa_new <> aa_ref""")
 def ann_18(t):
-    return an.recompute_residue(t.fx_csnv, an.residue_table(t.fx_exon, t.fx_base))
+    return an.recompute_residue(t.fx_csnv, an.called_residues(t.fx_csnv, t.fx_exon, t.fx_base))

@@ -277,12 +277,12 @@ def shared_sql(op: str) -> str:
 
 @query("acc_2", shared_sql("> 1"))
 def acc_2(t):
-    return ac.truth_comparison(ac.split_by_sharing(t.sql(CALLERS), True), regions(t), t.sql(TRUTH))
+    return ac.truth_comparison(t.sql(CALLERS), regions(t), t.sql(TRUTH), shared=True)
 
 
 @query("acc_2_single", shared_sql("= 1"))
 def acc_2_single(t):
-    return ac.truth_comparison(ac.split_by_sharing(t.sql(CALLERS), False), regions(t), t.sql(TRUTH))
+    return ac.truth_comparison(t.sql(CALLERS), regions(t), t.sql(TRUTH), shared=False)
 
 
 @query("acc_3", f"""
