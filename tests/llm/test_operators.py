@@ -541,3 +541,29 @@ def test_token_store_round_trip(spark, docs, empty, tmp_path):
     assert sorted(x.tolist() for x in token_store.read_ids(spark, path, 7)) == sorted(x.tolist() for r, x in zip(rows, ids, strict=True) if r[0] == 7)
     token_store.write_store(empty, str(tmp_path / "none"))
     assert token_store.read_documents(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_license_notices_reworded(spark):
+    cases = [
+        ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, "
+         "provided that the above copyright notice and this permission notice appear in all copies.", "isc"),
+        ("Permission to use, copy, modify and distribute this software and its documentation for any purpose and without fee is "
+         "hereby granted", ""),
+        ("All pictures are licensed under CC BY 4.0.", "cc-by"), ("Text licensed under CC BY-SA 4.0", "cc-by-sa"),
+        ("licensed under CC BY-NC 4.0", "cc-by-nc"), ("# SPDX-License-Identifier: BSD-3-Clause", "bsd"),
+        ("// SPDX-License-Identifier: Apache-2.0 OR MIT", "apache,mit"), ("licence: Apache-2.0 OR MIT", "apache,mit"),
+        ("license = \"MIT OR Apache-2.0\"", "apache,mit"), ("Licensed under the EUPL, version 1.2 or later", "eupl"),
+        ("SPDX-License-Identifier: EUPL-1.2", "eupl"), ("spdx license", ""), ("we used apache 2 times, 0 or more", ""),
+        ("Redistribution and use in source and binary forms, kindly and with or without modification, are permitted provided that "
+         "the following conditions are met", "bsd"),
+        ("Redistribution and the use in source and binary forms, with or without modification, are permitted", ""),
+        ("licensed " * 500 + "under CC BY 4.0 " + "by 4 0 cc " * 500, "cc-by"),
+        ("Released (as every part of this work) under the MIT License", "mit")]
+    rows = [(k, t) for k, (t, _) in enumerate(cases)]
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(cases[k][0][:60], got[k]) for k in got] == [(cases[k][0][:60], cases[k][1]) for k in got]
+
+
+def test_license_verification_shuffles_no_words(spark, docs):
+    plan = licenses.notices(licenses.licence_words(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Python" not in plan
