@@ -12,6 +12,7 @@ from genoloom.plans.registry import query
 from genoloom.session import shared_folder
 from genoloom.sources import readers as rd
 from genoloom.sources import sinks as sk
+from genoloom.sources import store as st
 
 
 @query("seq_1", """
@@ -145,6 +146,20 @@ def snk_6(t):
     return t.spark.read.parquet(new).select("run_id", "id", "filter_name", "filterpass")
 
 
+@query("snk_6_store", """
+SELECT id % 10 AS run_id, id, filter_name, filterpass FROM fx_filter WHERE NOT (id % 10 = 3 AND filter_name = 'filter_b')
+UNION ALL SELECT run_id, id, filter_name, filterpass FROM (SELECT id % 10 AS run_id, id, filter_name, filterpass FROM fx_filter) f WHERE run_id = 3 AND filter_name = 'filter_b' AND filterpass = 1""")
+def snk_6_store(t):
+    # One filter of one run is appended, removed, and appended anew with its passing rows only.
+    root = shared_folder(t.spark)
+    rows = t.fx_filter.selectExpr("id % 10 AS run_id", "id", "filter_name", "filterpass")
+    st.create_store(t.spark, root, rows.schema, ["run_id", "filter_name"])
+    st.append_rows(rows, root, ["id"])
+    st.remove_rows(t.spark, root, {"run_id": 3, "filter_name": "filter_b"})
+    st.append_rows(rows.where("run_id = 3 AND filter_name = 'filter_b' AND filterpass = 1"), root, ["id"])
+    return st.read_store(t.spark, root)
+
+
 @query("snk_7", "SELECT chrom, pos FROM fx_call WHERE qual < 40 UNION SELECT chrom, pos FROM fx_call WHERE qual >= 20")
 def snk_7(t):
     path = shared_folder(t.spark)
