@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from genoloom.functions.sequence import amino, revcomp
 from genoloom.functions.stats import sorted_text
 from genoloom.functions.text import attr_map, matched
-from genoloom.operators.chunks import once
+from genoloom.operators.chunks import merged, once
 from genoloom.operators.intervals import overlap_matches
 
 VARIANT = ("chrom", "start", "end", "bases")
@@ -151,7 +151,7 @@ def residue_position(calls: DataFrame, exons: DataFrame, bin_width: int = 1000)
     placed = at.select(
         "chrom", "pos", "gene", "strand", (F.floor(_coding_base() / 3) + 1).alias("aa_pos"),
         (F.floor(F.col("cds_length") / 3) - 1).alias("aa_len"))
-    return calls.join(placed, ["chrom", "pos"])
+    return calls.join(merged(placed), ["chrom", "pos"])
 
 
 # Predictor names of variants: insertion, deletion, substitution of up to three bases.
@@ -235,7 +235,7 @@ def codon_groups(calls: DataFrame, bases: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("pos", "ref", "alt"))).alias("m")).where(F.size("m") > 1)
     gap = (F.size("m") == 2) & (F.col("m")[1]["pos"] - F.col("m")[0]["pos"] == 2)
     wide = grouped.withColumn("_mid", F.when(gap, F.col("m")[0]["pos"] + 1)).join(
-        bases.select("chrom", F.col("pos").alias("_mid"), F.col("base").alias("_base")), ["chrom", "_mid"], "left")
+        merged(bases.select("chrom", F.col("pos").alias("_mid"), F.col("base").alias("_base"))), ["chrom", "_mid"], "left")
 
     def text(part: str) -> Column:
         bridged = F.concat(F.col("m")[0][part], F.coalesce("_base", F.lit("N")), F.col("m")[1][part])
@@ -347,7 +347,7 @@ def residue_table(exons: DataFrame, bases: DataFrame) -> DataFrame:
     spread = coding_offsets(exons).withColumn("pos", F.explode(F.sequence("start", "end")))
     placed = spread.withColumn("n", _coding_base()).withColumn("aa_number", F.floor(F.col("n") / 3) + 1).where(
         F.col("aa_number") < F.ceil(F.col("cds_length") / 3))
-    named = placed.join(bases.select("chrom", "pos", "base"), ["chrom", "pos"]).select(
+    named = placed.join(merged(bases.select("chrom", "pos", "base")), ["chrom", "pos"]).select(
         "chrom", "pos", "gene", "strand", "aa_number", "base")
     out = _codon_texts(named, ["chrom", "gene", "aa_number", "strand"]).select(
         "chrom", "gene", "aa_number", "strand", "codon", F.posexplode("c").alias("place", "x"))
@@ -377,7 +377,7 @@ def called_residues(calls: DataFrame, exons: DataFrame, bases: DataFrame, bin_wi
 
     wanted = placed.select("chrom", F.col("start").alias("site"), "gene", "strand", "aa_number",
                            F.explode(F.array(*[position(i) for i in range(3)])).alias("pos"))
-    named = wanted.join(bases.select("chrom", "pos", "base"), ["chrom", "pos"])
+    named = wanted.join(merged(bases.select("chrom", "pos", "base")), ["chrom", "pos"])
     # Partitioned by place, so that the grouping and a join with the calls need no exchange of their own.
     codons = _codon_texts(named.repartition("chrom", "site"), ["chrom", "site", "gene", "aa_number", "strand"])
     place = F.array_position(F.transform("c", lambda x: x["pos"]), F.col("site")).cast("int") - 1
@@ -387,7 +387,7 @@ def called_residues(calls: DataFrame, exons: DataFrame, bases: DataFrame, bin_wi
 
 def recompute_residue(calls: DataFrame, table: DataFrame) -> DataFrame:
     """ANN-18: put the called base into its codon and translate; stop, unchanged and mismatching rows drop out."""
-    j = calls.join(table, ["chrom", "pos"]).where(F.col("ref") == F.col("ref_base"))
+    j = calls.join(merged(table), ["chrom", "pos"]).where(F.col("ref") == F.col("ref_base"))
     changed = F.overlay("codon", "alt", F.col("place") + 1)
 
     def residue(codon: Column) -> Column:

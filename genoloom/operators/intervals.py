@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoloom.functions.stats import sorted_text
-from genoloom.operators.chunks import CHUNK, run_ids, with_totals
+from genoloom.operators.chunks import CHUNK, merged, run_ids, with_totals
 from genoloom.operators.sweep import tag_overlaps
 
 BIN = 1000
@@ -99,7 +99,7 @@ def locus_pairs(loci: DataFrame, coord: DataFrame, mode: str = "any", max_distan
     right = coord.withColumnRenamed("start", "c_start").withColumnRenamed("end", "c_end")
     if mode == "exact":
         hit = right.withColumn("start", F.col("c_start")).withColumn("end", F.col("c_end"))
-        return loci.join(hit, [*keys, "start", "end"])
+        return loci.join(merged(hit), [*keys, "start", "end"])
     if max_distance is not None and mode == "any":
         d = max(max_distance, 1)
         near = [F.lit(-1), F.lit(0), F.lit(1)]
@@ -111,7 +111,7 @@ def locus_pairs(loci: DataFrame, coord: DataFrame, mode: str = "any", max_distan
             .withColumn("_eb", F.floor(F.col("c_end") / d) + F.col("_de"))
             .drop("_ds", "_de")
         )
-        both = left.join(spread, [*keys, "_sb", "_eb"]).drop("_sb", "_eb")
+        both = left.join(merged(spread), [*keys, "_sb", "_eb"]).drop("_sb", "_eb")
         return both.where(_residual(mode, max_distance))
 
     # Levels in use on each side: one-row aggregates read as scalar subqueries.
@@ -137,7 +137,7 @@ def locus_pairs(loci: DataFrame, coord: DataFrame, mode: str = "any", max_distan
     ).drop("_own", "_theirs").withColumnsRenamed({"start": "c_start", "end": "c_end"})
     home = F.expr(f"greatest(start, c_start) div {_widths(bin_width, '_code')}")
     return (
-        left.join(spread, [*keys, "_code", "_bin"])
+        left.join(merged(spread), [*keys, "_code", "_bin"])
         .where(_residual(mode, max_distance) & (F.col("_bin") == home))
         .drop("_code", "_bin")
     )
@@ -149,7 +149,7 @@ def overlap_pairs(ref: DataFrame, coord: DataFrame, mode: str = "any", max_dista
     keys = list(keys)
     loci = ref.select(*keys, "start", "end").distinct()
     pairs = locus_pairs(loci, coord, mode, max_distance, keys, bin_width, longest)
-    return ref.join(pairs, [*keys, "start", "end"])
+    return ref.join(merged(pairs), [*keys, "start", "end"])
 
 
 def mark_duplicates(coord: DataFrame, name: str = "name") -> DataFrame:
@@ -216,9 +216,9 @@ def overlap_matches(ref: DataFrame, coord: DataFrame, name: str = "name", mode:
         *keys, "start", "end", F.array_join(F.array_sort("_names"), sep).alias("matches"),
         F.size("_names").cast("bigint").alias("n_matches"))
     if keep_unmatched is None:
-        return ref.join(per_locus, [*keys, "start", "end"])
+        return ref.join(merged(per_locus), [*keys, "start", "end"])
     return (
-        ref.join(per_locus, [*keys, "start", "end"], "left")
+        ref.join(merged(per_locus), [*keys, "start", "end"], "left")
         .withColumn("matches", F.coalesce("matches", F.lit(keep_unmatched)))
         .withColumn("n_matches", F.coalesce("n_matches", F.lit(0)))
     )
@@ -239,7 +239,7 @@ def overlap_any(ref: DataFrame, coord: DataFrame, mode: str = "any", max_distanc
     else:
         spans = coord.select(*keys, "start", "end").distinct()
         hit = locus_pairs(loci, spans, mode, max_distance, keys, bin_width, longest).select(*keys, "start", "end").distinct()
-    return ref.join(hit, [*keys, "start", "end"], how)
+    return ref.join(merged(hit), [*keys, "start", "end"], how)
 
 
 def overlap_unmatched(ref: DataFrame, coord: DataFrame, **kw) -> DataFrame:
@@ -273,7 +273,7 @@ def genes_at_points(points: DataFrame, exons: DataFrame, splice: int = 10, colum
     loci = points.select("chrom", "start", "end").distinct()
     pairs = locus_pairs(loci, extents, longest=0)
     per_locus = pairs.groupBy("chrom", "start", "end").agg(*[sorted_text(F.col(c)).alias(c) for c in columns])
-    return points.join(per_locus, ["chrom", "start", "end"], "left")
+    return points.join(merged(per_locus), ["chrom", "start", "end"], "left")
 
 
 def tool_comparison(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
