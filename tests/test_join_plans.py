@@ -21,3 +21,10 @@ def test_spread_sides_are_not_broadcast(spark, capsys, name):
     found = plan(spark, capsys, name)
     assert "SortMergeJoin" in found
     assert "BroadcastHashJoin" not in found
+
+
+@pytest.mark.parametrize("name", ["ped_3", "ped_5", "rpt_13", "cov_1", "ann_17"])
+def test_rows_are_dealt_out_before_they_are_multiplied(spark, capsys, name):
+    found = plan(spark, capsys, name)
+    # Read upwards: the deepest operators come last.
+    assert "hashpartitioning(p_partkey" in found[found.index("Generate"):]
