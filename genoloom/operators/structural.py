@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from genoloom.functions.stats import count_if, sorted_text
 from genoloom.functions.text import matched
 from genoloom.operators import components, dense
-from genoloom.operators.chunks import once, with_totals
+from genoloom.operators.chunks import merged, once, with_totals
 from genoloom.operators.intervals import locus_pairs
 from genoloom.operators.ordering import with_rank
+from genoloom.session import settle
 
 SV_COLUMNS = ("sv_id", "chr1", "coord1", "chr2", "coord2", "sv_type", "length", "caller", "qual", "pe", "sr")
 
@@ -235,7 +236,7 @@ def population_match(sv: DataFrame, population: DataFrame, distance: int) -> Dat
     loci = spans.select(*keys, "start", "end").distinct()
     pairs = locus_pairs(loci, population.select(*keys, "start", "end", "entry").distinct(), max_distance=distance, keys=keys)
     per = pairs.groupBy(*keys, "start", "end").agg(sorted_text(F.col("entry")).alias("matches"))
-    return spans.join(per, [*keys, "start", "end"], "left").select(
+    return spans.join(merged(per), [*keys, "start", "end"], "left").select(
         "sv_id", "sv_type", F.coalesce("matches", F.lit("novel")).alias("dgv"),
         F.when(F.col("matches").isNull(), 1).otherwise(0).alias("filterpass"))
 
@@ -250,7 +251,7 @@ def caller_pairs(sv: DataFrame, first: str, second: str, distance: int) -> DataF
     b = _spans(sv.where((F.col("caller") == second) & F.col("sv_type").isin(*SPAN_TYPES)), "other")
     loci = a.select(*keys, "start", "end").distinct()
     hits = locus_pairs(loci, b, max_distance=distance, keys=keys).select(*keys, "start", "end", "other")
-    return a.join(hits, [*keys, "start", "end"]).select("sv_type", "sv_id", "other")
+    return a.join(merged(hits), [*keys, "start", "end"]).select("sv_type", "sv_id", "other")
 
 
 def _ordered_pair(sv: DataFrame) -> DataFrame:
@@ -273,9 +274,9 @@ def _within(a: DataFrame, b: DataFrame, keys: Sequence[str], distance: int) -> D
         cell.withColumn("_ds", F.explode(F.array(*grid))).withColumn("_de", F.explode(F.array(*grid)))
         .withColumn("_s", F.floor(F.col("c_start") / distance) + F.col("_ds"))
         .withColumn("_e", F.floor(F.col("c_end") / distance) + F.col("_de")).drop("_ds", "_de"))
-    near = left.join(right, [*keys, "_s", "_e"]).where(
+    near = left.join(merged(right), [*keys, "_s", "_e"]).where(
         (F.abs(F.col("start") - F.col("c_start")) < distance) & (F.abs(F.col("end") - F.col("c_end")) < distance))
-    return a.join(near.drop("_s", "_e", "c_start", "c_end"), [*keys, "start", "end"])
+    return a.join(merged(near.drop("_s", "_e", "c_start", "c_end")), [*keys, "start", "end"])
 
 
 def translocation_pairs(sv: DataFrame, first: str, second: str, distance: int) -> DataFrame:
@@ -306,7 +307,7 @@ def group_events(pairs: DataFrame, tra_pairs: DataFrame | None = None, connected
     lists = pairs.groupBy("sv_type", "sv_id").agg(sorted_text(escaped).alias("_list"))
     lists = lists.select("sv_type", "sv_id", F.concat_ws(":", "sv_type", "_list").alias("event_id"))
     members = lists.select("event_id", "sv_type", "sv_id").unionByName(
-        pairs.join(lists, ["sv_type", "sv_id"]).select("event_id", "sv_type", F.col("other").alias("sv_id")))
+        pairs.join(merged(lists), ["sv_type", "sv_id"]).select("event_id", "sv_type", F.col("other").alias("sv_id")))
     if tra_pairs is not None:
         t_event = F.concat_ws(":", F.lit("tra"), "c_lo", "c_hi").alias("event_id")
         both = tra_pairs.select(t_event, F.explode(F.array("sv_id", "other")).alias("sv_id"))
@@ -348,35 +349,43 @@ def connected_events(sv: DataFrame, first: str, second: str, distance: int) -> D
 def propagate_status(calls: DataFrame, events: DataFrame) -> DataFrame:
     """SV-9: a call passes only inside an event all of whose members pass; unmatched calls fail.
 
-    ``calls`` carries ``final_status``.
+    ``calls`` carries ``final_status``. Events are judged before the calls meet them, so unmatched
+    calls, which have no event, are never dealt out by it.
     """
-    own = calls.withColumn("_fail", (~F.col("final_status").contains("PASS")).cast("int"))
-    tagged = own.join(events, ["sv_id", "sv_type"], "left")
-    worst = tagged.where(F.col("event_id").isNotNull()).groupBy("event_id").agg(F.max("_fail").alias("_worst"))
-    return tagged.join(worst, "event_id", "left").withColumn(
-        "passed", F.coalesce((F.col("_worst") == 0).cast("int"), F.lit(0))).drop("_fail", "_worst")
+    at = ["sv_id", "sv_type"]
+    own = calls.select(*at, (~F.col("final_status").contains("PASS")).cast("int").alias("_fail"))
+    known = events.select(*at, "event_id")
+    worst = known.join(merged(own), at).groupBy("event_id").agg(F.max("_fail").alias("_worst"))
+    judged = known.join(merged(worst), "event_id", "left")
+    return calls.join(merged(judged), at, "left").withColumn(
+        "passed", F.coalesce((F.col("_worst") == 0).cast("int"), F.lit(0))).drop("_worst")
 
 
 def priority_tiers(calls: DataFrame) -> DataFrame:
     """SV-10: HIGH / MEDIUM / LOW / LOWEST, and caller and call counts of the event in its tier.
 
     ``calls`` carries ``event_id`` (null if unmatched), ``passed, exon_event, gene_event``. A
-    passing event with an exon breakpoint in a gene takes its gene-only calls along.
+    passing event with an exon breakpoint in a gene takes its gene-only calls along. Unmatched calls,
+    which would all share the null key, stay out of the joins by event.
     """
+    calls = settle(calls)
     ok, exon, gene = F.col("passed") == 1, F.col("exon_event") == 1, F.col("gene_event") == 1
     kind = F.col("sv_type")
-    lead = calls.where(ok & exon & gene).select("sv_type", "event_id", F.lit(1).alias("_lead")).distinct()
-    t = calls.join(lead, ["sv_type", "event_id"], "left")
+    matched, rest = calls.where(F.col("event_id").isNotNull()), calls.where(F.col("event_id").isNull())
+    lead = matched.where(ok & exon & gene).select("sv_type", "event_id", F.lit(1).alias("_lead")).distinct()
+    t = matched.join(merged(lead), ["sv_type", "event_id"], "left")
     tier = (
         F.when(ok & gene & (exon | F.col("_lead").isNotNull()), "HIGH")
         .when(ok & ~exon & gene & kind.isin("del", "dup"), "MEDIUM").when(~ok & exon & gene, "MEDIUM")
         .when(ok & ~exon & kind.isin("tra", "inv"), "LOW").when(~ok & ~exon, "LOWEST").otherwise("NOT_REPORTED"))
     t = t.withColumn("priority", tier).drop("_lead")
-    sized = t.where(F.col("event_id").isNotNull()).groupBy("sv_type", "event_id", "priority", "passed").agg(
+    alone = rest.withColumn("_lead", F.lit(None).cast("int")).withColumn("priority", tier).drop("_lead")
+    sized = t.groupBy("sv_type", "event_id", "priority", "passed").agg(
         F.count_distinct("caller").alias("_c"), F.count_distinct("sv_id").alias("_n"))
+    counted = t.join(merged(sized), ["sv_type", "event_id", "priority", "passed"], "left").unionByName(
+        alone.withColumns({"_c": F.lit(None).cast("bigint"), "_n": F.lit(None).cast("bigint")}))
     return (
-        t.join(sized, ["sv_type", "event_id", "priority", "passed"], "left")
-        .withColumn("caller_count", F.coalesce("_c", F.lit(1))).withColumn("call_count", F.coalesce("_n", F.lit(1)))
+        counted.withColumn("caller_count", F.coalesce("_c", F.lit(1))).withColumn("call_count", F.coalesce("_n", F.lit(1)))
         .drop("_c", "_n"))
 
 
@@ -396,15 +405,15 @@ def gene_overlap(sv: DataFrame, genes: DataFrame, exons: DataFrame) -> DataFrame
     def names(side: DataFrame, ann: DataFrame, col: str, out: str, n: str | None = None) -> DataFrame:
         loci = side.select("chrom", "start", "end").distinct()
         hits = locus_pairs(loci, ann.select("chrom", "start", "end", col).distinct(), bin_width=10_000, longest=0 if out.startswith("breakpoint") else None)
-        at = side.join(hits.select("chrom", "start", "end", col), ["chrom", "start", "end"])
+        at = side.join(merged(hits.select("chrom", "start", "end", col)), ["chrom", "start", "end"])
         got = at.groupBy("sv_id").agg(F.collect_set(col).alias("_s"))
         sized = [F.size("_s").cast("bigint").alias(n)] if n else []
         return got.select("sv_id", F.array_join(F.array_sort("_s"), ",").alias(out), *sized)
 
     return (
-        sv.join(names(spans, genes, "gene", "genes", "gene_count"), "sv_id", "left")
-        .join(names(points, genes, "gene", "breakpoint_genes"), "sv_id", "left")
-        .join(names(points, exons, "exon", "breakpoint_exons"), "sv_id", "left")
+        sv.join(merged(names(spans, genes, "gene", "genes", "gene_count")), "sv_id", "left")
+        .join(merged(names(points, genes, "gene", "breakpoint_genes")), "sv_id", "left")
+        .join(merged(names(points, exons, "exon", "breakpoint_exons")), "sv_id", "left")
         .withColumn("gene_count", F.coalesce("gene_count", F.lit(0)))
         .fillna("NO_EXON_BP", subset=["breakpoint_exons"]))
 
