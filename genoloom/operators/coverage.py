@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoloom.functions.stats import count_if, ratio, sorted_text
+from genoloom.operators.chunks import merged
 from genoloom.operators.intervals import locus_pairs, overlap_any, widen
 
 # Sizes used by the run sheet (fixed values, bases).
@@ -33,7 +34,7 @@ def exon_depth(exons: DataFrame, depth: DataFrame) -> DataFrame:
     """COV-1: median, smallest and largest measured depth per exon range; null without depth rows."""
     per = _covered(exons, depth).groupBy("chrom", "start", "end").agg(
         F.median("depth").alias("median"), F.min("depth").alias("min"), F.max("depth").alias("max"))
-    return exon_ranges(exons).join(per, ["chrom", "start", "end"], "left")
+    return exon_ranges(exons).join(merged(per), ["chrom", "start", "end"], "left")
 
 
 def exon_status(exons: DataFrame, depth: DataFrame, min_depth: int = 1) -> DataFrame:
@@ -100,8 +101,8 @@ def gene_depth(genes: DataFrame, depth: DataFrame, margin: int = 100_000, gene:
     wide = widen(genes.select("chrom", "start", "end", gene), margin).withColumn(
         "_block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor(F.col("end") / block))))
     inside = (F.col("_block") * block >= F.col("start")) & ((F.col("_block") + 1) * block - 1 <= F.col("end"))
-    whole = wide.where(inside).join(sums, ["chrom", "_block"]).select(gene, "n", "s")
-    edge = wide.where(~inside).join(points, ["chrom", "_block"]).where(F.col("pos").between(F.col("start"), F.col("end")))
+    whole = wide.where(inside).join(merged(sums), ["chrom", "_block"]).select(gene, "n", "s")
+    edge = wide.where(~inside).join(merged(points), ["chrom", "_block"]).where(F.col("pos").between(F.col("start"), F.col("end")))
     parts = whole.unionByName(edge.select(gene, F.lit(1).cast("bigint").alias("n"), F.col("depth").alias("s")))
     return parts.groupBy(gene).agg(F.sum("n").alias("positions"), F.sum("s").alias("total_depth")).withColumn(
         "mean_depth", F.col("total_depth") / F.col("positions"))

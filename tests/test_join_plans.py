@@ -16,7 +16,7 @@ def plan(spark, capsys, name: str) -> str:
     return capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", ["ann_8", "ann_11", "ann_17", "ann_18", "ovl_1", "ovl_1_spans", "ovl_2"])
+@pytest.mark.parametrize("name", ["ann_8", "ann_11", "ann_17", "ann_18", "ovl_1", "ovl_1_spans", "ovl_2", "sv_9", "sv_10", "sv_11", "cov_1", "cov_5"])
 def test_spread_sides_are_not_broadcast(spark, capsys, name):
     found = plan(spark, capsys, name)
     assert "SortMergeJoin" in found
