@@ -34,11 +34,14 @@ def attr_map(c: Column, pair: str = ";", kv: str = "=") -> Column:
             F.when(F.instr(e, kv) > 0, F.substr(e, F.instr(e, kv) + F.lit(1))).alias("value"),
         ),
     )
-    keys = F.array_distinct(F.transform(parsed, lambda e: e["key"]))
-    return F.map_from_arrays(
-        keys,
-        F.transform(keys, lambda k: F.element_at(F.filter(parsed, lambda e: e["key"] == k), -1)["value"]),
-    )
+
+    def last_values(p: Column) -> Column:
+        keys = F.array_distinct(F.transform(p, lambda e: e["key"]))
+        return F.map_from_arrays(
+            keys, F.transform(keys, lambda k: F.element_at(F.filter(p, lambda e: e["key"] == k), -1)["value"]))
+
+    # The lambda of a one-item array holds the parsed entries, so the text is split once and not for every key.
+    return F.get(F.transform(F.array(parsed), last_values), F.lit(0))
 
 
 def attr(c: Column, name: str) -> Column:
