@@ -33,7 +33,9 @@ def _origin(rows: DataFrame, names: dict[str, str]) -> list[Column]:
 def _records(rows: DataFrame) -> DataFrame:
     """The VCF columns of SV records, split once, and the lines' origin."""
     f = F.col("f")
-    cut = once(rows.where(~F.col("line").startswith("#") & (F.trim("line") != "")).select("line", *_origin(rows, _KEPT)), f=F.split("line", "\t"))
+    # Header and blank lines are told by the fields: a filter on the line would make Spark work the line out again for it.
+    blank = (F.size("f") == 1) & (F.trim(f[0]) == "")
+    cut = once(rows.select("line", *_origin(rows, _KEPT)), f=F.split("line", "\t")).where(~F.startswith(f[0], F.lit("#")) & ~blank)
     return cut.select(
         *(c for c in cut.columns if c in _KEPT.values()),
         F.regexp_replace(f[0], "^chr", "").alias("chr1"), f[1].cast("bigint").alias("coord1"), f[2].alias("id"),
