@@ -17,9 +17,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from genoloom.operators.chunks import merged
 from genoloom.session import settle
 
-CUT = 16  # a cell's side is the side above divided by this
+CUT = 16  # a cell's side is about the side above divided by this
 
 
 @dataclass
@@ -32,9 +33,12 @@ class MatchClasses:
 
 
 def cell_sides(distance: int) -> list[int]:
+    """Falling sides, each a multiple of the next: a cell lies in one cell of the side above."""
     sides = [max(distance // CUT, 1)]
     while sides[-1] > 1:
         sides.append(max(sides[-1] // CUT, 1))
+    for k in range(len(sides) - 2, -1, -1):
+        sides[k] -= sides[k] % sides[k + 1]
     return sides
 
 
@@ -65,15 +69,18 @@ def match_classes(a: DataFrame, b: DataFrame, keys: Sequence[str], distance: int
         raise ValueError("the distance is at least 1")
     known = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*keys, "start", "end")])
     events = settle(a.select(F.lit("a").alias("who"), *keys, "start", "end", "id").unionByName(
-        b.select(F.lit("b").alias("who"), *keys, "start", "end", "id")).where(known).distinct())
-    loci = settle(events.select("who", *keys, "start", "end").distinct())
+        b.select(F.lit("b").alias("who"), *keys, "start", "end", "id")).where(known))
     sides = cell_sides(distance)
 
-    def units(side: int, parent: int | None, who: str) -> DataFrame:
+    def units(rows: DataFrame, side: int, parent: int | None, who: str) -> DataFrame:
         """The classes of a side with the bounds of what they hold, and the class above."""
+        cells = [c for s in (side, parent) if s for c in _cell(s)]
+        found = rows.where(F.col("who") == who).groupBy("who", *keys, *[c.alias(f"_{i}") for i, c in enumerate(cells)]).agg(
+            F.min("start").alias("start"), F.max("start").alias(f"{who}s_hi"), F.min("end").alias("end"), F.max("end").alias(f"{who}e_hi"))
+        # The least start and end lie in the cells grouped by, so they name them.
         up = F.lit(None).cast("string") if parent is None else _name(keys, parent)
-        return loci.where(F.col("who") == who).groupBy(*keys, _name(keys, side).alias(f"class_{who}"), up.alias(f"up_{who}")).agg(
-            F.min("start").alias(f"{who}s_lo"), F.max("start").alias(f"{who}s_hi"), F.min("end").alias(f"{who}e_lo"), F.max("end").alias(f"{who}e_hi"))
+        return found.select(*keys, _name(keys, side).alias(f"class_{who}"), up.alias(f"up_{who}"), F.col("start").alias(f"{who}s_lo"),
+                            f"{who}s_hi", F.col("end").alias(f"{who}e_lo"), f"{who}e_hi")
 
     def compared(pairs: DataFrame) -> DataFrame:
         """Each pair with ``found``: 1 where all match, 0 where some may, none where no one does."""
@@ -89,24 +96,30 @@ def match_classes(a: DataFrame, b: DataFrame, keys: Sequence[str], distance: int
         point = (F.col("as_lo") == F.col("as_hi")) & (F.col("ae_lo") == F.col("ae_hi")) & (F.col("bs_lo") == F.col("bs_hi")) & (F.col("be_lo") == F.col("be_hi"))
         return pairs.withColumn("found", F.when(every | (some & point), 1).when(some, 0)).where("found IS NOT NULL")
 
-    ua, ub = units(sides[0], None, "a"), units(sides[0], None, "b")
-    steps = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    # Classes lie inside cells as wide as the distance and a class, so matches are in neighbouring ones.
-    wide = distance + sides[0]
-    left = ua.withColumns({f"_{e}": F.floor(F.col(f"a{e}_lo") / wide).cast("long") for e in "se"})
-    right = ub.withColumn("_ds", F.explode(steps)).withColumn("_de", F.explode(steps))
-    right = right.withColumns({f"_{e}": F.floor(F.col(f"b{e}_lo") / wide).cast("long") + F.col(f"_d{e}") for e in "se"}).drop("_ds", "_de")
-    pairs = settle(compared(left.join(right, [*keys, "_s", "_e"])).select(*keys, "class_a", "class_b", "found"))
+    # A class of a is in the cell of its least start and end, a class of b in all cells that its partners can be in.
+    reach = distance + sides[0]
+    left = units(events, sides[0], None, "a").withColumns({f"_{e}": F.floor(F.col(f"a{e}_lo") / (2 * reach)).cast("long") for e in "se"})
+    right = units(events, sides[0], None, "b")
+    for e in "se":
+        first, last = F.col(f"b{e}_lo") - reach, F.col(f"b{e}_hi") + distance
+        right = right.withColumn(f"_{e}", F.explode(F.sequence(*[F.floor(c / (2 * reach)).cast("long") for c in (first, last)])))
+    pairs = settle(compared(left.join(merged(right), [*keys, "_s", "_e"])).select(*keys, "class_a", "class_b", "found"))
+    # Events of classes in no pair go no further; only those of open pairs are cut finer.
+    tops = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class"), (F.col("found") == 0).alias("open")).groupBy("class").agg(
+        F.max("open").alias("open"))
+    near = settle(events.withColumn("class", _name(keys, sides[0])).join(merged(tops), "class").distinct())
+    cut = near.where("open")
     links = [pairs.where("found = 1")]
     for parent, side in zip(sides, sides[1:]):
         open_pairs = pairs.where("found = 0").select(F.col("class_a").alias("up_a"), F.col("class_b").alias("up_b"))
-        below = open_pairs.join(units(side, parent, "a"), "up_a").join(units(side, parent, "b").drop(*keys), "up_b")
+        below = open_pairs.join(units(cut, side, parent, "a"), "up_a").join(units(cut, side, parent, "b").drop(*keys), "up_b")
         pairs = settle(compared(below).select(*keys, "class_a", "class_b", "found"))
         links.append(pairs.where("found = 1"))
     links = reduce(DataFrame.unionByName, links).drop("found")
-    used = links.select(F.col("class_a").alias("class")).unionByName(links.select(F.col("class_b").alias("class"))).distinct()
-    inside = events.select(*keys, F.col("who").alias("side"), "id", F.explode(F.array(*[_name(keys, s) for s in sides])).alias("class"))
-    return MatchClasses(links, inside.join(used, "class", "left_semi"))
+    used = links.select(F.explode(F.array("class_a", "class_b")).alias("class")).distinct()
+    names = F.when(F.col("open"), F.array(*[_name(keys, s) for s in sides])).otherwise(F.array("class"))
+    inside = near.select(*keys, F.col("who").alias("side"), "id", F.explode(names).alias("class")).distinct()
+    return MatchClasses(links, settle(inside.join(used, "class", "left_semi")))
 
 
 def match_counts(found: MatchClasses) -> DataFrame:

@@ -339,13 +339,15 @@ def connected_events(sv: DataFrame, first: str, second: str, distance: int) -> D
 
     The same events as ``group_events(connected=True)`` over all pairs, found over classes.
     """
-    parts = []
-    for found, kind in zip(caller_classes(sv, first, second, distance), (F.col("sv_type"), F.lit("tra")), strict=True):
-        labels = components.connected(dense.match_links(found))
-        calls = found.members.join(labels, F.col("class") == F.col("node")).select(kind.alias("sv_type"), F.col("id").alias("sv_id"), "label").distinct()
-        least = calls.groupBy("sv_type", "label").agg(F.min("sv_id").alias("_first"))
-        parts.append(calls.join(least, ["sv_type", "label"]).select("sv_id", "sv_type", F.concat_ws(":", "sv_type", "_first").alias("event_id")))
-    return parts[0].unionByName(parts[1])
+    links, members = [], []
+    for part, found, kind in zip("pt", caller_classes(sv, first, second, distance), (F.col("sv_type"), F.lit("tra")), strict=True):
+        # Classes of both parts go through the same rounds, told apart by a letter.
+        links.append(dense.match_links(found).select(*[F.concat(F.lit(part), n).alias(n) for n in "ab"]))
+        members.append(found.members.select(F.concat(F.lit(part), "class").alias("node"), kind.alias("sv_type"), F.col("id").alias("sv_id")))
+    labels = components.connected(links[0].unionByName(links[1]))
+    calls = settle(members[0].unionByName(members[1]).join(merged(labels), "node").select("sv_type", "sv_id", "label").distinct())
+    least = calls.groupBy("sv_type", "label").agg(F.min("sv_id").alias("_first"))
+    return calls.join(merged(least), ["sv_type", "label"]).select("sv_id", "sv_type", F.concat_ws(":", "sv_type", "_first").alias("event_id"))
 
 
 def propagate_status(calls: DataFrame, events: DataFrame) -> DataFrame:
