@@ -27,7 +27,8 @@ def assembly_stats(seqs: DataFrame, seq: str = "seq") -> DataFrame:
     cum = running_sum(cum, [], [F.desc("len")], chunk, "n", "_count")
     half = base.agg((F.sum("len") / 2).alias("h")).scalar()
     reach = cum.withColumn("_half", half).where(F.col("_upto") >= F.col("_half"))
-    need = F.greatest(F.ceil((F.col("_half") - (F.col("_upto") - F.col("_mass"))) / F.col("len")), F.lit(1))
+    # Empty contigs come last and reach the half too; dividing by their length gives null, which leaves the 1.
+    need = F.greatest(F.ceil(F.try_divide(F.col("_half") - (F.col("_upto") - F.col("_mass")), F.col("len"))), F.lit(1))
     best = reach.agg(F.max(F.struct("len", (F.col("_count") - F.col("n") + need - 1).alias("l50"))).alias("b"))
     return plain.withColumn("n50", best.select("b.len").scalar()).withColumn("l50", best.select("b.l50").scalar())
 
